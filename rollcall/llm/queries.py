@@ -5,14 +5,24 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import documents
 from .decontaminate import contamination
+from .language_id import held_out, identify, train
+from .line_dedup import dedupe_lines
 from .mixing import MIX_SQL, mix
+from .quality import resample
 from .simhash import simhash_components
 from .token_counts import token_counts
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
+    found = identify(docs.select("doc_id", "text"), train(docs))
+    return found.select("doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -32,11 +42,24 @@ def op8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(documents(spark, sf_dir))
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = dedupe_lines(documents(spark, sf_dir).select("doc_id", "text"))
+    kept = F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    return found.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_removed").alias("n_removed"), F.length(kept).cast("long").alias("kept_bytes"), F.sha2(kept, 256).alias("kept_sha256"))
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_id": op1_language_id,
     "op2_token_counts": op2_token_counts,
     "op4_decontaminate": op4_decontaminate,
     "op6_simhash": op6_simhash,
     "op8_mix": op8_mix,
+    "op9_line_dedup": op9_line_dedup,
+    "op10_quality": op10_quality,
 }
 
 ORACLE_SQL: dict[str, str] = {"op8_mix": MIX_SQL}
