@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .common import documents
 from .decontaminate import contamination
+from .embedding_dedup import EMBEDDING_SQL, embedding_components
 from .language_id import held_out, identify, train
 from .line_dedup import dedupe_lines
 from .mixing import MIX_SQL, mix
@@ -34,6 +35,10 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_components(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(documents(spark, sf_dir))
 
@@ -56,10 +61,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_token_counts": op2_token_counts,
     "op4_decontaminate": op4_decontaminate,
+    "op5_embedding_dedup": op5_embedding_dedup,
     "op6_simhash": op6_simhash,
     "op8_mix": op8_mix,
     "op9_line_dedup": op9_line_dedup,
     "op10_quality": op10_quality,
 }
 
-ORACLE_SQL: dict[str, str] = {"op8_mix": MIX_SQL}
+ORACLE_SQL: dict[str, str] = {"op5_embedding_dedup": EMBEDDING_SQL, "op8_mix": MIX_SQL}
