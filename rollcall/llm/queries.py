@@ -15,6 +15,7 @@ from .line_dedup import dedupe_lines
 from .mixing import MIX_SQL, mix
 from .quality import resample
 from .simhash import simhash_components
+from .suffix_dedup import remove_repeats
 from .token_counts import token_counts
 
 
@@ -30,6 +31,11 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = remove_repeats(documents(spark, sf_dir))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
@@ -60,6 +66,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_token_counts": op2_token_counts,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_decontaminate": op4_decontaminate,
     "op5_embedding_dedup": op5_embedding_dedup,
     "op6_simhash": op6_simhash,
