@@ -215,10 +215,10 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "d
     return net
 
 
-def identify(docs: DataFrame, net: BiGRU | None, text: str = "text") -> DataFrame:
-    """``docs`` with lang_pred and score; the text is all that a prediction reads."""
+def identify(docs: DataFrame, net: BiGRU | None, text: str = "text", pred: str = "lang_pred", score_name: str = "score") -> DataFrame:
+    """``docs`` with columns ``pred`` and ``score_name`` (which replace any of these names); the text is all that a prediction reads."""
     prepare(docs.sparkSession)
-    names = docs.columns
+    names = [c for c in docs.columns if c not in (pred, score_name)]
     kept = docs.select(F.coalesce(F.col(text).cast("string").rlike(r"\p{L}"), F.lit(False)).alias("_letters"), F.col(text).cast("string").alias("_text"), F.struct("*").alias("_row"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -234,4 +234,4 @@ def identify(docs: DataFrame, net: BiGRU | None, text: str = "text") -> DataFram
                 yield pa.RecordBatch.from_arrays([part.column(2), pa.array(best, pa.string()), pa.array(score)], names=["_row", "lang_pred", "score"])
 
     row = kept.schema["_row"].dataType.simpleString()
-    return kept.mapInArrow(run, f"_row {row}, lang_pred string, score double").select(*(F.col("_row")[c].alias(c) for c in names), "lang_pred", "score")
+    return kept.mapInArrow(run, f"_row {row}, lang_pred string, score double").select(*(F.col("_row")[c].alias(c) for c in names), F.col("lang_pred").alias(pred), F.col("score").alias(score_name))

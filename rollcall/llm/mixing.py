@@ -64,9 +64,9 @@ def source_targets(sources: DataFrame) -> DataFrame:
 
 
 def mix(docs: DataFrame, text: str = "text", key: str = "doc_id", source: str = "source", seed: int = SEED) -> DataFrame:
-    """(key, size, source_size, target, taken, source, epochs) of every row; taken counts repeats."""
+    """(key, size, source_size, target, taken, source, epochs, text_hash) of every row; taken counts repeats."""
     t = F.col(text).cast("string")
-    rows = docs.select(F.col(key).alias("k"), F.col(source).alias("source"), word_size(t).alias("size"), (-F.ln(uniform(F.col(key), seed)) / quality_weight(t)).alias("es_key"))
+    rows = docs.select(F.col(key).alias("k"), F.col(source).alias("source"), word_size(t).alias("size"), (-F.ln(uniform(F.col(key), seed)) / quality_weight(t)).alias("es_key"), F.xxhash64(t).alias("text_hash"))
     rows = materialize(rows)
     targets = materialize(source_targets(rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs"))))
     t2 = targets.withColumnRenamed("source", "s")
@@ -82,7 +82,7 @@ def mix(docs: DataFrame, text: str = "text", key: str = "doc_id", source: str =
     rest = F.col("target") - F.col("epochs") * F.col("source_size")
     chosen = placed.withColumn("epochs", epochs).withColumn("before", before)
     taken = F.col("epochs") * F.col("size") + F.when((F.col("epochs") < MOST_EPOCHS) & (F.col("before") + F.col("size") / 2 <= rest), F.col("size")).otherwise(F.lit(0))
-    return chosen.select(F.col("k").alias(key), "size", "source_size", "target", taken.cast("long").alias("taken"), "source", "epochs")
+    return chosen.select(F.col("k").alias(key), "size", "source_size", "target", taken.cast("long").alias("taken"), "source", "epochs", "text_hash")
 
 
 #: DuckDB SQL of the query over documents.

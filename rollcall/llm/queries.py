@@ -11,6 +11,7 @@ from .common import documents
 from .decontaminate import contamination
 from .embedding_dedup import EMBEDDING_SQL, embedding_components
 from .language_id import held_out, identify, train
+from .license_scan import scan_licenses
 from .line_dedup import dedupe_lines
 from .mixing import MIX_SQL, mix
 from .quality import resample
@@ -46,11 +47,15 @@ def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash_components(documents(spark, sf_dir))
+    return simhash_components(documents(spark, sf_dir)).drop("text_hash")
+
+
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(documents(spark, sf_dir)).drop("detections")
 
 
 def op8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix(documents(spark, sf_dir))
+    return mix(documents(spark, sf_dir)).drop("text_hash")
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_decontaminate": op4_decontaminate,
     "op5_embedding_dedup": op5_embedding_dedup,
     "op6_simhash": op6_simhash,
+    "op7_license_scan": op7_license_scan,
     "op8_mix": op8_mix,
     "op9_line_dedup": op9_line_dedup,
     "op10_quality": op10_quality,

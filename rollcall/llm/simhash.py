@@ -124,16 +124,17 @@ def fingerprints_of(data: np.ndarray, off: np.ndarray, shingle: int = SHINGLE, s
 
 
 def fingerprints(docs: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
-    """(key, fp long) of every row."""
+    """(key, fp long, text_hash long) of every row; text_hash tells rows of one key apart."""
     prepare(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, data, off in slices(batch, "t"):
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fingerprints_of(data, off, shingle, seed).view(np.int64))], names=["k", "fp"])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fingerprints_of(data, off, shingle, seed).view(np.int64)), part.column(1)], names=["k", "fp", "text_hash"])
 
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(F.col(key).alias("k"), F.col(text).cast("string").alias("t")).mapInArrow(run, f"k {kind}, fp long").withColumnRenamed("k", key)
+    t = F.col(text).cast("string")
+    return docs.select(F.col(key).alias("k"), F.xxhash64(t).alias("text_hash"), t.alias("t")).mapInArrow(run, f"k {kind}, fp long, text_hash long").withColumnRenamed("k", key)
 
 
 def gray_rank(fp):
@@ -276,7 +277,7 @@ def links(fps: DataFrame, distance: int = DISTANCE, node_limit: int = NODE_LIMIT
 
 
 def simhash_components(docs: DataFrame, text: str = "text", key: str = "doc_id", distance: int = DISTANCE, node_limit: int = NODE_LIMIT) -> DataFrame:
-    """(key, fingerprint as 16 hex digits, component_id) of every row."""
+    """(key, fingerprint as 16 hex digits, component_id, text_hash) of every row."""
     prints = materialize(fingerprints(docs, text, key))
     owners = materialize(prints.groupBy("fp").agg(F.min(key).alias("owner")))
     grouped = connected_components(links(owners.select("fp"), distance, node_limit))
@@ -284,4 +285,4 @@ def simhash_components(docs: DataFrame, text: str = "text", key: str = "doc_id",
     member = materialize(member)
     low = member.groupBy("c").agg(F.min("owner").alias("component_id"))
     named = member.join(low, "c").select("fp", "component_id")
-    return prints.join(named, "fp").select(key, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return prints.join(named, "fp").select(key, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "text_hash")
