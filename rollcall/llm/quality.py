@@ -99,7 +99,7 @@ def log_weights(docs: DataFrame, ratio: np.ndarray, text: str = "text", key: str
             for part, data, off in slices(batch, "t"):
                 bucket, owner = features(data, off, len(ratio) - 1)
                 n = part.num_rows
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.bincount(owner, minlength=n)), pa.array(np.bincount(owner, ratio[bucket], n))], names=["k", "n_features", "log_weight"])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.bincount(owner, minlength=n)), pa.array(np.bincount(owner, ratio[bucket], n).astype(np.float64))], names=["k", "n_features", "log_weight"])
 
     kind = docs.schema[key].dataType.simpleString()
     rows = docs.select(F.col(key).alias("k"), F.col(text).cast("string").alias("t"))
