@@ -1,5 +1,6 @@
 """L2 norm, unit vectors and cosine over ARRAY columns, in double precision."""
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -28,3 +29,20 @@ def cosine(a: Column, b: Column) -> Column:
     na, nb = l2_norm(a), l2_norm(b)
     dot = _sum(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")))
     return F.when(usable_norm(na) & usable_norm(nb), dot / (na * nb))
+
+
+def l2_norm_batch(v: Column) -> Column:
+    """l2_norm over whole Arrow batches, for wide vectors: one NumPy pass where all lengths agree."""
+    import numpy as np
+
+    @F.pandas_udf("double")
+    def norm(batch: pd.Series) -> pd.Series:
+        full = batch[batch.notna()]
+        sizes = full.map(len).unique()
+        if len(sizes) == 1 and sizes[0]:
+            values = np.sqrt(np.square(np.stack(full.to_numpy()).astype(np.float64)).sum(1))
+        else:
+            values = [float(np.sqrt(np.square(np.asarray(x, np.float64)).sum())) for x in full]
+        return pd.Series(values, index=full.index, dtype="float64").reindex(batch.index)
+
+    return norm(v)

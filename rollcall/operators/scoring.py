@@ -14,11 +14,12 @@ from ..schemas import SCORES
 Scorer = Callable[[np.ndarray], dict | None]
 
 
-def score_images(images: DataFrame, scorer_factory: Callable[[], Scorer], on_error: str = "flag") -> DataFrame:
+def score_images(images: DataFrame, scorer_factory: Callable[[], Scorer], on_error: str = "flag", profile=None) -> DataFrame:
     """(path, readable, embedding, age, gender, confidence, error) of every image (path, readable, image).
 
     ``scorer_factory`` is called once in each task. An image without a face has nulls; one that can't be
     read isn't scored; one that the scorer fails on has error set, or ends the job with ``on_error`` 'raise'.
+    ``profile`` is a ResourceProfile, say of one GPU for each task.
     """
     rows = images.selectExpr("path", "readable", "image.height as height", "image.width as width", "image.nChannels as channels", "image.data as data")
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in SCORES.fields)
@@ -43,7 +44,7 @@ def score_images(images: DataFrame, scorer_factory: Callable[[], Scorer], on_err
                 made[name] = made[name].astype("Int32")
             yield made
 
-    return rows.mapInPandas(run, f"path string, readable boolean, {fields}")
+    return rows.mapInPandas(run, f"path string, readable boolean, {fields}", profile=profile)
 
 
 def stub_scorer(dim: int = 8) -> Callable[[], Scorer]:

@@ -19,6 +19,23 @@ def preprocess_funnel(df: DataFrame) -> DataFrame:
     return counts.withColumn("yield_pct", F.round(F.try_divide(F.col("success") * 100.0, F.col("total").cast("double")), 6))
 
 
+def processed_records(df: DataFrame, out: str) -> DataFrame:
+    """Rows that passed as records with their processed path; needs path, filename, processed_name and rounded metrics."""
+    kept = df.where(F.col("outcome") == "success")
+    return kept.select(F.col("path").alias("original_path"), F.concat(F.lit(out.rstrip("/") + "/"), "processed_name").alias("processed_path"), "filename", "confidence", "blur_score")
+
+
+def stem_collisions(df: DataFrame, stem: str = "stem") -> DataFrame:
+    """(stem, n): stems of several paths, which would share one processed name."""
+    return df.groupBy(stem).agg(F.count("*").alias("n")).where("n > 1")
+
+
+def sample_counts(listed: DataFrame, sampled: DataFrame) -> DataFrame:
+    """One row: how many there were and how many were taken."""
+    one = F.lit(1).alias("_one")
+    return listed.agg(F.count("*").alias("n_listed")).select("*", one).join(sampled.agg(F.count("*").alias("n_sampled")).select("*", one), "_one").drop("_one")
+
+
 def age_distribution(df: DataFrame, include_zero: bool = False) -> DataFrame:
     """(age_group, label, n), with ``include_zero`` for every label."""
     counts = df.groupBy(F.col("age_group").cast("int").alias("age_group")).agg(F.count("*").alias("n"))

@@ -19,7 +19,7 @@ from ..operators.joins import join_one_to_one, require_complete, require_plan
 from ..operators.sampling import sample_cap, split_pools
 from ..operators.scoring import Scorer, score_images
 from ..operators.splits import apply_split, distinct_ids, special_ids
-from ..operators.summaries import dataset_summary, extraction_summary, preprocess_funnel
+from ..operators.summaries import dataset_summary, extraction_summary, preprocess_funnel, processed_records
 from ..sources.readers import filter_images, list_files, read_images
 from ..sources.writers import write_chunk, write_dataset, write_manifests, write_records, write_summary
 from ..storage import settle
@@ -129,7 +129,7 @@ def run(spark: SparkSession, s: Settings) -> dict[str, DataFrame]:
     made: dict[str, DataFrame] = {}
     if on["preprocess"]:
         made["outcomes"], made["funnel"] = preprocess(spark, s)
-        write_records(made["outcomes"].drop("embedding"), f"{s.out}/preprocess_records")
+        write_records(processed_records(made["outcomes"], f"{s.out}/processed"), f"{s.out}/preprocess_records")
         write_summary(made["funnel"], f"{s.out}/preprocess_summary")
     if on["generate"]:
         pool = made["outcomes"].where("outcome = 'success'").select("path") if "outcomes" in made else filter_images(list_files(spark, s.raw), "pool").select("path")

@@ -9,16 +9,17 @@ from pyspark.sql import functions as F
 
 from .functions.attributes import age_group, age_group_label
 from .functions.classify import classify_candidate, classify_preprocess, drop_unknown
-from .functions.paths import with_output_paths
-from .functions.vectors import cosine, l2_norm, l2_normalize
-from .operators.admission import accepted_only, admit_first_k, rejection_counts, shortfalls
+from .functions.boxes import unpad_detections
+from .functions.paths import with_output_paths, with_path_parts
+from .functions.vectors import cosine, l2_norm, l2_norm_batch, l2_normalize
+from .operators.admission import accepted_only, admit_first_k, generation_summary, rejection_counts, rejection_maps, shortfalls, split_admission
 from .operators.candidates import plan_candidates, style_index
 from .operators.chunks import assign_chunks, chunk_manifest
 from .operators.detections import best_detection
 from .operators.joins import join_one_to_one, missing_rows
 from .operators.sampling import first_by_hash, inspection_sample, sample_cap, split_pools
 from .operators.splits import apply_split, assign_splits, special_ids
-from .operators.summaries import age_distribution, dataset_summary, gender_distribution, label_distribution, preprocess_funnel, split_sizes
+from .operators.summaries import age_distribution, dataset_summary, gender_distribution, label_distribution, preprocess_funnel, sample_counts, split_sizes, stem_collisions
 from .sources.readers import newest_new_file
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -303,3 +304,60 @@ def q29_age_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Age groups that occur, with labels."""
     rows = attributes(spark, sf_dir).select(age_group(F.col("age")).cast("int").alias("age_group"))
     return rows.groupBy("age_group").agg(F.count("*").alias("n")).select("age_group", age_group_label(F.col("age_group")).alias("label"), "n")
+
+
+_PARTS = r"""WITH n AS (SELECT page_id, url, regexp_extract(url, '([^/]*)$', 1) AS filename FROM pages),
+p AS (SELECT *, regexp_extract(filename, '^.+(\.[^.]+)$', 1) AS suffix FROM n),
+q AS (SELECT page_id, filename, suffix, left(filename, length(filename) - length(suffix)) AS stem FROM p) """
+
+
+@_query(_PARTS + "SELECT page_id, filename, suffix, stem, stem || '_face.jpg' AS processed_name FROM q")
+def q30_path_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """File name, stem, suffix and processed name of every page's address."""
+    pages = _table(spark, sf_dir, "pages").select("page_id", F.col("url").alias("path"))
+    return with_path_parts(pages).select("page_id", "filename", "suffix", "stem", "processed_name")
+
+
+@_query(_PARTS + "SELECT stem, count(*) AS n FROM q GROUP BY stem HAVING count(*) > 1")
+def q31_stem_collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stem_collisions(with_path_parts(_table(spark, sf_dir, "pages").select(F.col("url").alias("path"))))
+
+
+@_query("""WITH d AS (SELECT *, CAST(l_linenumber % 3 AS DOUBLE) / 4 AS ratio FROM lineitem),
+p AS (SELECT l_orderkey AS image, l_linenumber AS attempt, l_partkey AS face_idx, floor(200 * ratio) AS px, floor(101 * ratio) AS py, l_quantity, l_extendedprice FROM d)
+SELECT image, attempt, face_idx, round(10 - px, 6) AS x0, round(20 - py, 6) AS y0, round(l_quantity - px, 6) AS x1, round(l_extendedprice - py, 6) AS y1 FROM p""")
+def q32_unpad(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Boxes of line items, found in padded copies of a 200 by 101 image, in the image's own coordinates."""
+    box = F.array(F.lit(10.0), F.lit(20.0), F.col("l_quantity"), F.col("l_extendedprice"))
+    lines = _table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("image"), F.col("l_linenumber").alias("attempt"), F.col("l_partkey").alias("face_idx"), box.alias("bbox"), F.array(F.array(F.lit(1.0), F.lit(1.0))).alias("kps"), F.lit(101).alias("height"), F.lit(200).alias("width"), ((F.col("l_linenumber") % 3) / F.lit(4.0)).alias("ratio"))
+    moved = unpad_detections(lines)
+    return moved.select("image", "attempt", "face_idx", *(F.round(F.col("bbox")[k], 6).alias(n) for k, n in enumerate(("x0", "y0", "x1", "y1"))))
+
+
+@_query(f"""WITH {_CAND} SELECT CAST(count(DISTINCT identity_id) AS BIGINT) AS n_identities, CAST(5 AS INTEGER) AS images_per_identity, count(*) FILTER (before < 5 AND valid) AS accepted, count(*) FILTER (before < 5 AND NOT valid) AS rejected,
+  CAST(0.45 AS DOUBLE) AS min_similarity, CAST(20 AS DOUBLE) AS blur_threshold, CAST(42 AS INTEGER) AS seed FROM counted""")
+def q33_generation_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = judged(spark, sf_dir)
+    one = generation_summary(admit_first_k(rows, 5), 0, 5, 0.45, 20.0, 42)
+    ids = rows.agg(F.count_distinct("identity_id").alias("_n"), F.lit(42).alias("seed"))
+    return one.join(ids, "seed").withColumn("n_identities", F.col("_n")).drop("_n")
+
+
+@_query(f"""WITH {_CAND}, n AS (SELECT identity_id, rejection_reason, count(*) AS n FROM counted WHERE before < 5 AND NOT valid GROUP BY ALL)
+SELECT identity_id, string_agg(rejection_reason || '=' || n, ',' ORDER BY rejection_reason) AS reasons FROM n GROUP BY identity_id""")
+def q34_rejection_maps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reasons and their counts of each identity, as text."""
+    _, rejected = split_admission(admit_first_k(judged(spark, sf_dir), 5))
+    text = F.array_join(F.transform(F.array_sort(F.map_entries("reasons")), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))), ",")
+    return rejection_maps(rejected).select("identity_id", text.alias("reasons"))
+
+
+@_query("SELECT vec_id, round(sqrt(list_dot_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[]))), 6) AS norm FROM embeddings")
+def q35_l2_norm_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "embeddings").select("vec_id", F.round(l2_norm_batch(F.col("embedding")), 6).alias("norm"))
+
+
+@_query("SELECT (SELECT count(*) FROM documents) AS n_listed, least(100, (SELECT count(*) FROM documents)) AS n_sampled")
+def q36_sample_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id")
+    return sample_counts(docs, sample_cap(docs, 100, 42, "doc_id"))
