@@ -219,3 +219,25 @@ def contamination(docs: DataFrame, items: DataFrame, text: str = "text", key: st
 def _runs(hit: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Maximal runs of hit words, cut at document borders: (first word, end, first run of each document)."""
     return spans(hit.astype(np.uint8), first, np.arange(256) > 0)
+
+
+def _sql() -> str:
+    """DuckDB SQL of the query over documents and benchmark: windows of each length against runs of words of that length."""
+    words = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    runs = " UNION ALL ".join(f"SELECT rid, p, {n} AS n, string_agg(word, ' ') OVER (PARTITION BY rid ORDER BY p ROWS BETWEEN CURRENT ROW AND {n - 1} FOLLOWING) AS s FROM words WHERE {n} IN (SELECT n FROM windows)" for n in range(1, WINDOW + 1))
+    return f"""
+WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, {words} AS w FROM documents),
+words AS (SELECT rid, unnest(w) AS word, unnest(range(len(w))) AS p FROM docs),
+items AS (SELECT CAST(item_id AS VARCHAR) AS item, {words} AS w FROM benchmark WHERE item_id IS NOT NULL),
+starts AS (SELECT item, w, unnest(range(1, greatest(len(w) - {WINDOW - 1}, 1) + 1)) AS head FROM items WHERE len(w) > 0),
+windows AS (SELECT DISTINCT item, array_to_string(list_slice(w, head, head + {WINDOW - 1}), ' ') AS s, least(len(w), {WINDOW}) AS n FROM starts),
+runs AS ({runs}),
+found AS (SELECT r.rid, r.p, r.n, x.item FROM runs r JOIN windows x ON r.n = x.n AND r.s = x.s),
+hits AS (SELECT rid, count(DISTINCT q) AS n_hit FROM (SELECT rid, unnest(range(p, p + n)) AS q FROM found) GROUP BY rid),
+names AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT rid, item FROM found) GROUP BY rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM docs LEFT JOIN hits USING (rid) LEFT JOIN names USING (rid)"""
+
+
+LEAK_SQL = _sql()

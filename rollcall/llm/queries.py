@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import documents
-from .decontaminate import contamination
+from .decontaminate import LEAK_SQL, contamination
 from .embedding_dedup import EMBEDDING_SQL, embedding_components
 from .language_id import held_out, identify, train
 from .license_scan import scan_licenses
@@ -16,7 +16,7 @@ from .line_dedup import dedupe_lines
 from .mixing import MIX_SQL, mix
 from .quality import resample
 from .simhash import simhash_components
-from .suffix_dedup import remove_repeats
+from .suffix_dedup import REPEATS_SQL, remove_repeats
 from .token_counts import token_counts
 
 
@@ -81,4 +81,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality": op10_quality,
 }
 
-ORACLE_SQL: dict[str, str] = {"op5_embedding_dedup": EMBEDDING_SQL, "op8_mix": MIX_SQL}
+ORACLE_SQL: dict[str, str] = {"op3_suffix_dedup": REPEATS_SQL, "op4_decontaminate": LEAK_SQL, "op5_embedding_dedup": EMBEDDING_SQL, "op8_mix": MIX_SQL}

@@ -391,3 +391,21 @@ def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", len
 
     kind = rows.schema["k"].dataType.simpleString()
     return joined.mapInArrow(run, f"k {kind}, n_bytes long, n_removed long, n_spans long, kept binary").withColumnRenamed("k", key)
+
+
+#: DuckDB SQL of the query over documents: every string of 400 bytes by hash, then runs of repeated ones.
+REPEATS_SQL = """
+WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, encode(coalesce(text, '')) AS b FROM documents),
+starts AS (SELECT rid, b, unnest(range(1, octet_length(b) - 398)) AS i FROM docs WHERE octet_length(b) >= 400),
+hashed AS (SELECT rid, i, hash(b[i:i + 399]) AS h FROM starts),
+repeated AS (SELECT rid, i FROM hashed WHERE h IN (SELECT h FROM hashed GROUP BY h HAVING count(*) > 1)),
+marked AS (SELECT rid, i, CASE WHEN i > lag(i) OVER (PARTITION BY rid ORDER BY i) + 400 THEN 1 ELSE 0 END AS fresh FROM repeated),
+numbered AS (SELECT rid, i, sum(fresh) OVER (PARTITION BY rid ORDER BY i) AS run FROM marked),
+runs AS (SELECT rid, min(i) AS s, max(i) + 400 AS e FROM numbered GROUP BY rid, run),
+gaps AS (SELECT rid, coalesce(lag(e) OVER (PARTITION BY rid ORDER BY s), 1) AS a, s AS z FROM runs UNION ALL
+         SELECT d.rid, coalesce(max(e), 1), octet_length(any_value(b)) + 1 FROM docs d LEFT JOIN runs r ON d.rid = r.rid GROUP BY d.rid),
+kept AS (SELECT g.rid, unhex(string_agg(hex(b[a:z - 1]), '' ORDER BY a, z)) AS k FROM gaps g JOIN docs d ON g.rid = d.rid GROUP BY g.rid),
+sizes AS (SELECT rid, sum(e - s) AS n_removed, count(*) AS n_spans FROM runs GROUP BY rid)
+SELECT doc_id, CAST(octet_length(b) AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(k) AS kept_sha256
+FROM docs JOIN kept USING (rid) LEFT JOIN sizes USING (rid)
+"""
