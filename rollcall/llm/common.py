@@ -42,7 +42,7 @@ def materialize(df: DataFrame) -> DataFrame:
     between two reads, which a recomputed plan might.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/tables/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
