@@ -22,6 +22,6 @@ def shared_dir(spark: SparkSession) -> str:
 def settle(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and read it back, so that every later step sees the same rows."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/steps/{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/steps/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
