@@ -1,7 +1,9 @@
-"""Shared storage between steps of a job."""
+"""Shared storage between steps of a job, and code for its workers."""
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -25,3 +27,16 @@ def settle(df: DataFrame) -> DataFrame:
     path = f"{shared_dir(spark).rstrip('/')}/steps/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def ship(spark: SparkSession) -> None:
+    """Let Python workers import this package: sent as an archive, once, unless they start where it lies anyway."""
+    package = os.path.dirname(os.path.realpath(__file__))
+    root = os.path.dirname(package)
+    starts = [os.getcwd(), *filter(None, os.environ.get("PYTHONPATH", "").split(os.pathsep))]
+    context = spark.sparkContext
+    if root in map(os.path.realpath, starts) or getattr(context, "_rollcall_sent", False):
+        return
+    archive = shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="spark-"), "rollcall"), "zip", root, os.path.basename(package))
+    context.addPyFile(archive)
+    context._rollcall_sent = True
