@@ -11,6 +11,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
+from ..storage import ship
+
 #: Rows of one Arrow batch: documents of some kB each then make batches of a few MB.
 ARROW_ROWS = 256
 #: Bytes of text that one NumPy pass works on; larger single texts are passed alone and whole.
@@ -18,7 +20,8 @@ SLICE_BYTES = 1 << 19
 
 
 def prepare(spark: SparkSession) -> None:
-    """Settings that the Python stages need: small Arrow batches, since texts can be long."""
+    """What the Python stages need: this package on the workers, and small Arrow batches, since texts can be long."""
+    ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
 
 
