@@ -16,7 +16,7 @@ from rollcall.llm.mixing import mix
 from rollcall.llm.simhash import simhash_components
 
 #: Documents whose language is predicted with less than this go.
-LEAST_SCORE = 0.4
+LEAST_SCORE = 0.3
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
