@@ -46,7 +46,7 @@ PARTS = 2
 #: Different contexts of one route that stay together; contexts of one bucket, of one shard.
 HOT, BUCKET, SHARD = 512, 2048, 512
 #: Bytes of the pieces that end phrases, and positions of which the least is taken; less for short strings.
-PHRASE_GRAM, PHRASE_WINDOW = 12, 24
+PHRASE_GRAM, PHRASE_WINDOW = 16, 60
 
 _RNG = np.random.default_rng(11)
 _BYTES = _RNG.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -167,8 +167,12 @@ class Transform:
         before[order == first[string[order]]] = 0
         return cls(before, order + base, np.zeros(n, np.int32), len(first))
 
-    def merge(self, other: Transform) -> Transform:
-        """Interleave refinement of two transforms; other's strings come after this one's."""
+    def merge(self, other: Transform, deepest: int = 1 << 30) -> Transform:
+        """Interleave refinement of two transforms; other's strings come after this one's.
+
+        Prefixes longer than ``deepest`` symbols count as equal: suffixes are in order up to there, which
+        is all that a later merge with the same limit reads.
+        """
         n, m = len(self.bwt), len(self.bwt) + len(other.bwt)
         ends = self.strings + other.strings
         side = np.zeros(m, bool)
@@ -182,7 +186,7 @@ class Transform:
         start = np.cumsum(size) - size
         bwt = bwt.astype(np.uint16) if len(size) <= 1 << 16 else bwt
         depth = 0
-        while True:
+        while depth <= deepest:
             said = np.empty(m, bwt.dtype)
             said[~side], said[side] = bwt[:n], bwt[n:]
             order = np.argsort(said, kind="stable")
@@ -208,7 +212,7 @@ class Transform:
 
 def phrase_size(length: int) -> tuple[int, int]:
     """(gram, window) such that the middle of any string of this length holds a whole phrase that depends on the string alone."""
-    return min(PHRASE_GRAM, length // 16), min(PHRASE_WINDOW, length // 8)
+    return min(PHRASE_GRAM, length // 16), min(PHRASE_WINDOW, length // 7)
 
 
 def phrases(data: np.ndarray, off: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -247,8 +251,11 @@ def shared_runs(data: np.ndarray, off: np.ndarray, length: int, shard: int = SHA
         parts.append(Transform.build(flat[base : int(closed[hi - 1])], first[lo:hi] - base, base))
     if len(parts) == 1:  # a lone shard still gets its LCP values from refinement, with an empty partner
         parts.append(Transform(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32), 0))
+    # no run has to be followed further than the phrases that a whole string can hold
+    reach = np.searchsorted(begin, begin + length)
+    deepest = int((np.minimum(reach, np.cumsum(count)[string]) - np.arange(len(begin))).max(initial=0)) + 1
     while len(parts) > 1:
-        parts = [parts[k].merge(parts[k + 1]) if k + 1 < len(parts) else parts[k] for k in range(0, len(parts), 2)]
+        parts = [parts[k].merge(parts[k + 1], deepest) if k + 1 < len(parts) else parts[k] for k in range(0, len(parts), 2)]
     done = parts[0]
     longest = np.maximum(done.lcp, np.append(done.lcp[1:], 0))
     run = np.zeros(len(flat), np.int64)
@@ -304,8 +311,8 @@ def _bucket_spans(table: pa.Table, length: int) -> pa.Table:
 
 
 def _with_bytes(wanted: DataFrame, docs: DataFrame) -> DataFrame:
-    """``wanted`` (g, lo, k, h, s, a, size) with the bytes of each context, cut out where the document is."""
-    lists = wanted.groupBy("k", "h").agg(F.collect_list(F.struct("g", "lo", "s", "a", "size")).alias("w")).select(F.col("k").alias("k2"), F.col("h").alias("h2"), "w")
+    """``wanted`` (kinds, g, lo, k, h, s, a, size) with the bytes of each context, cut out where the document is."""
+    lists = wanted.groupBy("k", "h").agg(F.collect_list(F.struct("kinds", "g", "lo", "s", "a", "size")).alias("w")).select(F.col("k").alias("k2"), F.col("h").alias("h2"), "w")
     joined = docs.join(lists.hint("shuffle_hash"), docs["k"].eqNullSafe(F.col("k2")) & (docs["h"] == F.col("h2"))).select("k", "h", F.col("t").cast("binary").alias("b"), F.explode("w").alias("w"))
     return joined.select("w.*", "k", "h", F.substring("b", F.col("w.s") + 1, F.col("w.size")).alias("bytes"))
 
@@ -323,10 +330,9 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot:
     several = placed.where("kinds > 1").groupBy("g", "ctx").agg(*(F.first(c).alias(c) for c in ("kinds", "k", "h", "s", "a", "size")))
     several = materialize(several.withColumn("lo", F.floor(F.col("a") / width).cast("int") * width))
     columns = ["g", "lo", "k", "h", "s", "a", "size"]
-    calm_rows = several.where(F.col("kinds") <= hot)
-    n_calm, n_busy = calm_rows.count(), several.where(F.col("kinds") > hot).count()
-    calm = _with_bytes(calm_rows.select(columns), docs)
-    busy = _with_bytes(several.where(F.col("kinds") > hot).select(columns), docs) if n_busy else None
+    several = materialize(_with_bytes(several.select("kinds", *columns), docs))
+    calm, busy = several.where(F.col("kinds") <= hot), several.where(F.col("kinds") > hot)
+    n_calm, n_busy = calm.count(), busy.count()
     while True:
         if n_calm:
             dealt = calm.withColumn("bucket", F.pmod(F.xxhash64("g"), F.lit(-(-n_calm // bucket))))
