@@ -106,14 +106,22 @@ def close(x: np.ndarray, y: np.ndarray, same: bool, threshold: float = THRESHOLD
     return np.concatenate(found_i or [np.zeros(0, int)]), np.concatenate(found_j or [np.zeros(0, int)])
 
 
-def _pair_links(table: pa.Table, d: int, threshold: float) -> pa.Table:
-    """Links of one pair of tiles: (node, other, n): n links counted for node; other: a link of the forest, or null."""
+def _rotated(raw: np.ndarray, axes: np.ndarray) -> np.ndarray:
+    """Unit vectors in principal axes."""
+    return raw @ axes / np.linalg.norm(raw, axis=1, keepdims=True)
+
+
+def _pair_links(table: pa.Table, axes: np.ndarray, kind: type, threshold: float) -> pa.Table:
+    """Links of one pair of tiles: (node, other, n): n links counted for node; other: a link of the forest, or null.
+
+    Tiles travel as they were given (32 bits a component if the column has floats) and are rotated here.
+    """
     rows = {r["side"]: r for r in table.to_pylist()}
     sides = sorted(rows)
     ids = [np.frombuffer(rows[s]["ids"], np.int64) for s in sides]
     many = [np.frombuffer(rows[s]["many"], np.int64) for s in sides]
-    units = [np.frombuffer(rows[s]["units"], np.float64).reshape(-1, d) for s in sides]
-    raw = [np.frombuffer(rows[s]["raw"], np.float64).reshape(-1, d) for s in sides]
+    raw = [np.frombuffer(rows[s]["raw"], kind).astype(np.float64).reshape(-1, len(axes)) for s in sides]
+    units = [_rotated(x, axes) for x in raw]
     same = len(sides) == 1
     a, b = 0, len(sides) - 1
     i, j = close(units[a], units[b], same, threshold)
@@ -130,18 +138,17 @@ def _pair_links(table: pa.Table, d: int, threshold: float) -> pa.Table:
     return pa.table({"node": pa.array(names[full]), "other": pa.array(other, pa.int64()), "n": pa.array(n[full].astype(np.int64))})
 
 
-def _links(classes: DataFrame, d: int, threshold: float, tile: int) -> DataFrame:
-    """(node, other, n) over classes (c, many, v) of vectors with d components."""
+def _links(classes: DataFrame, d: int, kind: type, threshold: float, tile: int) -> DataFrame:
+    """(node, other, n) over classes (c, many, v) of vectors with d components that ``kind`` holds exactly."""
     axes = principal_axes(classes, d)
 
     def rotate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw = _matrix(batch.column(2), d)
-            x = raw @ axes / np.linalg.norm(raw, axis=1, keepdims=True)
-            packed = [pa.array([r.tobytes() for r in m], pa.binary()) for m in (x, raw)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(x[:, 0]), *packed], names=["c", "many", "lead", "unit", "raw"])
+            packed = pa.array([r.tobytes() for r in raw.astype(kind)], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(_rotated(raw, axes)[:, 0]), packed], names=["c", "many", "lead", "raw"])
 
-    turned = materialize(classes.select("c", "many", "v").mapInArrow(rotate, "c long, many long, lead double, unit binary, raw binary"))
+    turned = materialize(classes.select("c", "many", "v").mapInArrow(rotate, "c long, many long, lead double, raw binary"))
     n = turned.count()
     parts = max(1, -(-n // tile))
     cuts = turned.approxQuantile("lead", [k / parts for k in range(1, parts)], 0.1 / parts) if parts > 1 else []
@@ -151,20 +158,19 @@ def _links(classes: DataFrame, d: int, threshold: float, tile: int) -> DataFrame
     def pack(table: pa.Table) -> pa.Table:
         order = np.argsort(table["c"].to_numpy())
         table = table.take(pa.array(order))
-        joined = {k: b"".join(table[k].to_pylist()) for k in ("unit", "raw")}
-        return pa.table({"tile": table["tile"].combine_chunks()[:1], "ids": [table["c"].to_numpy().astype(np.int64).tobytes()], "many": [table["many"].to_numpy().astype(np.int64).tobytes()], "units": [joined["unit"]], "raw": [joined["raw"]]})
+        return pa.table({"tile": table["tile"].combine_chunks()[:1], "ids": [table["c"].to_numpy().astype(np.int64).tobytes()], "many": [table["many"].to_numpy().astype(np.int64).tobytes()], "raw": [b"".join(table["raw"].to_pylist())]})
 
-    tiles = materialize(placed.groupBy("tile").applyInArrow(pack, "tile int, ids binary, many binary, units binary, raw binary"))
+    tiles = materialize(placed.groupBy("tile").applyInArrow(pack, "tile int, ids binary, many binary, raw binary"))
     reach = float(np.sqrt(max(0.0, 2 - 2 * threshold))) + MARGIN
     low, high = [-2.0, *cuts], [*cuts, 2.0]
     first = [next(u for u in range(t + 1) if low[t] - high[u] <= reach) for t in range(parts)]
     last = [next(u for u in range(parts - 1, t - 1, -1) if low[u] - high[t] <= reach) for t in range(parts)]
     as_left = F.explode(F.sequence(F.col("tile"), F.element_at(F.array(*map(F.lit, last)), F.col("tile") + 1)))
     as_right = F.explode(F.sequence(F.element_at(F.array(*map(F.lit, first)), F.col("tile") + 1), F.col("tile")))
-    body = ["ids", "many", "units", "raw"]
+    body = ["ids", "many", "raw"]
     left = tiles.select(F.col("tile").alias("p"), as_left.alias("q"), F.lit(0).alias("side"), *body)
     right = tiles.select(as_right.alias("p"), F.col("tile").alias("q"), F.lit(1).alias("side"), *body).where("p < q")
-    return left.unionAll(right).groupBy("p", "q").applyInArrow(lambda t: _pair_links(t, d, threshold), "node long, other long, n long")
+    return left.unionAll(right).groupBy("p", "q").applyInArrow(lambda t: _pair_links(t, axes, kind, threshold), "node long, other long, n long")
 
 
 def embedding_components(vectors: DataFrame, vector: str = "embedding", key: str = "vec_id", threshold: float = THRESHOLD, tile: int = TILE) -> DataFrame:
@@ -173,9 +179,10 @@ def embedding_components(vectors: DataFrame, vector: str = "embedding", key: str
     rows = materialize(unit_rows(vectors, vector, key))
     classes = rows.where("cls is not null").groupBy("cls").agg(F.min("k").alias("owner"), F.count("*").alias("many"), F.first("v").alias("v"))
     classes = materialize(classes.withColumn("c", F.xxhash64("cls")))
+    kind = np.float32 if vectors.schema[vector].dataType.simpleString() == "array<float>" else np.float64
     links = None
     for r in classes.groupBy(F.size("v").alias("d")).count().collect():
-        part = _links(classes.where(F.size("v") == r["d"]), r["d"], threshold, tile)
+        part = _links(classes.where(F.size("v") == r["d"]), r["d"], kind, threshold, tile)
         links = part if links is None else links.unionAll(part)
     one = F.col("k")
     if links is None:
