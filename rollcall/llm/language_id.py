@@ -191,13 +191,19 @@ def held_out(key):
 
 def training_rows(docs: DataFrame, text: str, lang: str, key: str, per_language: int, stretch: int) -> DataFrame:
     """(lang, bytes): at most ``per_language`` labelled rows of each language outside the held-out fold, the least by hash."""
-    rows = docs.where(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}") & ~F.coalesce(held_out(F.col(key)), F.lit(False))).select(F.col(lang).alias("lang"), F.xxhash64(F.col(key).cast("string")).alias("h"), F.col(text).cast("string").cast("binary").alias("b"))
-    counts = rows.groupBy("lang").count()
-    share = F.least(F.lit(1.0), F.lit(2.0 * per_language) / F.col("count"))
-    # a hash threshold thins each language to about twice the bound before rows are ordered
-    thin = rows.join(counts, "lang").where((F.pmod(F.col("h"), F.lit(1 << 20)) / float(1 << 20) < share) | (F.col("count") <= 8 * per_language))
+    own = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & ~F.coalesce(held_out(F.col(key)), F.lit(False)))
+    h = F.xxhash64(F.col(key).cast("string"))
+    # one count for each class of the network; a threshold thins each to about twice the bound before any text is read
+    counts = {r["lang"]: r["n"] for r in own.groupBy(F.col(lang).alias("lang")).agg(F.count("*").alias("n")).collect()}
+    common = {name: 2.0 * per_language / n for name, n in counts.items() if n > 8 * per_language}
+    share = F.lit(1.0)
+    if common:
+        listed = F.create_map(*(F.lit(x) for pair in common.items() for x in pair))
+        share = F.coalesce(F.try_element_at(listed, F.col(lang)), F.lit(1.0))
+    thin = own.where(F.pmod(h, F.lit(1 << 20)) / float(1 << 20) < share).where(F.col(text).rlike(r"\p{L}"))
+    rows = thin.select(F.col(lang).alias("lang"), h.alias("h"), F.col(text).cast("string").cast("binary").alias("b"))
     room = F.greatest(F.length("b") - stretch + 1, F.lit(1))
-    cut = thin.select("lang", "h", F.expr("b").alias("b"), (F.pmod(F.xxhash64("h"), room) + 1).cast("int").alias("at")).select("lang", "h", F.col("b").substr(F.col("at"), F.lit(stretch)).alias("b"))
+    cut = rows.withColumn("at", (F.pmod(F.xxhash64("h"), room) + 1).cast("int")).select("lang", "h", F.col("b").substr(F.col("at"), F.lit(stretch)).alias("b"))
     return cut.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h", "b"))).where(F.col("r") <= per_language).select("lang", "h", "b")
 
 
