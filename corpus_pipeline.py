@@ -13,7 +13,7 @@ from rollcall.llm.decontaminate import contamination
 from rollcall.llm.language_id import UNKNOWN, identify, train
 from rollcall.llm.line_dedup import dedupe_lines
 from rollcall.llm.mixing import mix
-from rollcall.llm.simhash import simhash_components
+from rollcall.llm.near_copies import near_copy_groups
 
 #: Documents whose language is predicted with less than this go.
 LEAST_SCORE = 0.3
@@ -35,13 +35,13 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of SimHash neighbours: the one with the least doc_id, and of equal ids the least text hash."""
-    groups = simhash_components(docs)
-    first = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    chosen = first.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fingerprint")).alias("_f")).agg(F.min("text_hash").alias("_h"))
-    chosen = materialize(chosen.select(F.col("component_id").alias("_id"), "_h"))
-    kept = docs.join(chosen.hint("shuffle_hash"), docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_h")), "left_semi")
-    repeated = not first.groupBy("component_id", "doc_id", "text_hash", "fingerprint").count().where("count > 1").isEmpty()
+    """Keeps one document of each group of near copies (5-word shingles, similarity 0.8 or more): the one with the least doc_id, and of equal ids the least text hash."""
+    groups = materialize(near_copy_groups(docs))
+    chosen = groups.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("one"))
+    chosen = materialize(chosen.select(F.col("one.doc_id").alias("_id"), F.col("one.text_hash").alias("_h")))
+    kept = docs.join(chosen.hint("shuffle_hash"), docs["doc_id"].eqNullSafe(F.col("_id")) & F.xxhash64(docs["text"]).eqNullSafe(F.col("_h")), "left_semi")
+    first = groups.join(chosen, groups["doc_id"].eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_h")), "left_semi")
+    repeated = not first.groupBy("doc_id", "text_hash").count().where("count > 1").isEmpty()
     return kept.dropDuplicates(["doc_id", "text"]) if repeated else kept
 
 

@@ -97,12 +97,11 @@ def xxh64(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = SE
 _BITS = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
 
 
-def fingerprints_of(data: np.ndarray, off: np.ndarray, shingle: int = SHINGLE, seed: int = SEED) -> np.ndarray:
-    """The fingerprint of each text of a slice (uint64)."""
+def shingle_hashes(data: np.ndarray, off: np.ndarray, shingle: int = SHINGLE, seed: int = SEED) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, number of the text) of each shingle of a slice, in order of the texts (uint64, int)."""
     starts, ends, first = spans(data, off, SOLID)
-    n_docs = len(off) - 1
     if not len(starts):
-        return np.zeros(n_docs, np.uint64)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     solid = SOLID[data]
     keep = solid.copy()
     keep[1:] |= solid[:-1]
@@ -111,10 +110,17 @@ def fingerprints_of(data: np.ndarray, off: np.ndarray, shingle: int = SHINGLE, s
     starts, ends = place[starts] - 1, place[ends - 1]
     words = np.diff(first)
     count = np.where(words >= shingle, words - shingle + 1, np.minimum(words, 1))
-    doc = np.repeat(np.arange(n_docs), count)
+    doc = np.repeat(np.arange(len(off) - 1), count)
     head = first[:-1][doc] + np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count)
     tail = np.minimum(head + shingle, first[1:][doc]) - 1
-    h = xxh64(flat, starts[head], ends[tail], seed)
+    return xxh64(flat, starts[head], ends[tail], seed), doc
+
+
+def fingerprints_of(data: np.ndarray, off: np.ndarray, shingle: int = SHINGLE, seed: int = SEED) -> np.ndarray:
+    """The fingerprint of each text of a slice (uint64)."""
+    n_docs = len(off) - 1
+    h, doc = shingle_hashes(data, off, shingle, seed)
+    count = np.bincount(doc, minlength=n_docs)
     out = np.zeros(n_docs, np.uint64)
     for k in range(8):
         byte = ((h >> np.uint64(8 * k)) & np.uint64(255)).astype(np.int64)
