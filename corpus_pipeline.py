@@ -27,7 +27,7 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Deletes blocks of lines that an earlier document has; a document of which nothing is left goes."""
-    found = dedupe_lines(docs)
+    found = dedupe_lines(docs, every=True)
     found = found.where((F.col("_n_removed") == 0) | (F.trim("text") != ""))
     if "n_chars" in docs.columns:
         found = found.withColumn("n_chars", F.when(F.col("_n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
