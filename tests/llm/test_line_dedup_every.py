@@ -40,6 +40,13 @@ def test_owner_that_holds_a_line_twice(spark):
     assert got == {1: 0, 2: 0, 3: 1, 4: 1, 5: 1}
 
 
+def test_passage_of_short_lines(spark):
+    verse = "roses are red\nviolets blue\n花は紅、柳は緑"
+    rows = [(k, f"own {k}\n{verse}\nend {k}") for k in range(4)] + [(9, "own\nroses are red\nend")]
+    got = {r["doc_id"]: r["text"] for r in dedupe_lines(spark.createDataFrame(rows, "doc_id long, text string"), every=True).collect()}
+    assert got == {0: rows[0][1], **{k: f"own {k}\nend {k}" for k in range(1, 4)}, 9: rows[4][1]}
+
+
 def test_query_and_defined_results(spark):
     line = "a line that is long enough to find a pair"
     rows = [(1, line), (1, line), (None, line), (2, None), (3, ""), (6, "new\n" + line + "\nshort")]
