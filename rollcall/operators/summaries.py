@@ -1,4 +1,4 @@
-"""Summaries of jobs. Each is an aggregate; only lists of identities have a bound, with their full count beside."""
+"""Summaries of jobs. Each is an aggregate; lists of identities are whole, with their count beside."""
 
 from __future__ import annotations
 
@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from ..functions.attributes import AGE_LABELS, age_group_label
 
-#: Ids that a summary lists of one split; n_* tells how many there are.
-LISTED_IDS = 100_000
 SOURCE = "identity-conditioned synthetic variants"
 
 
@@ -68,10 +66,10 @@ def label_distribution(df: DataFrame, split: str = "retain") -> DataFrame:
     return counts.select("age_group", age_group_label(F.col("age_group"), unknown=False).alias("label"), "n").orderBy(F.desc("n"), "age_group")
 
 
-def dataset_summary(dataset: DataFrame, ids: DataFrame, special: DataFrame, n_forget: int, key: str = "cluster_id", listed: int = LISTED_IDS) -> DataFrame:
+def dataset_summary(dataset: DataFrame, ids: DataFrame, special: DataFrame, n_forget: int, key: str = "cluster_id") -> DataFrame:
     """One row. n_clusters counts all ids, also those that lost all their images; id lists are in rank order.
 
-    Retained ids have no rank; they are listed by id, up to ``listed`` of them, and counted in n_retain.
+    Retained ids have no rank; all of them are listed by id in one array, and counted in n_retain.
     """
     one = F.lit(1).alias("_one")
     sizes = split_sizes(dataset).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("split", "n")))).alias("split_sizes"))
@@ -85,7 +83,7 @@ def dataset_summary(dataset: DataFrame, ids: DataFrame, special: DataFrame, n_fo
 
     known = special.agg(ranked("forget"), ranked("test"))
     retained = ids.join(special.select(key), key, "left_anti")
-    retained = retained.agg(F.count("*").alias("n_retain")).withColumn("_one", F.lit(1)).join(retained.orderBy(key).limit(listed).agg(F.array_sort(F.collect_list(key)).alias("retain_clusters")).withColumn("_one", F.lit(1)), "_one").drop("_one")
+    retained = retained.agg(F.count("*").alias("n_retain"), F.array_sort(F.collect_list(key)).alias("retain_clusters"))
     out = total.select("*", F.lit(SOURCE).alias("identity_source"), F.lit(n_forget).alias("n_forget"), one)
     for part in (clusters, sizes, known, retained, labels):
         out = out.join(part.select("*", one), "_one")
