@@ -11,14 +11,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that spark.checkpoint.dir names; a temporary one only where the session names none."""
+    """The folder that all executors share: spark.checkpoint.dir. A temporary one only where everything runs on this machine."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found
     context = spark.sparkContext
-    if not context.getCheckpointDir():
+    known = context.getCheckpointDir()
+    if not known:
+        if not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
-    return context.getCheckpointDir()
+        known = context.getCheckpointDir()
+    return known
 
 
 def settle(df: DataFrame) -> DataFrame:
