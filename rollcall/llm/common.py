@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -11,31 +10,15 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
-from ..storage import ship
+from ..storage import shared_dir, ship
 
-#: Rows of one Arrow batch: documents of some kB each then make batches of a few MB.
-ARROW_ROWS = 256
-#: Bytes of text that one NumPy pass works on; larger single texts are passed alone and whole.
+#: Bytes of text that one NumPy pass works on. Single texts may be longer; operations cut those in stretches.
 SLICE_BYTES = 1 << 19
 
 
 def prepare(spark: SparkSession) -> None:
-    """What the Python stages need: this package on the workers, and small Arrow batches, since texts can be long."""
+    """What the Python stages need: this package on the workers. Arrow batches hold 64 MB at most by Spark's default."""
     ship(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share; a temporary one only where the session names none (local tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        context = spark.sparkContext
-        known = context.getCheckpointDir()
-        if not known:
-            context.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
-            known = context.getCheckpointDir()
-        found = known
-    return found
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -78,6 +61,23 @@ def slices(batch: pa.RecordBatch, name: str, most: int = SLICE_BYTES) -> Iterato
         at = to
 
 
+def cuts(data: np.ndarray, inside: np.ndarray, most: int = SLICE_BYTES) -> list[int]:
+    """Places that cut a text into stretches of ``most`` bytes or somewhat more, none inside a run of bytes with inside[byte]."""
+    out, at = [0], most
+    while at + most < len(data):
+        free = np.flatnonzero(~inside[data[at : at + most]])
+        if len(free):
+            out.append(at + int(free[0]))
+            at = out[-1]
+        at += most
+    return [*out, len(data)]
+
+
+def long_text(data: np.ndarray, off: np.ndarray, most: int = SLICE_BYTES) -> bool:
+    """Whether a slice is one text that should be worked on in stretches."""
+    return len(off) == 2 and len(data) > 2 * most
+
+
 def spans(data: np.ndarray, off: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(starts, ends, first word of each text) of the maximal runs of bytes with inside[byte], cut at text borders."""
     if not len(data):

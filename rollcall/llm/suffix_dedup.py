@@ -6,30 +6,32 @@ Routing. Of each ``LENGTH``-byte string the ``GRAM``-byte piece with the least h
 rightmost of equals), so two equal strings have equal anchors at the same place in them. The strings of
 an anchor are cut in ``PARTS`` by that place; those of one part all hold a core around the anchor, and
 anchor, part and core are their route. A context is what the strings of one route at one spot cover.
-Contexts are counted by (route, content): a route that occurs once proves its strings unique; a context
-that occurs twice is repeated as a whole. Only routes with several different contexts go on, and only one
-copy of each context.
-
-Merging. Contexts are dealt into buckets by route. In a bucket they arrive in shards; each shard's
-contexts are parsed into phrases at local hash minima, and the shard's BWT over phrases is built.
-Transforms are merged in pairs by interleave refinement: the interleave is stably redistributed by the
-preceding symbols until no block splits any more; the round in which a border first appears is the
-longest common prefix there, so the merged transform has its LCP values and its repeated intervals
-without sorting a suffix again. A suffix shares its longest run of phrases with a neighbour; where that run
-(plus what a string's two ends can hold of cut phrases) is long enough, strings may repeat. These are then
-verified over all their bytes, by 64-bit hashes of the whole strings within the route's contexts.
+A route that occurs once proves its strings unique. Of all others the contexts go on: one of each content,
+and a second one (of another place) where a content occurs again. Routing decides nothing else.
+
+Merging. Contexts are dealt into buckets by route. What a bucket's contexts hold from the anchor on, and what
+they hold before it read backwards, are two sets of strings over symbols of ``SYMBOL`` bytes (named in byte
+order, by their bytes). Each set arrives in shards; each shard's transform is built, and transforms are merged
+in pairs by interleave refinement: the interleave is stably redistributed by the preceding symbols until
+no block splits any more; the round in which a border first appears is the longest common prefix there. So
+both sets come out sorted with their LCP values without sorting a suffix again. The string that begins d
+bytes before an anchor is repeated if another context is in the same LCP interval of d bytes backwards and of
+LENGTH - d bytes forwards: these intervals, and no hash, say what is removed.
 
 Hot routes. A route with more than ``HOT`` different contexts is cut again by the anchor's place in the
 string, into quarters with longer cores, until groups are small or the core is the whole string: a
-passage that stands in every document neither meets in one task nor is cut off.
+passage that stands in every document neither meets in one task nor is cut off. Places of a content
+get its result by a join, in which contents that hold over a thousandth of all places (at most 1,000 of
+them) are broadcast, so that no hot one gathers in a task.
 
 Null text is empty: 0 bytes, nothing removed. Rows that repeat (same doc_id, same text) are copies of each
-other. Texts shorter than LENGTH keep everything.
+other. Texts shorter than LENGTH keep everything. An empty table gives no rows. Long texts are routed in
+stretches of ``SLICE_BYTES``, so the memory of a task grows with a text only as its own bytes do. Columns
+other than key and text aren't read, so no name can clash.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,16 +39,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, mix, prefix_hash, prepare, slices, span_hash
+from .common import SLICE_BYTES, materialize, mix, prefix_hash, prepare, slices, span_hash
 
 #: Bytes of a string whose repetition counts; bytes of an anchor.
 LENGTH, GRAM = 400, 32
 #: Parts that an anchor's strings are cut into at first.
 PARTS = 2
 #: Different contexts of one route that stay together; contexts of one bucket, of one shard.
-HOT, BUCKET, SHARD = 512, 2048, 512
-#: Bytes of the pieces that end phrases, and positions of which the least is taken; less for short strings.
-PHRASE_GRAM, PHRASE_WINDOW = 16, 60
+HOT, BUCKET, SHARD = 2048, 2048, 512
+#: Bytes of a symbol of the transforms.
+SYMBOL = 32
+#: Keys with more than this share of all rows are joined by broadcast: there are at most so many.
+HOT_KEYS = 1000
 
 _RNG = np.random.default_rng(11)
 _BYTES = _RNG.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -116,21 +120,29 @@ def routes_of(data: np.ndarray, off: np.ndarray, length: int, gram: int, width:
     return text, mix(core ^ mix(h[anchor] + part.astype(np.uint64))), anchor, begin, end
 
 
-def route_table(docs: DataFrame, length: int, gram: int, width: int) -> DataFrame:
-    """(g, ctx, k, h, s, a, size): route, hash of its context, row (doc_id and hash of text), first byte, place of the anchor in it, bytes."""
+def route_table(docs: DataFrame, length: int, gram: int, width: int, most: int = SLICE_BYTES) -> DataFrame:
+    """(g, ctx, id, s, a, size): route, hash of its context, row, first byte, place of the anchor in it, bytes."""
+
+    def stretches(data: np.ndarray, off: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+        """A slice as it is; a long text by its starts, each stretch with the rest of its last string."""
+        if len(off) > 2 or len(data) <= 2 * most:
+            yield data, off, 0
+            return
+        for lo in range(0, len(data) - length + 1, most):
+            part = data[lo : lo + most + length - 1]
+            yield part, np.array([0, len(part)]), lo
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, data, off in slices(batch, "t"):
-                text, route, place, begin, end = routes_of(data, off, length, gram, width)
-                ctx = mix(span_hash(prefix_hash(data), begin, end) + (place - begin).astype(np.uint64))
-                rows = pa.array(text)
-                cols = [pa.array(route.view(np.int64)), pa.array(ctx.view(np.int64)), part.column(0).take(rows), part.column(1).take(rows)]
-                cols += [pa.array(x.astype(np.int32)) for x in (begin - off[:-1][text], place - begin, end - begin)]
-                yield pa.RecordBatch.from_arrays(cols, names=["g", "ctx", "k", "h", "s", "a", "size"])
+            for part, whole, all_off in slices(batch, "t"):
+                for data, off, shift in stretches(whole, all_off):
+                    text, route, place, begin, end = routes_of(data, off, length, gram, width)
+                    ctx = mix(span_hash(prefix_hash(data), begin, end) + (place - begin).astype(np.uint64))
+                    cols = [pa.array(route.view(np.int64)), pa.array(ctx.view(np.int64)), part.column(0).take(pa.array(text))]
+                    cols += [pa.array(x.astype(np.int32)) for x in (begin - off[:-1][text] + shift, place - begin, end - begin)]
+                    yield pa.RecordBatch.from_arrays(cols, names=["g", "ctx", "id", "s", "a", "size"])
 
-    kind = docs.schema["k"].dataType.simpleString()
-    return docs.select("k", "h", "t").mapInArrow(run, f"g long, ctx long, k {kind}, h long, s int, a int, size int")
+    return docs.select("id", "t").mapInArrow(run, "g long, ctx long, id long, s int, a int, size int")
 
 
 class Transform:
@@ -210,166 +222,185 @@ class Transform:
         return Transform(said.astype(np.int64), place, lcp, ends)
 
 
-def phrase_size(length: int) -> tuple[int, int]:
-    """(gram, window) such that the middle of any string of this length holds a whole phrase that depends on the string alone."""
-    return min(PHRASE_GRAM, length // 16), min(PHRASE_WINDOW, length // 7)
-
-
-def phrases(data: np.ndarray, off: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """(begin, end) in bytes of the phrases of each string: from one local minimum to the next, both grams included."""
-    gram, window = phrase_size(length)
-    h = gram_hashes(data, gram)
-    least = window_minima(h, window)
-    whole = np.zeros(len(data) + 1, np.int64)
-    span = gram + window - 1
-    big = np.diff(off) >= span
-    np.add.at(whole, off[:-1][big], 1)
-    np.add.at(whole, off[1:][big] - span + 1, -1)
-    place = least[np.cumsum(whole)[: len(least)] > 0]
-    place = np.unique(place)
-    string = np.searchsorted(off, place, "right") - 1
-    pair = np.flatnonzero(string[1:] == string[:-1])
-    return place[pair], place[pair + 1] + gram
-
-
-def shared_runs(data: np.ndarray, off: np.ndarray, length: int, shard: int = SHARD) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(string, begin, end) in bytes: for each phrase, the longest run of phrases from there that stands elsewhere in the bucket too."""
-    begin, end = phrases(data, off, length)
-    string = np.searchsorted(off, begin, "right") - 1
-    _, symbol = np.unique(span_hash(prefix_hash(data), begin, end), return_inverse=True)
-    n_strings = len(off) - 1
-    count = np.bincount(string, minlength=n_strings)
+def symbols_of(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(names, bytes, first symbol of each string): the strings in symbols of SYMBOL bytes, the last one filled up with zeros.
+
+    Names are ranks in byte order, a shorter symbol before a longer one that differs in zeros only.
+    """
+    size = np.diff(off)
+    count = -(-size // SYMBOL)
+    first = np.concatenate([[0], np.cumsum(count)])
+    raw = np.zeros((int(first[-1]), SYMBOL), np.uint8)
+    raw.reshape(-1)[np.arange(len(data)) + np.repeat(first[:-1] * SYMBOL - off[:-1], size)] = data
+    used = np.full(len(raw), SYMBOL)
+    used[first[1:][count > 0] - 1] = (size - (count - 1) * SYMBOL)[count > 0]
+    words = raw.view(">u8").astype(np.uint64)
+    name = np.zeros(len(raw), np.int64)
+    for column in [*words.T, used]:
+        values, own = np.unique(column, return_inverse=True)
+        _, name = np.unique(name * len(values) + own, return_inverse=True)
+    return name, raw, first
+
+
+def sorted_strings(data: np.ndarray, off: np.ndarray, shard: int = SHARD) -> tuple[np.ndarray, np.ndarray]:
+    """(strings in byte order, bytes that each but the first shares with the one before), from merged transforms of shards."""
+    n = len(off) - 1
+    name, raw, begin = symbols_of(data, off)
+    count = np.diff(begin)
     closed = np.cumsum(count + 1)
     first = closed - count - 1
     flat = np.zeros(int(closed[-1]), np.int64)
-    own = np.arange(len(symbol)) + string
-    flat[own] = symbol + 1
+    flat[np.arange(len(name)) + np.repeat(np.arange(n), count)] = name + 1
     parts = []
-    for lo in range(0, n_strings, shard):
-        hi = min(n_strings, lo + shard)
+    for lo in range(0, n, shard):
+        hi = min(n, lo + shard)
         base = int(first[lo])
         parts.append(Transform.build(flat[base : int(closed[hi - 1])], first[lo:hi] - base, base))
     if len(parts) == 1:  # a lone shard still gets its LCP values from refinement, with an empty partner
         parts.append(Transform(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32), 0))
-    # no run has to be followed further than the phrases that a whole string can hold
-    reach = np.searchsorted(begin, begin + length)
-    deepest = int((np.minimum(reach, np.cumsum(count)[string]) - np.arange(len(begin))).max(initial=0)) + 1
     while len(parts) > 1:
-        parts = [parts[k].merge(parts[k + 1], deepest) if k + 1 < len(parts) else parts[k] for k in range(0, len(parts), 2)]
+        parts = [parts[k].merge(parts[k + 1]) if k + 1 < len(parts) else parts[k] for k in range(0, len(parts), 2)]
     done = parts[0]
-    longest = np.maximum(done.lcp, np.append(done.lcp[1:], 0))
-    run = np.zeros(len(flat), np.int64)
-    run[done.place] = longest
-    run = run[own]
-    full = np.flatnonzero(run > 0)
-    return string[full], begin[full], end[full + run[full] - 1]
-
-
-def repeated_starts(data: np.ndarray, off: np.ndarray, group: np.ndarray, anchor: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
-    """(context, start in bytes) of the strings that occur in several contexts of a route. anchor: its place in ``data``."""
-    string, begin, end = shared_runs(data, off, length)
-    slack = 2 * sum(phrase_size(length))
-    keep = end - begin + 2 * slack >= length
-    string, begin, end = string[keep], begin[keep], end[keep]
-    # starts whose string lies within slack of a shared run
-    a = np.maximum(begin - slack, off[:-1][string])
-    z = np.minimum(end + slack, off[1:][string]) - length
-    good = a <= z
-    mark = np.zeros(len(data) + 1, np.int64)
-    np.add.at(mark, a[good], 1)
-    np.add.at(mark, z[good] + 1, -1)
-    start = np.flatnonzero(np.cumsum(mark)[:-1] > 0)
-    owner = np.searchsorted(off, start, "right") - 1
-    whole = span_hash(prefix_hash(data), start, start + length)
-    key = mix(whole ^ mix(group[owner].astype(np.uint64) * _STEP + (anchor[owner] - start).astype(np.uint64)))
+    string = np.full(len(flat), -1)
+    string[first] = np.arange(n)
+    at = np.flatnonzero(string[done.place] >= 0)
+    order = string[done.place[at]]
+    if n < 2:
+        return order, np.zeros(0, np.int64)
+    shared = np.minimum.reduceat(done.lcp[1 : at[-1] + 1], at[:-1]).astype(np.int64)
+    x, y = order[:-1], order[1:]
+    size = np.diff(off)
+    least = np.minimum(size[x], size[y])
+    # where both go on, the symbols that differ still share bytes
+    on = np.flatnonzero(shared < np.minimum(count[x], count[y]))
+    differ = raw[begin[x[on]] + shared[on]] != raw[begin[y[on]] + shared[on]]
+    more = np.zeros(len(shared), np.int64)
+    more[on] = np.where(differ.any(1), differ.argmax(1), SYMBOL)
+    return order, np.minimum(shared * SYMBOL + more, least)
+
+
+def interval_table(order: np.ndarray, shared: np.ndarray, depths: np.ndarray) -> np.ndarray:
+    """(strings, depths): number of the LCP interval of each depth that each string lies in."""
+    found = np.zeros((len(order), len(depths)), np.int64)
+    found[order[1:]] = np.cumsum(shared[:, None] < depths[None, :], axis=0)
+    return found
+
+
+def repeated_starts(data: np.ndarray, off: np.ndarray, anchor: np.ndarray, length: int = LENGTH, shard: int = SHARD) -> tuple[np.ndarray, np.ndarray]:
+    """(context, start in it) of the strings that stand in several contexts. anchor: its place in each context."""
+    n, size = len(off) - 1, np.diff(off)
+    place = np.arange(len(data)) - np.repeat(off[:-1], size)
+    ahead = place >= np.repeat(anchor, size)
+    forward = sorted_strings(data[ahead], np.concatenate([[0], np.cumsum(size - anchor)]), shard)
+    order, shared = sorted_strings(data[::-1][~ahead[::-1]], np.concatenate([[0], np.cumsum(anchor[::-1])]), shard)
+    low, high = np.maximum(0, anchor + length - size), anchor
+    depths = np.arange(int(low.min()), int(high.max()) + 1)
+    back = interval_table(n - 1 - order, shared, depths)
+    ahead = interval_table(*forward, length - depths)
+    many = high - low + 1
+    context = np.repeat(np.arange(n), many)
+    depth = np.arange(len(context)) - np.repeat(np.cumsum(many) - many, many) + low[context]
+    column = depth - depths[0]
+    key = (column * n + back[context, column]) * n + ahead[context, column]
     order = np.argsort(key, kind="stable")
-    same = np.zeros(len(key), bool)
     equal = key[order][1:] == key[order][:-1]
+    same = np.zeros(len(key), bool)
     same[order[1:][equal]] = True
     same[order[:-1][equal]] = True
-    return owner[same], start[same]
+    return context[same], (anchor[context] - depth)[same]
 
 
-def _bucket_spans(table: pa.Table, length: int) -> pa.Table:
-    """Spans to remove, in bytes of the documents, that the contexts of one bucket prove."""
+def _bucket_ranges(table: pa.Table, length: int) -> pa.Table:
+    """(g, ctx, n, b, len): the bytes of each content that the contexts of one bucket prove repeated."""
     column = table["bytes"].combine_chunks().cast(pa.large_binary())
     _, offsets, raw = column.buffers()
     off = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
     data = np.frombuffer(raw, np.uint8)[off[0] : off[-1]]
-    off = off - off[0]
-    group, anchor, first = (table[c].to_numpy() for c in ("g", "a", "s"))
-    owner, start = repeated_starts(data, off, group.view(np.uint64), off[:-1] + anchor, length)
-    fresh = np.ones(len(start), bool)
-    fresh[1:] = (owner[1:] != owner[:-1]) | (start[1:] > start[:-1] + length)
-    cut = np.flatnonzero(fresh)
-    last = np.append(cut[1:], len(start))[: len(cut)] - 1
-    row = owner[cut]
-    shift = first[row] - off[:-1][row]
-    begin = (start[cut] + shift).astype(np.int32)
-    rows = pa.array(row)
-    return pa.table({"k": table["k"].take(rows), "h": table["h"].take(rows), "s": begin, "size": (start[last] + length - start[cut]).astype(np.int32)})
+    context, start = repeated_starts(data, off - off[0], table["a"].to_numpy().astype(np.int64), length)
+    n = len(table)
+    low, high = np.full(n, 1 << 30), np.full(n, -1)
+    np.minimum.at(low, context, start)
+    np.maximum.at(high, context, start)
+    # strings of one context begin less than a string's length apart, so what they cover has no gap
+    full = np.flatnonzero((high >= 0) & (table["c"].to_numpy() == 0))
+    rows = table.select(["g", "ctx", "n"]).take(pa.array(full))
+    return rows.append_column("b", pa.array(low[full].astype(np.int32))).append_column("len", pa.array((high - low)[full].astype(np.int32) + length))
+
 
+def spread_join(rows: DataFrame, small: DataFrame, keys: list[str], weight: str) -> DataFrame:
+    """Inner join of ``rows`` with ``small`` (one row for each key; ``weight``: at least how many rows have it, summing up to about all rows).
 
-def _with_bytes(wanted: DataFrame, docs: DataFrame) -> DataFrame:
-    """``wanted`` (kinds, g, lo, k, h, s, a, size) with the bytes of each context, cut out where the document is."""
-    lists = wanted.groupBy("k", "h").agg(F.collect_list(F.struct("kinds", "g", "lo", "s", "a", "size")).alias("w")).select(F.col("k").alias("k2"), F.col("h").alias("h2"), "w")
-    joined = docs.join(lists.hint("shuffle_hash"), docs["k"].eqNullSafe(F.col("k2")) & (docs["h"] == F.col("h2"))).select("k", "h", F.col("t").cast("binary").alias("b"), F.explode("w").alias("w"))
-    return joined.select("w.*", "k", "h", F.substring("b", F.col("w.s") + 1, F.col("w.size")).alias("bytes"))
+    Keys with more than 1 / HOT_KEYS of the rows are few by that, and broadcast; the others are shuffled.
+    """
+    limit = max(1, small.agg(F.sum(weight)).first()[0] or 0) / HOT_KEYS
+    hot = small.where(F.col(weight) > limit)
+    rest = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(small.where(F.col(weight) <= limit), keys)
+    return rows.join(F.broadcast(hot), keys).unionByName(rest)
+
+
+def _candidates(classes: DataFrame) -> DataFrame:
+    """Contents (g, ctx, n, ...) of routes that occur more than once, with kinds: the contents of the route."""
+    seen = classes.groupBy("g").agg(F.count("*").alias("kinds"), F.sum("n").alias("total")).where("total > 1").drop("total")
+    return spread_join(classes, materialize(seen), ["g"], "kinds")
+
+
+def _copies(classes: DataFrame, fields: list[str]) -> DataFrame:
+    """A row for each content, and a second one (c 1) for contents that occur again: fields x from x and x2."""
+    one = F.struct(F.lit(0).alias("c"), *(F.col(x) for x in fields))
+    two = F.struct(F.lit(1).alias("c"), *(F.col(f"{x}2").alias(x) for x in fields))
+    own = [x for x in classes.columns if x.removesuffix("2") not in fields]
+    return classes.select(*own, F.explode(F.when(F.col("n") > 1, F.array(one, two)).otherwise(F.array(one))).alias("x")).select(*own, "x.*")
+
+
+def repeated_ranges(contexts: DataFrame, width: int, length: int, hot: int, bucket: int) -> DataFrame:
+    """(g, ctx, n, b, len): of each content its repeated bytes, if any. contexts: g, ctx, n, kinds, lo, a, size, c, bytes."""
+    calm, busy = contexts.where(F.col("kinds") <= hot), contexts.where(F.col("kinds") > hot)
+    n_calm, n_busy = calm.count(), busy.count()
+    buckets = max(1, -(-n_calm // bucket))
+    dealt = calm.select("g", "ctx", "n", "c", "a", "bytes", F.pmod(F.xxhash64("g"), F.lit(buckets)).alias("bucket")).repartition(buckets, "bucket")
+    found = dealt.groupBy("bucket").applyInArrow(lambda t: _bucket_ranges(t, length), "g long, ctx long, n long, b int, len int")
+    if not n_busy:
+        return materialize(found)
+    narrow = -(-width // 4)
+    high = F.least(F.col("lo") + width - 1, F.lit(length - 1))
+    cut = busy.withColumn("l", F.explode(F.sequence("lo", high, F.lit(narrow)))).withColumn("u", F.least(F.col("l") + narrow - 1, high))
+    # of the quarter's offsets, those that this context has
+    cut = cut.where((F.col("l") <= F.col("a")) & (F.col("u") >= F.col("a") + length - F.col("size")))
+    core = F.substring("bytes", F.col("a") - F.col("l") + 1, length - F.col("u") + F.col("l"))
+    begin = F.greatest(F.col("a") - F.col("u"), F.lit(0))
+    size = F.least(F.col("a") - F.col("l") + length, F.col("size")) - begin
+    cropped = cut.select(F.col("g").alias("pg"), F.col("ctx").alias("pctx"), F.col("n").alias("pn"), "c", begin.alias("shift"), F.xxhash64("g", "l", core).alias("g"), F.col("l").alias("lo"), (F.col("a") - begin).alias("a"), size.alias("size"), F.substring("bytes", begin + 1, size).alias("bytes"))
+    cropped = materialize(cropped.withColumn("ctx", F.xxhash64("a", "bytes")))
+    classes = cropped.groupBy("g", "ctx").agg(F.count("*").alias("n"), *(F.first(x).alias(x) for x in ("lo", "a", "size", "bytes")), F.last("bytes").alias("bytes2"))
+    inner = repeated_ranges(materialize(_copies(_candidates(materialize(classes)), ["bytes"])), narrow, length, hot, bucket)
+    members = cropped.where("c = 0").select("pg", "pctx", "pn", "shift", "g", "ctx")
+    back = spread_join(members, inner, ["g", "ctx"], "n").select(F.col("pg").alias("g"), F.col("pctx").alias("ctx"), F.col("pn").alias("n"), (F.col("b") + F.col("shift")).alias("b"), "len")
+    # strings of one context begin less than their length apart: its ranges overlap and make one
+    back = back.groupBy("g", "ctx").agg(F.first("n").alias("n"), F.min("b").alias("b"), F.max(F.col("b") + F.col("len")).alias("e"))
+    return materialize(found.unionByName(back.select("g", "ctx", "n", "b", (F.col("e") - F.col("b")).alias("len"))))
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT, bucket: int = BUCKET) -> DataFrame:
-    """(k, h, s, size): spans of repeated strings, which may overlap. docs: k, h (hash of text), t."""
-    kind = docs.schema["k"].dataType.simpleString()
+    """(id, s, size): spans of repeated strings, which may overlap. docs: id (unique), t."""
     width = -(-(length - gram + 1) // PARTS)
     routes = materialize(route_table(docs, length, gram, width))
-    counted = routes.groupBy("g", "ctx").agg(F.count("*").alias("n"))
-    seen = counted.groupBy("g").agg(F.count("*").alias("kinds"), F.sum("n").alias("total")).where("total > 1").drop("total")
-    repeated = materialize(counted.join(seen, "g"))
-    placed = materialize(routes.join(repeated, ["g", "ctx"]))
-    spans = [placed.where("n > 1").select("k", "h", "s", "size")]
-    several = placed.where("kinds > 1").groupBy("g", "ctx").agg(*(F.first(c).alias(c) for c in ("kinds", "k", "h", "s", "a", "size")))
-    several = materialize(several.withColumn("lo", F.floor(F.col("a") / width).cast("int") * width))
-    columns = ["g", "lo", "k", "h", "s", "a", "size"]
-    several = materialize(_with_bytes(several.select("kinds", *columns), docs))
-    calm, busy = several.where(F.col("kinds") <= hot), several.where(F.col("kinds") > hot)
-    n_calm, n_busy = calm.count(), busy.count()
-    while True:
-        if n_calm:
-            dealt = calm.withColumn("bucket", F.pmod(F.xxhash64("g"), F.lit(-(-n_calm // bucket))))
-            spans.append(dealt.groupBy("bucket").applyInArrow(lambda t: _bucket_spans(t, length), f"k {kind}, h long, s int, size int"))
-        if not n_busy:
-            break
-        old, width = width, -(-width // 4)
-        high = F.least(F.col("lo") + old - 1, F.lit(length - gram))
-        cut = busy.withColumn("l", F.explode(F.sequence("lo", high, F.lit(width)))).withColumn("u", F.least(F.col("l") + width - 1, high))
-        # of the quarter's offsets, those that this context has
-        cut = cut.where((F.col("l") <= F.col("a")) & (F.col("u") >= F.col("a") + length - F.col("size")))
-        core = F.substring("bytes", F.col("a") - F.col("l") + 1, length - F.col("u") + F.col("l"))
-        begin = F.greatest(F.col("a") - F.col("u"), F.lit(0))
-        size = F.least(F.col("a") - F.col("l") + length, F.col("size")) - begin
-        cropped = cut.select(F.xxhash64("g", "l", core).alias("g"), F.col("l").alias("lo"), "k", "h", (F.col("s") + begin).alias("s"), (F.col("a") - begin).alias("a"), size.alias("size"), F.substring("bytes", begin + 1, size).alias("bytes"))
-        cropped = materialize(cropped.withColumn("ctx", F.xxhash64("a", "bytes")))
-        counted = cropped.groupBy("g", "ctx").agg(F.count("*").alias("n"))
-        kinds = counted.groupBy("g").agg(F.count("*").alias("kinds"), F.sum("n").alias("total")).where("total > 1").drop("total")
-        placed = materialize(cropped.join(counted.join(kinds, "g"), ["g", "ctx"]))
-        spans.append(placed.where("n > 1").select("k", "h", "s", "size"))
-        several = materialize(placed.where("kinds > 1").groupBy("g", "ctx").agg(*(F.first(c).alias(c) for c in ("kinds", *columns[1:], "bytes"))))
-        calm, busy = several.where(F.col("kinds") <= hot), several.where(F.col("kinds") > hot)
-        n_calm, n_busy = calm.count(), busy.count()
-    out = spans[0]
-    for more in spans[1:]:
-        out = out.unionAll(more)
-    return out
+    classes = routes.groupBy("g", "ctx").agg(F.count("*").alias("n"), F.first("a").alias("a"), F.first("size").alias("size"), *(x for c in ("id", "s") for x in (F.first(c).alias(c), F.last(c).alias(f"{c}2"))))
+    wanted = _copies(_candidates(materialize(classes)).withColumn("lo", (F.floor(F.col("a") / width) * width).cast("int")), ["id", "s"])
+    # texts stream past their contexts, which are cut out on the way
+    joined = docs.select("id", F.col("t").cast("binary").alias("t")).join(wanted.hint("merge"), "id")
+    contexts = materialize(joined.select("g", "ctx", "n", "kinds", "lo", "a", "size", "c", F.substring("t", F.col("s") + 1, F.col("size")).alias("bytes")))
+    found = repeated_ranges(contexts, width, length, hot, bucket)
+    return spread_join(routes.select("g", "ctx", "id", "s"), found, ["g", "ctx"], "n").select("id", (F.col("s") + F.col("b")).alias("s"), F.col("len").alias("size"))
 
 
 def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", length: int = LENGTH, gram: int = GRAM, hot: int = HOT, bucket: int = BUCKET) -> DataFrame:
     """(key, n_bytes, n_removed, n_spans, kept binary) of every row."""
     prepare(docs.sparkSession)
-    t = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    rows = docs.select(F.col(key).alias("k"), F.xxhash64(t).alias("h"), t.alias("t"))
+    # a number of its own for each row, fixed by the table it is written to
+    rows = materialize(docs.select(F.monotonically_increasing_id().alias("id"), F.col(key).alias("k"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("t")))
     spans = repeated_spans(rows, length, gram, hot, bucket)
-    lists = materialize(spans.groupBy("k", "h").agg(F.collect_set(F.struct("s", "size")).alias("spans"))).select(F.col("k").alias("k2"), F.col("h").alias("h2"), "spans")
-    joined = rows.join(lists.hint("shuffle_hash"), rows["k"].eqNullSafe(F.col("k2")) & (rows["h"] == F.col("h2")), "left").select("k", F.col("t").cast("binary").alias("b"), "spans")
+    lists = materialize(spans.groupBy("id").agg(F.collect_list(F.struct("s", "size")).alias("spans")))
+    joined = rows.join(lists.hint("shuffle_hash"), "id", "left").select("k", F.col("t").cast("binary").alias("b"), "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -1,12 +1,13 @@
 """The suffix merge against sorted suffixes, and removal against brute force."""
 
 import hashlib
+import os
 from collections import Counter
 
 import numpy as np
 import pytest
 
-from rollcall.llm.suffix_dedup import Transform, remove_repeats
+from rollcall.llm.suffix_dedup import Transform, remove_repeats, sorted_strings
 
 
 def brute(texts: list[str | None], length: int) -> list[tuple]:
@@ -88,3 +89,27 @@ def test_repeated_rows_and_null_ids(spark):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert remove_repeats(docs).count() == 0
+
+
+def test_sorted_strings_equal_python_order():
+    rng = np.random.default_rng(4)
+    strings = [b"", b"a", b"a\0", b"a" * 70, b"a" * 70, b"a" * 64, b"a" * 64 + b"\0"]
+    strings += [bytes(rng.integers(0, 3, int(rng.integers(0, 90)), dtype=np.uint8)) for _ in range(60)]
+    strings += [s[:k] + b"x" for s in strings for k in (31, 32, 33, 60) if len(s) > k]
+    off = np.cumsum([0] + [len(s) for s in strings])
+    order, shared = sorted_strings(np.frombuffer(b"".join(strings), np.uint8), off, shard=16)
+    assert [strings[k] for k in order] == sorted(strings)
+    for r in range(1, len(order)):
+        assert shared[r - 1] == len(os.path.commonprefix([strings[order[r - 1]], strings[order[r]]]))
+
+
+def test_text_over_20_mb(spark):
+    rng = np.random.default_rng(6)
+    raw = rng.choice(np.frombuffer(b"abcdefghijklmnop ", np.uint8), 21_000_000)
+    passage = rng.choice(np.frombuffer(b"qrstuvwxyz ", np.uint8), 700)
+    for at in (5_000, (1 << 19) - 300, 20_000_000):  # the second lies across the border of two stretches
+        raw[at : at + 700] = passage
+    text = raw.tobytes().decode()
+    rows = [(1, text), (2, "1" + passage.tobytes().decode() + "2"), (3, "3" + passage.tobytes().decode()[:399] + "4"), (4, "short")]
+    got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"]) for r in remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).drop("kept").collect()}
+    assert got == {1: (21_000_000, 2_100, 3), 2: (702, 700, 1), 3: (401, 0, 0), 4: (5, 0, 0)}
