@@ -4,15 +4,22 @@ Model: each direction reads one byte at a time, h' = h + z * (c - h) with gates
 and candidate c = bend(W[byte] + r * (U h)); ``step`` and ``bend`` are the piecewise linear sigmoid and
 tanh, which cost a fraction of the smooth ones. Both states label every position; a document's
 probabilities are the mean of its positions' probabilities. Trained in NumPy by backpropagation through
-time with Adam, on the driver, from a bounded sample: at most ``PER_LANGUAGE`` labelled documents of each
-language, each with a stretch of ``STRETCH`` bytes from a hashed place. The sample, its order and the
-initial weights follow from hashes of doc_id, so reruns agree.
+time with Adam, on the driver, from a bounded sample: of each language the ``PER_LANGUAGE`` labelled documents
+least by hash of (doc_id, text), and of each of them up to ``EACH`` stretches of ``STRETCH`` bytes that lie evenly over
+the whole text, all of it if it isn't longer. That is the same at every size of the table: the hashes
+of common languages are only compared with a bound before texts are read, and the bound is raised if it
+proves too low. Rows equal in doc_id and text count once. The sample, its order and the initial weights
+follow from hashes, so reruns agree. One row for each distinct label reaches the driver.
 
 Whole texts are labelled: a text is read in windows of ``WINDOW`` bytes (state starts anew in each), all
-windows of a slice of documents step together, longest first, so short ones cost nothing once they end.
+windows of a slice of documents step together, longest first, so short ones cost nothing once they end;
+long texts go in stretches of windows, so they cost no more memory than others.
 
 A null text and a text without a letter get ``und`` with score 0, as does everything when nothing is
-labelled. lang, source and doc_id are never read for a prediction; repeated rows get equal predictions.
+labelled; of classes with equal probability the first in code point order is predicted. lang, source and
+doc_id are never read for a prediction. Repeated rows get equal predictions and scores that agree to
+1e-6 (products of batches of different shape may round differently). An empty table gives no rows, and an
+untrained network if it is the labelled one.
 """
 
 from __future__ import annotations
@@ -22,15 +29,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import prepare, slices
 
 #: Size of each direction's state; bytes of a window when labelling and of a stretch when training.
 HIDDEN, WINDOW, STRETCH = 8, 256, 128
-#: Labelled documents of a language that training sees at most; passes over them; stretches of a step; learning rate.
-PER_LANGUAGE, EPOCHS, BATCH, RATE = 1000, 8, 128, 0.02
+#: Labelled documents of a language that training sees at most, stretches of each; passes over them; stretches of a step; learning rate.
+PER_LANGUAGE, EACH, EPOCHS, BATCH, RATE = 500, 4, 4, 128, 0.02
+#: Windows that are labelled together.
+WINDOWS = 4096
 #: A document is held out when crc32(doc_id as text) % FOLDS is 0.
 FOLDS = 5
 UNKNOWN = "und"
@@ -131,7 +140,7 @@ class BiGRU:
         both directions. States are kept row by row and one array for each gate, which is what NumPy
         gathers, multiplies and clips fastest.
         """
-        h, k = self.h, len(self.classes)
+        k = len(self.classes)
         size = np.diff(off)
         parts = -(-size // window)
         text = np.repeat(np.arange(len(size)), parts)
@@ -140,9 +149,19 @@ class BiGRU:
             return out
         start = off[:-1][text] + (np.arange(len(text)) - np.repeat(np.cumsum(parts) - parts, parts)) * window
         length = np.minimum(window, off[1:][text] - start)
+        for lo in range(0, len(text), WINDOWS):
+            group = slice(lo, lo + WINDOWS)
+            total = self._sums(data, start[group], length[group])
+            for i in range(k):
+                out[:, i] += np.bincount(text[group], total[i], len(size))
+        return out / np.maximum(size, 1)[:, None]
+
+    def _sums(self, data: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """Class probabilities summed over the positions of each window (classes, windows)."""
+        h, k = self.h, len(self.classes)
         order = np.argsort(-length, kind="stable")
-        text, start, length = text[order], start[order], length[order]
-        n, steps = len(text), int(length[0])
+        start, length = start[order], length[order]
+        n, steps = len(start), int(length[0])
         live = np.searchsorted(-length, -np.arange(steps), "left")
         scores = np.empty((2, steps, k, n), np.float32)
         for d in range(2):
@@ -180,52 +199,72 @@ class BiGRU:
             np.exp(p, out=p)
             p /= p.sum(0)
             total[:, : live[t]] += p
-        for i in range(k):
-            out[:, i] = np.bincount(text, total[i], len(size))
-        return out / np.maximum(size, 1)[:, None]
+        out = np.empty_like(total)
+        out[:, order] = total
+        return out
 
 
 def held_out(key):
     return F.crc32(key.cast("string").cast("binary")) % FOLDS == 0
 
 
-def training_rows(docs: DataFrame, text: str, lang: str, key: str, per_language: int, stretch: int) -> DataFrame:
-    """(lang, bytes): at most ``per_language`` labelled rows of each language outside the held-out fold, the least by hash."""
+def training_rows(docs: DataFrame, text: str, lang: str, key: str, per_language: int, stretch: int) -> list[tuple[str, int, list[bytes]]]:
+    """(lang, hash, stretches) of the ``per_language`` labelled rows of each language outside the held-out fold that are least by hash."""
     own = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & ~F.coalesce(held_out(F.col(key)), F.lit(False)))
-    h = F.xxhash64(F.col(key).cast("string"))
-    # one count for each class of the network; a threshold thins each to about twice the bound before any text is read
-    counts = {r["lang"]: r["n"] for r in own.groupBy(F.col(lang).alias("lang")).agg(F.count("*").alias("n")).collect()}
-    common = {name: 2.0 * per_language / n for name, n in counts.items() if n > 8 * per_language}
-    share = F.lit(1.0)
-    if common:
-        listed = F.create_map(*(F.lit(x) for pair in common.items() for x in pair))
-        share = F.coalesce(F.try_element_at(listed, F.col(lang)), F.lit(1.0))
-    thin = own.where(F.pmod(h, F.lit(1 << 20)) / float(1 << 20) < share).where(F.col(text).rlike(r"\p{L}"))
-    rows = thin.select(F.col(lang).alias("lang"), h.alias("h"), F.col(text).cast("string").cast("binary").alias("b"))
-    room = F.greatest(F.length("b") - stretch + 1, F.lit(1))
-    cut = rows.withColumn("at", (F.pmod(F.xxhash64("h"), room) + 1).cast("int")).select("lang", "h", F.col("b").substr(F.col("at"), F.lit(stretch)).alias("b"))
-    return cut.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h", "b"))).where(F.col("r") <= per_language).select("lang", "h", "b")
+    # one count for each class of the network
+    counts = {r["lang"]: r["n"] for r in own.groupBy(F.col(lang).cast("string").alias("lang")).agg(F.count("*").alias("n")).collect()}
+    b = F.col(text).cast("string").cast("binary")
+    rows = own.select(F.col(lang).cast("string").alias("lang"), F.xxhash64(F.col(key).cast("string"), F.col(text)).alias("h"), F.col(text).cast("string").alias("t"), b.alias("b"))
+    size, room = F.length("b"), F.greatest(F.length("b") - stretch, F.lit(0))
+    many = F.greatest(F.least(F.ceil(size / stretch), F.lit(EACH)), F.lit(1)).cast("int")
+    place = lambda i: F.when(many > 1, F.floor(i * room / (many - 1))).otherwise(F.lit(0)).cast("int") + 1
+    parts = F.transform(F.sequence(F.lit(0), many - 1), lambda i: F.substring("b", place(i), F.lit(stretch)))
+    # the least by hash are within a bound that holds a few times as many; where it doesn't, it is raised
+    share = {name: min(1.0, 3 * per_language / n) for name, n in counts.items()}
+    found: dict[str, list] = {}
+    todo = set(counts)
+    while todo:
+        bounds = F.create_map(*(F.lit(x) for name in sorted(todo) for x in (name, int(share[name] * 2.0**64) - (1 << 63) if share[name] < 1 else (1 << 63) - 1)))
+        near = rows.where(F.col("h") <= F.try_element_at(bounds, F.col("lang"))).where(F.col("t").rlike(r"\p{L}"))
+        got: dict[str, dict] = {name: {} for name in todo}
+        for r in near.select("lang", "h", parts.alias("parts")).groupBy("lang", "h").agg(F.first("parts").alias("parts")).collect():
+            got[r["lang"]][r["h"]] = [bytes(x) for x in r["parts"]]
+        for name in sorted(todo):
+            if len(got[name]) >= per_language or share[name] >= 1:
+                found[name] = sorted(got[name].items())[:per_language]
+                todo.remove(name)
+            else:
+                share[name] = min(1.0, 4 * share[name])
+    return [(name, h, parts) for name, kept in found.items() for h, parts in kept]
 
 
 def train(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", per_language: int = PER_LANGUAGE, epochs: int = EPOCHS) -> BiGRU | None:
     """The network, or None if nothing is labelled."""
-    got = sorted(((r["lang"], r["h"], bytes(r["b"])) for r in training_rows(docs, text, lang, key, per_language, STRETCH).collect()), key=lambda r: (r[1], r[0], r[2]))
+    got = sorted(((h, name, k, b) for name, h, parts in training_rows(docs, text, lang, key, per_language, STRETCH) for k, b in enumerate(parts)), key=lambda r: r[:3])
     if not got:
         return None
-    classes = sorted({r[0] for r in got})
+    classes = sorted({r[1] for r in got})
     x = np.full((len(got), STRETCH), 32, np.uint8)
-    for k, (_, _, b) in enumerate(got):
-        x[k, : len(b)] = np.frombuffer(b, np.uint8)
+    for k, r in enumerate(got):
+        x[k, : len(r[3])] = np.frombuffer(r[3], np.uint8)
     net = BiGRU(classes)
-    net.fit(x, np.array([len(r[2]) for r in got]), np.array([classes.index(r[0]) for r in got]), epochs)
+    net.fit(x, np.array([len(r[3]) for r in got]), np.array([classes.index(r[1]) for r in got]), epochs)
     return net
 
 
-def identify(docs: DataFrame, net: BiGRU | None, text: str = "text", pred: str = "lang_pred", score_name: str = "score") -> DataFrame:
-    """``docs`` with columns ``pred`` and ``score_name`` (which replace any of these names); the text is all that a prediction reads."""
+def identify(docs: DataFrame, net: BiGRU | None, text: str = "text", pred: str = "lang_pred", score_name: str = "score", keep: list[str] | None = None) -> DataFrame:
+    """``docs`` (or its columns ``keep``) with columns ``pred`` and ``score_name`` (which replace any of these names).
+
+    The text is all that a prediction reads. It goes to Python once, and comes back only if it is kept.
+    """
     prepare(docs.sparkSession)
-    names = [c for c in docs.columns if c not in (pred, score_name)]
-    kept = docs.select(F.coalesce(F.col(text).cast("string").rlike(r"\p{L}"), F.lit(False)).alias("_letters"), F.col(text).cast("string").alias("_text"), F.struct("*").alias("_row"))
+    names = [c for c in (docs.columns if keep is None else keep) if c not in (pred, score_name)]
+    others = [c for c in names if c != text]
+    kind = docs.schema[text].dataType.simpleString()
+    back = text in names
+    t = F.col(text).cast("string")
+    own = F.struct(*others) if others else F.struct(F.lit(0).alias("x"))
+    kept = docs.select(F.coalesce(t.rlike(r"\p{L}"), F.lit(False)).alias("_letters"), t.alias("_text"), own.alias("_row"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -237,7 +276,9 @@ def identify(docs: DataFrame, net: BiGRU | None, text: str = "text", pred: str =
                     p = net.label(data, off)
                     best, score = np.array(net.classes, object)[p.argmax(1)], np.clip(p.max(1), 0, 1)
                 best, score = np.where(letters, best, UNKNOWN), np.where(letters, score, 0.0)
-                yield pa.RecordBatch.from_arrays([part.column(2), pa.array(best, pa.string()), pa.array(score)], names=["_row", "lang_pred", "score"])
+                cols = [part.column(2), pa.array(best, pa.string()), pa.array(score)] + ([part.column(1)] if back else [])
+                yield pa.RecordBatch.from_arrays(cols, names=["_row", "lang_pred", "score", "_text"][: len(cols)])
 
     row = kept.schema["_row"].dataType.simpleString()
-    return kept.mapInArrow(run, f"_row {row}, lang_pred string, score double").select(*(F.col("_row")[c].alias(c) for c in names), F.col("lang_pred").alias(pred), F.col("score").alias(score_name))
+    found = kept.mapInArrow(run, f"_row {row}, lang_pred string, score double{', _text string' if back else ''}")
+    return found.select(*(F.col("_text").cast(kind).alias(c) if c == text else F.col("_row")[c].alias(c) for c in names), F.col("lang_pred").alias(pred), F.col("score").alias(score_name))

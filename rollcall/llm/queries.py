@@ -22,7 +22,7 @@ from .token_counts import token_counts
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
-    found = identify(docs.select("doc_id", "text"), train(docs))
+    found = identify(docs, train(docs), keep=["doc_id"])
     return found.select("doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 

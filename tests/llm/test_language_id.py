@@ -79,11 +79,40 @@ def test_defined_results(spark):
     _, docs = sample(spark, 60)
     net = L.train(docs, epochs=2)
     odd = spark.createDataFrame([(1, None, "x"), (2, "", "x"), (3, "12 !?", "x"), (None, "the of", None), (5, "the " * 50_000, "q"), (5, "the " * 50_000, "q")], "doc_id long, text string, lang_pred string")
-    rows = {(r["doc_id"], r["text"]): (r["lang_pred"], r["score"]) for r in L.identify(odd, net).collect()}
+    found = L.identify(odd, net).collect()
+    rows = {(r["doc_id"], r["text"]): (r["lang_pred"], r["score"]) for r in found}
+    twice = [r for r in found if r["doc_id"] == 5]
+    assert len(twice) == 2 and twice[0]["lang_pred"] == twice[1]["lang_pred"] and abs(twice[0]["score"] - twice[1]["score"]) < 1e-6
     assert [rows[k] for k in ((1, None), (2, ""), (3, "12 !?"))] == [("und", 0.0)] * 3
     assert rows[(None, "the of")][0] in net.classes
     assert L.train(docs.limit(0)) is None
     assert L.train(docs.withColumn("lang", F.lit(None).cast("string"))) is None
     assert L.identify(odd, None).where("lang_pred <> 'und'").count() == 0
     assert L.identify(odd.limit(0), net).count() == 0
-    assert L.training_rows(docs, "text", "lang", "doc_id", 5, 16).groupBy("lang").count().where("count > 5").count() == 0
+    assert L.identify(odd, net, keep=["doc_id"]).columns == ["doc_id", "lang_pred", "score"]
+
+
+def test_training_rows_are_the_least_by_hash_at_every_size(spark, monkeypatch):
+    _, docs = sample(spark, 600)
+    few = L.training_rows(docs, "text", "lang", "doc_id", 5, 16)
+    assert [r[0] for r in few] == ["aa"] * 5 + ["bb"] * 5 + ["cc"] * 5
+    h = F.xxhash64(F.col("doc_id").cast("string"), F.col("text"))
+    own = docs.where(~L.held_out(F.col("doc_id"))).select("lang", "text", h.alias("h")).collect()
+    for lang in ("aa", "bb", "cc"):
+        best = sorted((r["h"], r["text"]) for r in own if r["lang"] == lang)[:5]
+        mine = [r for r in few if r[0] == lang]
+        assert [r[1] for r in mine] == [h for h, _ in best]
+        for (_, _, parts), (_, text) in zip(mine, best, strict=True):
+            raw = text.encode()
+            assert parts[0] == raw[:16] and parts[-1] == raw[-16:] and 1 <= len(parts) <= L.EACH
+    same = L.training_rows(docs.unionAll(docs), "text", "lang", "doc_id", 5, 16)
+    assert same == few
+
+
+def test_long_texts_are_labelled_in_stretches(monkeypatch):
+    net = L.BiGRU(["a", "b"], hidden=3, seed=4)
+    data = np.random.default_rng(1).integers(97, 123, 5000).astype(np.uint8)
+    off = np.array([0, 3000, 3100, 5000])
+    whole = net.label(data, off)
+    monkeypatch.setattr(L, "WINDOWS", 3)
+    assert np.allclose(net.label(data, off), whole, atol=1e-5)
