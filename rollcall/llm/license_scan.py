@@ -1,130 +1,40 @@
 """License scan with ordered signature rules, in built-in SQL functions only.
 
 A text is lower-cased (A-Z), reduced to its words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` joined by single
-spaces, and matched against a list of rules. A rule has a label, a priority, a score, a keyword that any
-match must hold, and a regular expression over the words. Prefilter: a text without one of the ``GATES``
-words can hold no match of any rule and is only counted; in the others a rule is tried if its keyword is
-there. All places of all matches are found; a place inside another one of higher priority, or of equal
-priority and greater length, is suppressed, and so is the later of two equal ones. What is left gives the
-labels, and the greatest score.
+spaces, and matched against the ordered rules of ``license_rules``. A rule has a label, a priority, a score, a
+keyword that any match must hold, and a regular expression over the words. Prefilter: a text without one
+of the ``GATES`` words can hold no match of any rule and is only counted; in the others a rule is tried where
+its keyword is there. All places of all matches are found; a place inside another one of higher priority, or
+of equal priority and greater length, is suppressed, and so is the later of two equal ones. What is left
+gives the labels, and the greatest score.
+
+Words are matched in blocks of ``BLOCK``, each with ``REACH`` words of its neighbours on both sides. No match
+is longer than ``REACH`` words, so a place and all that can suppress it are seen whole in the block where it
+begins, and the work grows with the words of a text, not with their square.
 
 Base phrases (``BASE``) are counted apart and never suppressed: n_base places, with the number of the first
-and last word where one begins. Rules: ``FAMILIES`` of licenses, each in every form of ``FORMS``, and the
-``TEXTS`` of well-known grants.
+and last word where one begins.
 
 Null text: no words, no labels (empty strings), score 0, null first_word and last_word. Rows that repeat get
-equal results; no row leaves its task, so neither long nor hot texts gather anywhere.
+equal results; no row leaves its task, so neither long nor hot texts gather anywhere. An empty table gives no
+rows. Columns other than key and text aren't read, so no name can clash.
 """
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .license_rules import GATES, RULES
+
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 # The base phrases and their labels.
 BASE = [("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl")]
 
-# Words of which every rule's match holds one.
-GATES = ["licen", "copyright", "public domain", "warrant", "permission", "redistribut", "free software", "rights reserved", "spdx"]
-
-# Label, keyword, name as a regular expression over words.
-FAMILIES = [
-    ("0bsd", "bsd", "(?:zero clause bsd|0bsd|bsd zero clause)"),
-    ("afl-3.0", "academic free", "academic free(?: license)?(?: version| v)? ?3(?: 0)?"),
-    ("agpl-3.0", "affero", "(?:gnu )?affero general public license(?: version| v)? ?3(?: 0)?"),
-    ("agpl", "affero", "(?:gnu )?affero general public license"),
-    ("apache-1.1", "apache", "apache(?: software)? license(?: version| v)? ?1 1"),
-    ("apache-2.0", "apache", "apache(?: software)?(?: license)?(?: version| v)? ?2(?: 0)?"),
-    ("apache", "apache", "apache(?: software)? license"),
-    ("artistic-1.0", "artistic", "artistic(?: license)?(?: version| v)? ?1(?: 0)?"),
-    ("artistic-2.0", "artistic", "artistic(?: license)?(?: version| v)? ?2(?: 0)?"),
-    ("blueoak-1.0.0", "blue oak", "blue oak model license(?: 1 0 0)?"),
-    ("bsd-2-clause", "bsd", "(?:bsd 2 clause|2 clause bsd|two clause bsd|simplified bsd|freebsd)"),
-    ("bsd-3-clause", "bsd", "(?:bsd 3 clause|3 clause bsd|three clause bsd|new bsd|modified bsd|revised bsd)"),
-    ("bsd-4-clause", "bsd", "(?:bsd 4 clause|4 clause bsd|original bsd)"),
-    ("bsd", "bsd", "bsd(?: style)?"),
-    ("bsl-1.0", "boost", "boost software license(?: version| v)?(?: 1 0)?"),
-    ("busl-1.1", "business source", "business source license(?: version| v)?(?: 1 1)?"),
-    ("cc-by-4.0", "attribution", "(?:creative commons )?attribution 4 0(?: international)?"),
-    ("cc-by-sa-4.0", "sharealike", "(?:creative commons )?attribution sharealike 4 0(?: international)?"),
-    ("cc-by-nc-4.0", "noncommercial", "(?:creative commons )?attribution noncommercial 4 0(?: international)?"),
-    ("cc-by-nd-4.0", "noderivatives", "(?:creative commons )?attribution noderivatives 4 0(?: international)?"),
-    ("cc-by-nc-sa-4.0", "noncommercial sharealike", "(?:creative commons )?attribution noncommercial sharealike 4 0(?: international)?"),
-    ("cc0-1.0", "cc0", "(?:creative commons )?cc0(?: 1 0)?(?: universal)?"),
-    ("cc", "creative commons", "creative commons"),
-    ("cddl-1.0", "common development", "common development and distribution license(?: version| v)?(?: 1 0)?"),
-    ("cecill-2.1", "cecill", "cecill(?: free software license agreement)?(?: version| v)?(?: 2 1)?"),
-    ("cpl-1.0", "common public", "common public license(?: version| v)?(?: 1 0)?"),
-    ("ecl-2.0", "educational community", "educational community license(?: version| v)?(?: 2 0)?"),
-    ("epl-1.0", "eclipse", "eclipse public license(?: version| v)? ?1(?: 0)?"),
-    ("epl-2.0", "eclipse", "eclipse public license(?: version| v)? ?2(?: 0)?"),
-    ("eupl-1.2", "european union", "european union public licen[cs]e(?: version| v)?(?: 1 2)?"),
-    ("gfdl-1.3", "free documentation", "(?:gnu )?free documentation license(?: version| v)?(?: 1 3)?"),
-    ("gpl-2.0", "general public", "(?:gnu )?general public license(?: as published by the free software foundation)?(?: either)?(?: version| v)? ?2(?: 0)?"),
-    ("gpl-3.0", "general public", "(?:gnu )?general public license(?: as published by the free software foundation)?(?: either)?(?: version| v)? ?3(?: 0)?"),
-    ("gpl", "general public", "(?:gnu )?general public license"),
-    ("isc", "isc", "isc"),
-    ("lgpl-2.1", "lesser general", "(?:gnu )?lesser general public license(?: version| v)? ?2 1"),
-    ("lgpl-3.0", "lesser general", "(?:gnu )?lesser general public license(?: version| v)? ?3(?: 0)?"),
-    ("lgpl", "lesser general", "(?:gnu )?lesser general public license"),
-    ("llama-community", "llama", "llama(?: [23])? community license"),
-    ("mit", "mit", "(?:mit|expat|x11)"),
-    ("mpl-1.1", "mozilla", "mozilla public license(?: version| v)? ?1 1"),
-    ("mpl-2.0", "mozilla", "mozilla public license(?: version| v)? ?2(?: 0)?"),
-    ("ms-pl", "microsoft public", "microsoft public license"),
-    ("odbl-1.0", "open database", "open database license(?: version| v)?(?: 1 0)?"),
-    ("ofl-1.1", "open font", "(?:sil )?open font license(?: version| v)?(?: 1 1)?"),
-    ("openrail", "openrail", "(?:creativeml )?openrail(?: m)?"),
-    ("osl-3.0", "open software", "open software license(?: version| v)?(?: 3 0)?"),
-    ("postgresql", "postgresql", "postgresql"),
-    ("psf-2.0", "python software", "python software foundation(?: license)?(?: version| v)?(?: 2)?"),
-    ("unlicense", "unlicense", "unlicense"),
-    ("w3c", "w3c", "w3c software(?: notice and)?"),
-    ("wtfpl", "do what the", "do what the \\S+ you want to public license"),
-    ("zlib", "zlib", "zlib(?: libpng)?"),
-]
-
-# Priority, score, form; NAME stands for a family's name.
-FORMS = [
-    (6, 1.0, "spdx license identifier NAME"),
-    (5, 1.0, "licensed under (?:the )?(?:terms (?:and conditions )?of (?:the )?)?NAME(?: licen[sc]e)?"),
-    (4, 0.9, "(?:released|distributed|available|published|provided) under (?:the )?(?:terms of (?:the )?)?NAME(?: licen[sc]e)(?: agreement)?"),
-    (4, 0.9, "(?:subject to|under) the terms (?:and conditions )?of (?:the )?NAME(?: licen[sc]e)"),
-    (3, 0.8, "licen[sc]e (?:is )?NAME"),
-    (2, 0.6, "NAME licen[sc]e"),
-]
-
-# Label, priority, score, keyword, text.
-TEXTS = [
-    ("mit", 7, 1.0, "permission is hereby granted free of charge", "permission is hereby granted free of charge to any person obtaining a copy of this software"),
-    ("isc", 7, 1.0, "permission to use copy modify", "permission to use copy modify and (?:or )?distribute this software for any purpose with or without fee is hereby granted"),
-    ("bsd", 7, 0.9, "redistribution and use", "redistribution and use in source and binary forms with or without modification are permitted"),
-    ("gpl", 7, 0.9, "free software you can", "this (?:program|library|file) is free software you can redistribute it and or modify it"),
-    ("unlicense", 7, 1.0, "unencumbered", "this is free and unencumbered software released into the public domain"),
-    ("public-domain", 3, 0.8, "public domain", "(?:dedicated to|released into|placed in|in) the public domain"),
-    ("proprietary", 3, 0.7, "rights reserved", "all rights reserved"),
-    ("proprietary", 3, 0.7, "without permission", "(?:may not be|no part of this \\S+ may be) (?:copied|reproduced|distributed) without (?:prior )?(?:written )?permission"),
-    ("notice", 1, 0.4, "copyright", "copyright (?:c )?(?:19|20)[0-9][0-9]"),
-    ("notice", 1, 0.3, "warrant", "without warrant(?:y|ies) of any kind"),
-    ("notice", 1, 0.3, "see the license", "see the license for the specific language governing permissions"),
-]
-
-
-def rules() -> list[tuple[str, int, float, str, str]]:
-    """(label, priority, score, keyword, regular expression over padded words) of every rule, in order."""
-    out = [(label, p, s, key, text) for label, p, s, key, text in TEXTS]
-    for label, key, name in FAMILIES:
-        for p, s, form in FORMS:
-            # a name with more words, say a version, is the more telling one
-            out.append((label, p, s, key, form.replace("NAME", name)))
-        if "license" in re.sub(r"\(\?:[^)]*\)\?", "", name):
-            out.append((label, 2, 0.6, key, name))
-    return [(label, p, s, key, f"(?<= ){text}(?= )") for label, p, s, key, text in out]
+#: Words matched together, and words that a match has at most.
+BLOCK, REACH = 512, 48
 
 
 def _lower(text: Column) -> Column:
@@ -135,43 +45,78 @@ def _spaces(text: Column) -> Column:
     return F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit("")))
 
 
-def _places(words: Column, rule: Column) -> Column:
-    """All places of a rule: array of (begin, end) in words, priority, score, label."""
-    found = F.regexp_extract_all(words, rule["pattern"], F.lit(0))
-    between = F.split(words, rule["pattern"], -1)
-    kind = "array<struct<b:int,e:int,p:int,s:double,label:string>>"
+_PLACES = "array<struct<b:int,e:int,p:int,s:double,label:string>>"
+
+
+def _let(value: Column, use) -> Column:
+    """use(value) with the value computed once: an expression inside a lambda would be computed wherever it stands."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _places(hit: Column) -> Column:
+    """All places of a rule that matched in a block (p, s, label, m: matches, t: what lies between): (begin, end) in words, priority, score, label."""
     step = F.aggregate(
-        F.arrays_zip(found.alias("m"), F.slice(between, F.lit(1), F.size(found)).alias("t")),
-        F.struct(F.lit(-1).alias("at"), F.from_json(F.lit("[]"), kind).alias("out")),
+        F.arrays_zip(hit["m"].alias("m"), F.slice(hit["t"], F.lit(1), F.size(hit["m"])).alias("t")),
+        F.struct(F.lit(-1).alias("at"), F.from_json(F.lit("[]"), _PLACES).alias("out")),
         lambda acc, x: F.struct(
             (acc["at"] + _spaces(x["t"]) + _spaces(x["m"])).alias("at"),
-            F.concat(acc["out"], F.array(F.struct((acc["at"] + _spaces(x["t"])).alias("b"), (acc["at"] + _spaces(x["t"]) + _spaces(x["m"]) + 1).alias("e"), rule["p"].alias("p"), rule["s"].alias("s"), rule["label"].alias("label")))).alias("out"),
+            F.concat(acc["out"], F.array(F.struct((acc["at"] + _spaces(x["t"])).alias("b"), (acc["at"] + _spaces(x["t"]) + _spaces(x["m"]) + 1).alias("e"), hit["p"].alias("p"), hit["s"].alias("s"), hit["label"].alias("label")))).alias("out"),
         ),
     )
-    return F.when(F.size(found) > 0, step["out"]).otherwise(F.from_json(F.lit("[]"), kind))
+    return step["out"]
 
 
-def detections(words: Column) -> Column:
-    """Places of all rules in text of padded words, suppressed ones left out."""
-    table = F.array(*(F.struct(F.lit(label).alias("label"), F.lit(p).alias("p"), F.lit(s).alias("s"), F.lit(key).alias("key"), F.lit(pattern).alias("pattern")) for label, p, s, key, pattern in rules()))
-    fits = F.filter(table, lambda r: F.contains(words, r["key"]))
-    return F.flatten(F.transform(fits, lambda r: _places(words, r)))
+def tried_rules(word_blocks: str) -> Column:
+    """(at, hits) of each block (at, w) of the named column: the rules whose keyword is there and that match; each rule is a literal pattern."""
+    tried = []
+    for label, p, s, key, pattern in RULES:
+        regex = _quoted(f"(?<= ){pattern}(?= )")
+        tried.append(f"if(contains(x.w, {_quoted(key)}), struct({p} AS p, {s}D AS s, {_quoted(label)} AS label, regexp_extract_all(x.w, {regex}, 0) AS m, split(x.w, {regex}) AS t), null)")
+    return F.expr(f"transform({word_blocks}, x -> struct(x.at AS at, filter(array({', '.join(tried)}), h -> size(h.m) > 0) AS hits))")
 
 
 def unsuppressed(found: Column) -> Column:
     """Places that no other covers: higher priority first, then greater length, then order of the rules."""
 
-    def covered(d: Column, i: Column) -> Column:
-        def by(x: Column) -> Column:
-            e = x["d"]
-            inside = (e["b"] <= d["b"]) & (e["e"] >= d["e"])
-            longer = (e["e"] - e["b"]) > (d["e"] - d["b"])
-            same = (e["b"] == d["b"]) & (e["e"] == d["e"])
-            return inside & ((e["p"] > d["p"]) | ((e["p"] == d["p"]) & (longer | (same & (x["i"] < i)))))
+    def covers(x: Column, y: Column) -> Column:
+        e, d = x["d"], y["d"]
+        inside = (e["b"] <= d["b"]) & (e["e"] >= d["e"])
+        longer = (e["e"] - e["b"]) > (d["e"] - d["b"])
+        same = (e["b"] == d["b"]) & (e["e"] == d["e"])
+        return inside & ((e["p"] > d["p"]) | ((e["p"] == d["p"]) & (longer | (same & (x["i"] < y["i"])))))
+
+    numbered = F.transform(found, lambda d, i: F.struct(d.alias("d"), i.alias("i")))
+    return _let(numbered, lambda all_: F.transform(F.filter(all_, lambda y: ~F.exists(all_, lambda x: covers(x, y))), lambda y: y["d"]))
+
+
+def _before(at: Column) -> Column:
+    return F.least(at, F.lit(REACH))
+
+
+def blocks(words: Column) -> Column:
+    """(at, w): padded words of each block, with those of its neighbours; at: its first own word."""
+
+    def cut(array: Column) -> Column:
+        heads = F.sequence(F.lit(0), F.greatest(F.size(array) - 1, F.lit(0)), F.lit(BLOCK))
+        part = lambda at: F.slice(array, at - _before(at) + 1, _before(at) + BLOCK + REACH)
+        return F.transform(heads, lambda at: F.struct(at.alias("at"), F.concat(F.lit(" "), F.array_join(part(at), " "), F.lit(" ")).alias("w")))
+
+    return _let(words, cut)
+
+
+def detections(hits: Column) -> Column:
+    """Places of all rules in a text, from the hits of its blocks, suppressed ones left out."""
 
-        return F.exists(F.transform(found, lambda e, k: F.struct(e.alias("d"), k.alias("i"))), by)
+    def in_block(x: Column) -> Column:
+        at, head = x["at"], _before(x["at"])
+        own = F.filter(unsuppressed(F.flatten(F.transform(x["hits"], _places))), lambda d: (d["b"] >= head) & (d["b"] < head + BLOCK))
+        return F.transform(own, lambda d: F.struct((d["b"] + at - head).alias("b"), (d["e"] + at - head).alias("e"), d["p"].alias("p"), d["s"].alias("s"), d["label"].alias("label")))
 
-    return F.filter(found, lambda d, i: ~covered(d, i))
+    return F.flatten(F.transform(hits, in_block))
 
 
 def scan_licenses(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -179,7 +124,7 @@ def scan_licenses(docs: DataFrame, text: str = "text", key: str = "doc_id") -> D
     low = F.coalesce(_lower(F.col(text).cast("string")), F.lit(""))
     gate = F.lit(False)
     for word in GATES:
-        gate = gate | F.contains("low", F.lit(word.split(" ")[0]))
+        gate = gate | F.contains("low", F.lit(word))
     rows = docs.select(F.col(key).alias("k"), low.alias("low"))
     rows = rows.select("k", F.regexp_count("low", F.lit(WORD)).cast("long").alias("n_words"), F.when(gate, F.concat(F.lit(" "), F.trim(F.regexp_replace("low", GAP, " ")), F.lit(" "))).alias("words"))
     counts, firsts, lasts, held = [], [], [], []
@@ -198,11 +143,11 @@ def scan_licenses(docs: DataFrame, text: str = "text", key: str = "doc_id") -> D
         F.least(*firsts).cast("long").alias("first_word"),
         F.greatest(*lasts).cast("long").alias("last_word"),
         F.array_compact(F.array(*held)).alias("base"),
-        F.when(F.col("words").isNotNull(), detections(F.col("words"))).alias("found"),
+        F.when(F.col("words").isNotNull(), blocks(F.split(F.trim("words"), " "))).alias("blocks"),
     )
-    kept = found.withColumn("kept", F.when(F.size("found") > 0, unsuppressed(F.col("found"))))
+    found = found.withColumn("hits", tried_rules("blocks")).drop("blocks").withColumn("kept", detections(F.col("hits"))).drop("hits")
     names = F.coalesce(F.transform("kept", lambda d: d["label"]), F.expr("cast(array() as array<string>)"))
-    return kept.select(
+    return found.select(
         F.col("k").alias(key),
         "n_words",
         "n_base",
