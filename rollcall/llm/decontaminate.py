@@ -12,8 +12,10 @@ all tasks, and documents are read once for the word counts and once for each blo
 shuffled and no candidate leaves its task, so a common passage or a hot source moves no rows.
 
 Words: A-Z lower-cased, ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+``; compared by 64-bit hashes word by word.
-Null texts have no words; items without words or without item_id propose nothing; an item_id that
-repeats stands for the windows of all its rows. Repeated documents get a row each. The clean result is
+Null texts have no words; items without words propose nothing. Windows of items without item_id hit words
+like any others (n_hit), but name no item (n_items, items_sha256); an item_id that repeats stands for the
+windows of all its rows. Empty tables give no rows (documents) and clean results (benchmark). Long texts are
+hashed in stretches. Columns other than key and text aren't read, so no name can clash. Repeated documents get a row each. The clean result is
 n_hit 0, n_items 0, the SHA-256 of the empty string, contaminated false.
 """
 
@@ -27,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ALNUM, LOWER, materialize, prefix_hash, prepare, slices, span_hash, spans
+from .common import ALNUM, LOWER, cuts, long_text, materialize, prefix_hash, prepare, slices, span_hash, spans
 
 #: Words of a window, and the windows (or words of the benchmark) that one block holds at most, about.
 WINDOW, BLOCK = 10, 100_000
@@ -36,7 +38,12 @@ CANDIDATES = 1 << 18
 
 
 def word_hashes(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of each word, first word of each text) of a slice."""
+    """(hash of each word, first word of each text) of a slice; a long text goes in stretches."""
+    if long_text(data, off):
+        ends = cuts(LOWER[data], ALNUM)
+        if len(ends) > 2:
+            h = np.concatenate([word_hashes(data[lo:hi], np.array([0, hi - lo]))[0] for lo, hi in zip(ends, ends[1:], strict=False)])
+            return h, np.array([0, len(h)])
     low = LOWER[data]
     starts, ends, first = spans(low, off, ALNUM)
     return span_hash(prefix_hash(low), starts, ends), first
@@ -55,7 +62,7 @@ def item_windows(items: DataFrame, text: str = "text", key: str = "item_id", win
                 out = [(names[k], words[i : min(i + window, b)]) for k, (a, b) in enumerate(zip(first, first[1:], strict=False)) if b > a for i in range(a, max(a + 1, b - window + 1))]
                 yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.string()), pa.array([x[1] for x in out], pa.list_(pa.int64()))], names=["item", "words"])
 
-    rows = items.where(F.col(key).isNotNull()).select(F.col(key).cast("string").alias("item"), F.col(text).cast("string").alias("t"))
+    rows = items.select(F.col(key).cast("string").alias("item"), F.col(text).cast("string").alias("t"))
     return rows.mapInArrow(run, "item string, words array<long>").distinct()
 
 
@@ -200,7 +207,7 @@ def contamination(docs: DataFrame, items: DataFrame, text: str = "text", key: st
                         np.add.at(step, pairs[:, 1], -1)
                     hit = np.cumsum(step)[:-1] > 0
                     for d, w in np.unique(np.stack([doc, win], 1), axis=0):
-                        names[d].update(block.items[w])
+                        names[d].update(x for x in block.items[w] if x is not None)
                     begin, end, run_first = _runs(hit, first)
                     spans_of = [np.stack([begin[a:z], end[a:z]], 1).ravel() - first[k] for k, (a, z) in enumerate(zip(run_first, run_first[1:], strict=False))]
                     sorted_names = [sorted(x) for x in names]
@@ -228,13 +235,13 @@ def _sql() -> str:
     return f"""
 WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, {words} AS w FROM documents),
 words AS (SELECT rid, unnest(w) AS word, unnest(range(len(w))) AS p FROM docs),
-items AS (SELECT CAST(item_id AS VARCHAR) AS item, {words} AS w FROM benchmark WHERE item_id IS NOT NULL),
+items AS (SELECT CAST(item_id AS VARCHAR) AS item, {words} AS w FROM benchmark),
 starts AS (SELECT item, w, unnest(range(1, greatest(len(w) - {WINDOW - 1}, 1) + 1)) AS head FROM items WHERE len(w) > 0),
 windows AS (SELECT DISTINCT item, array_to_string(list_slice(w, head, head + {WINDOW - 1}), ' ') AS s, least(len(w), {WINDOW}) AS n FROM starts),
 runs AS ({runs}),
 found AS (SELECT r.rid, r.p, r.n, x.item FROM runs r JOIN windows x ON r.n = x.n AND r.s = x.s),
 hits AS (SELECT rid, count(DISTINCT q) AS n_hit FROM (SELECT rid, unnest(range(p, p + n)) AS q FROM found) GROUP BY rid),
-names AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT rid, item FROM found) GROUP BY rid)
+names AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT rid, item FROM found WHERE item IS NOT NULL) GROUP BY rid)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
        sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
 FROM docs LEFT JOIN hits USING (rid) LEFT JOIN names USING (rid)"""

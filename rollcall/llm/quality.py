@@ -13,6 +13,8 @@ is one row for each bucket. Ranks come from range partitions of (sum, doc_id) an
 
 Null or empty text has no features and weight 0 in logs. A null doc_id is never labelled; rows that repeat
 get equal weights and ties are broken by doc_id and feature count. No labels at all: every log weight is 0.
+An empty table gives no rows. Long texts are read in stretches. Columns other than key and text (of labels: key
+and quality) aren't read, so no name can clash.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, mix, prefix_hash, prepare, slices, span_hash
+from .common import cuts, long_text, materialize, mix, prefix_hash, prepare, slices, span_hash
 from .language_id import held_out
 
 #: Buckets of n-gram features (one more holds repeats); labelled documents in the target model.
@@ -37,11 +39,8 @@ _KIND[[9, 10, 11, 12, 13, 32]] = 0
 _KIND[48:58] = _KIND[65:91] = _KIND[97:123] = _KIND[128:] = 1
 
 
-def features(data: np.ndarray, off: np.ndarray, buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray]:
-    """(bucket, text) of each feature of a slice."""
-    n = len(off) - 1
-    if not len(data):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+def _runs(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of each run, first run of each text) of a slice."""
     kind = _KIND[data]
     cut = np.zeros(len(data), bool)
     cut[1:] = kind[1:] != kind[:-1]
@@ -50,8 +49,21 @@ def features(data: np.ndarray, off: np.ndarray, buckets: int = BUCKETS) -> tuple
     ends = np.append(starts[1:], len(data))
     solid = kind[starts] > 0
     starts, ends = starts[solid], ends[solid]
-    h = span_hash(prefix_hash(data), starts, ends)
-    text = np.repeat(np.arange(n), np.diff(np.searchsorted(starts, off)))
+    return span_hash(prefix_hash(data), starts, ends), np.searchsorted(starts, off)
+
+
+def features(data: np.ndarray, off: np.ndarray, buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray]:
+    """(bucket, text) of each feature of a slice."""
+    n = len(off) - 1
+    if not len(data):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    if long_text(data, off):  # in stretches that end where white space begins
+        ends = cuts(data, _KIND > 0)
+        h = np.concatenate([_runs(data[lo:hi], np.array([0, hi - lo]))[0] for lo, hi in zip(ends, ends[1:], strict=False)])
+        first = np.array([0, len(h)])
+    else:
+        h, first = _runs(data, off)
+    text = np.repeat(np.arange(n), np.diff(first))
     pair = np.flatnonzero(text[1:] == text[:-1])
     two = (mix(h[pair] * np.uint64(31) + h[pair + 1]) % np.uint64(buckets)).astype(np.int64)
     two[h[pair] == h[pair + 1]] = buckets
@@ -67,7 +79,8 @@ def log_ratios(docs: DataFrame, labels: DataFrame, text: str = "text", key: str
     """log(target / raw) of each bucket."""
     prepare(docs.sparkSession)
     targets = target_ids(labels, key, rows).select(F.col(key).alias("_k"), F.lit(True).alias("_good"))
-    flagged = docs.join(F.broadcast(targets), F.col(key) == F.col("_k"), "left").select(F.coalesce("_good", F.lit(False)).alias("good"), F.col(text).cast("string").alias("t"))
+    own = docs.select(F.col(key).alias("k"), F.col(text).cast("string").alias("t"))
+    flagged = own.join(F.broadcast(targets), F.col("k") == F.col("_k"), "left").select(F.coalesce("_good", F.lit(False)).alias("good"), "t")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros((2, buckets + 1), np.int64)

@@ -16,6 +16,8 @@ link is lost and no task holds a whole hot group.
 Links within a node leave as a spanning forest, which has the same components as all the pairs.
 Null text is a text without words. Repeated rows and exact copies share a fingerprint and meet as one
 entry of the index. A null doc_id takes part in linking; a component's id is its smallest non-null doc_id.
+An empty table gives no rows. Long texts are hashed in stretches. Columns other than key and text aren't read,
+so no name can clash.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, SOLID, materialize, prepare, slices, spans
+from .common import LOWER, SLICE_BYTES, SOLID, cuts, long_text, materialize, prepare, slices, spans
 from .components import connected_components
 
 #: Words of a shingle, the hash's seed, and bits that linked fingerprints may differ in.
@@ -97,8 +99,26 @@ def xxh64(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = SE
 _BITS = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
 
 
+def overlapping(data: np.ndarray, words: int, most: int = SLICE_BYTES) -> Iterator[np.ndarray]:
+    """A long text in stretches that share words - 1 words, so that each run of ``words`` words lies in one; memory follows the stretch."""
+    ends = cuts(data, SOLID, most)
+    recent, some = np.zeros(0, np.int64), False
+    for lo, hi in zip(ends, ends[1:], strict=False):
+        starts = np.concatenate([recent, spans(data[lo:hi], np.array([0, hi - lo]), SOLID)[0] + lo])
+        if len(starts) >= words or (hi == len(data) and not some):
+            yield data[starts[0] if len(starts) else lo : hi]
+            some = True
+            starts = starts[len(starts) - words + 1 :] if len(starts) >= words else starts
+        recent = starts
+
+
 def shingle_hashes(data: np.ndarray, off: np.ndarray, shingle: int = SHINGLE, seed: int = SEED) -> tuple[np.ndarray, np.ndarray]:
     """(hash, number of the text) of each shingle of a slice, in order of the texts (uint64, int)."""
+    if long_text(data, off):
+        found = [shingle_hashes(part, np.array([0, len(part)]), shingle, seed)[0] for part in overlapping(data, shingle) if len(part) < len(data)]
+        if found:
+            h = np.concatenate(found)
+            return h, np.zeros(len(h), np.int64)
     starts, ends, first = spans(data, off, SOLID)
     if not len(starts):
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)

@@ -19,14 +19,14 @@ def brute(docs, items):
         hit, found = set(), set()
         for item, body in items:
             v = words(body)
-            if item is None or not v:
+            if not v:
                 continue
             for s in range(max(1, len(v) - 9)):
                 win = v[s : s + 10]
                 for p in range(len(w) - len(win) + 1):
                     if w[p : p + len(win)] == win:
                         hit |= set(range(p, p + len(win)))
-                        found.add(str(item))
+                        found |= set() if item is None else {str(item)}
         out[k] = (len(w), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), bool(hit))
     return out
 

@@ -60,3 +60,32 @@ def test_defined_results(spark):
     assert len(rows) == 5 and all(r["log_weight"] == 0.0 for r in rows)
     assert sorted(r["n_features"] for r in rows) == [0, 0, 3, 199_999, 199_999]
     assert Q.resample(docs.limit(0), labels).count() == 0
+
+
+def test_log_weights_equal_a_plain_model(spark):
+    import math
+    from collections import Counter
+
+    docs, labels = tables(spark)
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    good = {r["doc_id"] for r in labels.collect() if r["quality"] == 1 and zlib.crc32(str(r["doc_id"]).encode()) % 5}
+    named: dict = {}
+
+    def bucket(*runs):
+        """Of one run or of a pair, found from a text that holds nothing else."""
+        if runs not in named:
+            raw = " ".join(runs).encode()
+            named[runs] = int(Q.features(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))[0][-1])
+        return named[runs]
+
+    feats = {}
+    for k, (runs, pairs) in plain(list(texts.items()), None).items():
+        feats[k] = [bucket(x) for x in runs] + [bucket(*p) for p in pairs]
+    raw, target = Counter(), Counter()
+    for k, f in feats.items():
+        raw.update(f)
+        target.update(f if k in good else [])
+    n_raw, n_target = sum(raw.values()) + Q.BUCKETS + 1, sum(target.values()) + Q.BUCKETS + 1
+    for r in Q.resample(docs, labels).collect():
+        want = sum(math.log((target[b] + 1) / n_target) - math.log((raw[b] + 1) / n_raw) for b in feats[r["doc_id"]])
+        assert abs(r["log_weight"] - want) < 1e-9 * max(1, abs(want)) and r["n_features"] == len(feats[r["doc_id"]])

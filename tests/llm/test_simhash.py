@@ -85,3 +85,27 @@ def test_null_ids_and_repeated_rows(spark):
     got = sorted((str(r["doc_id"]), r["component_id"]) for r in S.simhash_components(docs).collect() if r["fingerprint"] != "0" * 16)
     assert got == [("7", 7), ("7", 7), ("None", 7)]
     assert S.simhash_components(docs.limit(0)).count() == 0
+
+
+def test_long_texts_in_stretches_hash_alike():
+    import numpy as np
+
+    from rollcall.llm import simhash as S
+    from rollcall.llm.common import cuts
+    from rollcall.llm.decontaminate import word_hashes
+    from rollcall.llm.quality import features
+
+    rng = np.random.default_rng(2)
+    raw = " ".join("".join(rng.choice(list("abcé.,XY"), int(rng.integers(1, 9)))) for _ in range(30_000)).encode() + b"   " + b"z" * 3000 + b" end"
+    data = np.frombuffer(raw, np.uint8)
+    one, two = np.array([0, len(data)]), np.array([0, len(data), len(data)])  # two texts are never cut
+    for most in (50, 700, 4096):
+        parts = [S.shingle_hashes(p, np.array([0, len(p)]), 4)[0] for p in S.overlapping(data, 4, most)]
+        assert np.array_equal(np.concatenate(parts), S.shingle_hashes(data, one, 4)[0])
+        ends = cuts(data, S.SOLID, most)
+        assert ends[0] == 0 and ends[-1] == len(data) and len(ends) > 3 and all(data[c] == 32 for c in ends[1:-1])
+    long = np.tile(data, 20)
+    one, two = np.array([0, len(long)]), np.array([0, len(long), len(long)])
+    assert np.array_equal(S.fingerprints_of(long, one), S.fingerprints_of(long, two)[:1])
+    assert np.array_equal(word_hashes(long, one)[0], word_hashes(long, two)[0])
+    assert np.array_equal(np.sort(features(long, one)[0]), np.sort(features(long, two)[0]))
