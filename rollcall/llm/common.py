@@ -9,11 +9,14 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..storage import shared_dir, ship
 
 #: Bytes of text that one NumPy pass works on. Single texts may be longer; operations cut those in stretches.
 SLICE_BYTES = 1 << 19
+#: Keys with more than 1 / HOT_KEYS of all rows are joined by broadcast: there are at most so many.
+HOT_KEYS = 1000
 
 
 def prepare(spark: SparkSession) -> None:
@@ -37,6 +40,17 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def spread_join(rows: DataFrame, small: DataFrame, keys: list[str], weight: str) -> DataFrame:
+    """Inner join of ``rows`` with ``small`` (one row for each key; ``weight``: at least how many rows have it, summing up to about all rows).
+
+    Keys with more than 1 / HOT_KEYS of the rows are few by that, and broadcast; the others are shuffled.
+    """
+    limit = max(1, small.agg(F.sum(weight)).first()[0] or 0) / HOT_KEYS
+    hot = small.where(F.col(weight) > limit)
+    rest = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(small.where(F.col(weight) <= limit), keys)
+    return rows.join(F.broadcast(hot), keys).unionByName(rest)
+
+
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string column; nulls are empty texts."""
     if isinstance(column, pa.ChunkedArray):

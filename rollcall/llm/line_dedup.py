@@ -23,6 +23,10 @@ of alignment with every earlier document that shares a passage of ``LINE_CHARS``
   further round so many times more, until they are deleted or out of holders. Holders whose lines are
   the same up to lines that no document left has align alike, and only the first of them is compared.
 
+A run that many documents hold is one of at most 1,000 with over a thousandth of all places, and joined by
+broadcast; an earlier document with over ``PAIRS`` pairs is dealt to several tasks. An empty table gives no rows.
+The columns n_lines and n_removed replace any of these names, all other columns stay, whatever their names.
+
 Null texts and null doc_ids are left alone; rows that share doc_id and text count as one document, and
 rows that share only a doc_id are not compared with each other. Blank lines find no pairs.
 """
@@ -38,12 +42,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, prefix_hash, prepare, slices, span_hash
+from .common import materialize, prefix_hash, prepare, slices, span_hash, spread_join
 
 #: Characters of a line that can find pairs and carry a deletion.
 LINE_CHARS = 24
 #: Further holders that a run left over meets in the second round; each round after that goes so many times as far.
 NEXT = 16
+#: Pairs of one earlier document that one task aligns; beyond that its lines go to several tasks.
+PAIRS = 1000
 
 
 def patience(a: list, b: list) -> list[tuple[int, int]]:
@@ -105,6 +111,15 @@ def line_hashes(text: Column, least: int) -> Column:
     return F.transform(F.split(text, "\n"), lambda x: F.xxhash64(x).bitwiseAND(F.lit(-2)).bitwiseOR((F.length(F.trim(x)) >= least).cast("long")))
 
 
+def with_lines(pairs: DataFrame, rows: DataFrame, key: str, lines: str) -> DataFrame:
+    """``pairs`` with the array ``lines`` of the document ``key``; a document of many pairs goes to several tasks."""
+    many = pairs.groupBy(key).agg(F.count("*").alias("_n")).where(F.col("_n") > PAIRS)
+    dealt = F.pmod(F.xxhash64(*[c for c in pairs.columns if c != key]), F.ceil(F.col("_n") / PAIRS)).cast("int")
+    left = pairs.join(many, key, "left").withColumn("_deal", F.coalesce(dealt, F.lit(0))).drop("_n")
+    right = rows.select(key, lines).join(many, key, "left").withColumn("_deal", F.explode(F.sequence(F.lit(0), F.coalesce(F.ceil(F.col("_n") / PAIRS).cast("int") - 1, F.lit(0))))).drop("_n")
+    return left.join(right, [key, "_deal"]).drop("_deal")
+
+
 def deletions(docs: DataFrame, text: str = "text", key: str = "doc_id", least: int = LINE_CHARS) -> DataFrame:
     """(k, h, places): for later documents, by doc_id and hash of the text, the numbers of the lines to delete."""
     prepare(docs.sparkSession)
@@ -112,9 +127,10 @@ def deletions(docs: DataFrame, text: str = "text", key: str = "doc_id", least: i
     rows = docs.where(t.isNotNull() & F.col(key).isNotNull()).select(F.col(key).alias("k"), F.xxhash64(t).alias("h"), line_hashes(t, least).alias("lines"))
     rows = materialize(rows)
     held = rows.select("k", "h", F.explode(F.array_distinct("lines")).alias("line")).where("line % 2 != 0")
-    owners = held.groupBy("line").agg(F.min("k").alias("owner"), F.max("k").alias("last")).where("owner < last").drop("last")
-    pairs = held.join(owners, "line").where("owner < k").select("k", "h", "owner").distinct()
-    both = pairs.join(rows.withColumnRenamed("lines", "later").distinct(), ["k", "h"]).join(rows.select(F.col("k").alias("owner"), F.col("lines").alias("first")).distinct(), "owner").select("k", "h", "first", "later")
+    owners = materialize(held.groupBy("line").agg(F.min("k").alias("owner"), F.max("k").alias("last"), F.count("*").alias("n")).where("owner < last").drop("last"))
+    pairs = spread_join(held, owners, ["line"], "n").where("owner < k").select("k", "h", "owner").distinct()
+    once = rows.dropDuplicates(["k", "h"])
+    both = with_lines(pairs.join(once.withColumnRenamed("lines", "later"), ["k", "h"]), once.select(F.col("k").alias("owner"), F.col("lines").alias("first")), "owner", "first").select("k", "h", "first", "later")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -193,11 +209,12 @@ def every_deletion(docs: DataFrame, text: str = "text", key: str = "doc_id", lea
     rows = docs.where(t.isNotNull() & F.col(key).isNotNull()).select(F.col(key).alias("k"), F.xxhash64(t).alias("h"), t.alias("t"))
     rows = materialize(rows.mapInArrow(enter, f"k {kind}, h long, lines array<long>, runs array<long>, lo array<long>, hi array<long>"))
     held = rows.select("k", "h", F.explode(F.array_distinct("runs")).alias("run"))
-    owners = materialize(held.groupBy("run").agg(F.min("k").alias("owner"), F.max("k").alias("last")).where("owner < last").drop("last"))
-    held = materialize(held.join(owners, "run"))
+    owners = materialize(held.groupBy("run").agg(F.min("k").alias("owner"), F.max("k").alias("last"), F.count("*").alias("n")).where("owner < last").drop("last"))
+    held = materialize(spread_join(held, owners, ["run"], "n").drop("n"))
     once = rows.dropDuplicates(["k", "h"])
     pairs = held.where("owner < k").select("k", "h", "owner").distinct()
-    both = pairs.join(once.select("k", "h", F.col("lines").alias("later")), ["k", "h"]).join(once.select(F.col("k").alias("owner"), F.col("lines").alias("first")), "owner")
+    pairs = materialize(pairs)
+    both = with_lines(pairs, once.select(F.col("k").alias("owner"), F.col("lines").alias("first")), "owner", "first").join(once.select("k", "h", F.col("lines").alias("later")), ["k", "h"])
     cut = materialize(merged(joined(both.select("k", "h", "first", "later"))))
 
     def left_over(among: DataFrame, cut: DataFrame) -> DataFrame:
@@ -235,13 +252,18 @@ def every_deletion(docs: DataFrame, text: str = "text", key: str = "doc_id", lea
 
 
 def dedupe_lines(docs: DataFrame, text: str = "text", key: str = "doc_id", least: int = LINE_CHARS, every: bool = False) -> DataFrame:
-    """``docs`` with the blocks deleted from the text, and _n_lines, _n_removed (long). ``every``: not only pairs with the first owner of a line."""
+    """``docs`` with the blocks deleted from the text, and n_lines, n_removed (long). ``every``: not only pairs with the first owner of a line."""
     cut = materialize(deletions(docs, text, key, least)) if not every else every_deletion(docs, text, key, least)
-    cut = cut.select(F.col("k").alias("_k"), F.col("h").alias("_h"), F.col("places").alias("_places"))
     t = F.col(text).cast("string")
-    joined = docs.withColumn("_hash", F.xxhash64(t)).join(cut.hint("shuffle_hash"), (F.col(key) == F.col("_k")) & (F.col("_hash") == F.col("_h")), "left")
-    lines = F.split(t, "\n")
-    left = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("_places", i.cast("long"))), "\n")
-    counted = joined.withColumn("_n_lines", F.coalesce(F.size(lines), F.lit(0)).cast("long")).withColumn("_n_removed", F.coalesce(F.size("_places"), F.lit(0)).cast("long"))
-    counted = counted.withColumn("_n_lines", F.when(t.isNull(), F.lit(0)).otherwise(F.col("_n_lines"))).withColumn("_n_removed", F.when(F.col("_places").isNull(), F.lit(0)).otherwise(F.col("_n_removed")))
-    return counted.withColumn(text, F.when(F.col("_places").isNotNull(), left).otherwise(t)).drop("_k", "_h", "_places", "_hash")
+    rows = docs.select(F.struct(*(F.col(c) for c in docs.columns if c not in ("n_lines", "n_removed", text))).alias("row"), F.col(key).alias("own"), F.xxhash64(t).alias("hash"), t.alias("t"))
+    joined = rows.join(cut.hint("shuffle_hash"), (F.col("own") == F.col("k")) & (F.col("hash") == F.col("h")), "left")
+    lines = F.split("t", "\n")
+    kept = F.array_except(F.sequence(F.lit(0).cast("long"), F.size(lines).cast("long") - 1), F.col("places"))
+    parts = joined.withColumn("lines", lines).withColumn("kept", F.when(F.col("places").isNotNull(), kept))
+    left = F.array_join(F.transform("kept", lambda i: F.get(F.col("lines"), i.cast("int"))), "\n")
+    names = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
+    return parts.select(
+        *(F.when(F.col("places").isNotNull(), left).otherwise(F.col("t")).alias(c) if c == text else F.col("row")[c].alias(c) for c in names),
+        F.when(F.col("t").isNull(), F.lit(0)).otherwise(F.size("lines")).cast("long").alias("n_lines"),
+        F.coalesce(F.size("lines") - F.size("kept"), F.lit(0)).cast("long").alias("n_removed"),
+    )

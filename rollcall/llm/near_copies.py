@@ -1,10 +1,15 @@
-"""Near copies by Jaccard similarity of 5-word shingles: MinHash bands find pairs, the shingle sets decide.
+"""Near copies by SimHash and Jaccard similarity of 5-word shingles: candidates from two indexes, the shingle sets decide.
 
 Words and shingles are those of ``simhash``: A-Z lower-cased, a shorter text is one shingle, a text without
 words has none and equals any other such text. Two texts are linked if their sets of shingle hashes (64
 bits) have similarity ``SIMILARITY`` or more; groups are the connected components of the links.
 
-Candidates: texts with equal sets are one entry from the start. Each entry has ``BANDS`` keys of ``ROWS``
+Candidates come first from SimHash: the fingerprints of 5-word shingles go through the Gray-order index of
+``simhash``, and what it connects at ``DISTANCE`` bits is one bucket. A similarity of 0.8 leaves some 10 of 64 bits
+different, more than any index over 64 bits can bridge without comparing nearly everything; such pairs are
+found by MinHash besides.
+
+Texts with equal sets are one entry from the start. Each entry has also ``BANDS`` keys of ``ROWS``
 MinHash values each; entries that share a key are in one bucket. A pair at similarity s shares none with
 probability (1 - s ** ROWS) ** BANDS, at 0.8 that is 7 in 100,000.
 
@@ -25,7 +30,7 @@ from pyspark.sql import functions as F
 
 from .common import materialize, mix, prepare, slices
 from .components import connected_components
-from .simhash import SEED, shingle_hashes
+from .simhash import DISTANCE, SEED, fingerprint_bits, links, shingle_hashes
 
 #: Words of a shingle, and tenths of similarity from which two texts are copies.
 SHINGLE, TENTHS = 5, 8
@@ -40,21 +45,26 @@ _SHIFTS = _rng.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64)
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 
 
-def shingle_sets(data: np.ndarray, off: np.ndarray, shingle: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes, first hash of each text): the distinct shingle hashes of each text of a slice, in order."""
-    h, doc = shingle_hashes(data, off, shingle, SEED)
+def distinct_hashes(h: np.ndarray, doc: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, first hash of each text): the distinct shingle hashes of each of n texts, in order."""
     order = np.lexsort((h, doc))
     h, doc = h[order], doc[order]
     new = np.ones(len(h), bool)
     new[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
     h, doc = h[new], doc[new]
-    return h, np.searchsorted(doc, np.arange(len(off)))
+    return h, np.searchsorted(doc, np.arange(n + 1))
+
+
+def shingle_sets(data: np.ndarray, off: np.ndarray, shingle: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+    return distinct_hashes(*shingle_hashes(data, off, shingle, SEED), len(off) - 1)
 
 
-def entries_of(data: np.ndarray, off: np.ndarray, shingle: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
-    """(entry, band keys) of each text of a slice (uint64); texts with equal sets have the same entry."""
-    h, first = shingle_sets(data, off, shingle)
+def entries_of(data: np.ndarray, off: np.ndarray, shingle: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(entry, fingerprint, band keys) of each text of a slice (uint64); texts with equal sets have the same entry."""
     n = len(off) - 1
+    all_h, doc = shingle_hashes(data, off, shingle, SEED)
+    fp = fingerprint_bits(all_h, doc, n)
+    h, first = distinct_hashes(all_h, doc, n)
     entry, keys = np.zeros(n, np.uint64), np.zeros((n, BANDS), np.uint64)
     full = np.flatnonzero(first[1:] > first[:-1])
     if len(full):
@@ -68,7 +78,7 @@ def entries_of(data: np.ndarray, off: np.ndarray, shingle: int = SHINGLE) -> tup
                 value += _SHIFTS[k]
                 key = mix(key * _PRIME + np.minimum.reduceat(value, at))
             keys[full, band] = key
-    return entry, keys
+    return entry, fp, keys
 
 
 def copies(a: bytes, b: bytes) -> bool:
@@ -120,7 +130,7 @@ def linked(held: DataFrame, sets: DataFrame) -> DataFrame:
         low, high = high, high * REACH
 
 
-def near_copy_groups(docs: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = SHINGLE) -> DataFrame:
+def near_copy_groups(docs: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
     """(key, text_hash, group) of every row; rows of one group are copies of each other, directly or through others."""
     prepare(docs.sparkSession)
     kind = docs.schema[key].dataType.simpleString()
@@ -130,9 +140,9 @@ def near_copy_groups(docs: DataFrame, text: str = "text", key: str = "doc_id", s
     def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, data, off in slices(batch, "t"):
-                entry, keys = entries_of(data, off, shingle)
+                entry, fp, keys = entries_of(data, off, shingle)
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(len(entry) + 1, dtype=np.int32) * BANDS), pa.array(keys.ravel().view(np.int64)))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(entry.view(np.int64)), lists], names=["k", "text_hash", "entry", "keys"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(entry.view(np.int64)), pa.array(fp.view(np.int64)), lists], names=["k", "text_hash", "entry", "fp", "keys"])
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -141,9 +151,12 @@ def near_copy_groups(docs: DataFrame, text: str = "text", key: str = "doc_id", s
                 found = [h[a:z].tobytes() for a, z in zip(first[:-1], first[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.binary())], names=["entry", "set"])
 
-    entered = materialize(rows.mapInArrow(enter, f"k {kind}, text_hash long, entry long, keys array<long>"))
-    entries = entered.groupBy("entry").agg(F.min(F.struct(F.col("text_hash").alias("h"), F.col("k"))).alias("one"), F.any_value("keys").alias("keys"))
-    held = entries.select("entry", F.explode("keys").alias("bucket"))
+    entered = materialize(rows.mapInArrow(enter, f"k {kind}, text_hash long, entry long, fp long, keys array<long>"))
+    entries = entered.groupBy("entry").agg(F.min(F.struct(F.col("text_hash").alias("h"), F.col("k"))).alias("one"), F.min("fp").alias("fp"), F.any_value("keys").alias("keys"))
+    entries = materialize(entries)
+    alike = connected_components(links(entries.select("fp").distinct(), distance)).withColumnRenamed("node", "fp")
+    printed = entries.select("entry", "fp").join(alike, "fp", "left").select("entry", F.xxhash64(F.lit("simhash"), F.coalesce("component", "fp")).alias("bucket"))
+    held = entries.select("entry", F.explode("keys").alias("bucket")).unionAll(printed)
     shared = held.groupBy("bucket").agg(F.min("entry").alias("x"), F.max("entry").alias("y")).where("x < y").select("bucket")
     held = materialize(held.join(shared, "bucket").select("bucket", "entry"))
     wanted = materialize(entries.join(held.select("entry").distinct(), "entry", "left_semi").select("entry", F.col("one.h").alias("h"), F.col("one.k").alias("_k")))

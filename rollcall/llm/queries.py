@@ -61,7 +61,7 @@ def op8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = dedupe_lines(documents(spark, sf_dir).select("doc_id", "text"), every=True)
     kept = F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    return found.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_removed").alias("n_removed"), F.length(kept).cast("long").alias("kept_bytes"), F.sha2(kept, 256).alias("kept_sha256"))
+    return found.select("doc_id", "n_lines", "n_removed", F.length(kept).cast("long").alias("kept_bytes"), F.sha2(kept, 256).alias("kept_sha256"))
 
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

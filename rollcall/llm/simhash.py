@@ -136,10 +136,8 @@ def shingle_hashes(data: np.ndarray, off: np.ndarray, shingle: int = SHINGLE, se
     return xxh64(flat, starts[head], ends[tail], seed), doc
 
 
-def fingerprints_of(data: np.ndarray, off: np.ndarray, shingle: int = SHINGLE, seed: int = SEED) -> np.ndarray:
-    """The fingerprint of each text of a slice (uint64)."""
-    n_docs = len(off) - 1
-    h, doc = shingle_hashes(data, off, shingle, seed)
+def fingerprint_bits(h: np.ndarray, doc: np.ndarray, n_docs: int) -> np.ndarray:
+    """The fingerprint of each of n_docs texts from its shingle hashes (uint64)."""
     count = np.bincount(doc, minlength=n_docs)
     out = np.zeros(n_docs, np.uint64)
     for k in range(8):
@@ -149,6 +147,11 @@ def fingerprints_of(data: np.ndarray, off: np.ndarray, shingle: int = SHINGLE, s
     return out
 
 
+def fingerprints_of(data: np.ndarray, off: np.ndarray, shingle: int = SHINGLE, seed: int = SEED) -> np.ndarray:
+    """The fingerprint of each text of a slice (uint64)."""
+    return fingerprint_bits(*shingle_hashes(data, off, shingle, seed), len(off) - 1)
+
+
 def fingerprints(docs: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
     """(key, fp long, text_hash long) of every row; text_hash tells rows of one key apart."""
     prepare(docs.sparkSession)

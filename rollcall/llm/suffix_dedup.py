@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SLICE_BYTES, materialize, mix, prefix_hash, prepare, slices, span_hash
+from .common import SLICE_BYTES, materialize, mix, prefix_hash, prepare, slices, span_hash, spread_join
 
 #: Bytes of a string whose repetition counts; bytes of an anchor.
 LENGTH, GRAM = 400, 32
@@ -49,8 +49,6 @@ PARTS = 2
 HOT, BUCKET, SHARD = 2048, 2048, 512
 #: Bytes of a symbol of the transforms.
 SYMBOL = 32
-#: Keys with more than this share of all rows are joined by broadcast: there are at most so many.
-HOT_KEYS = 1000
 
 _RNG = np.random.default_rng(11)
 _BYTES = _RNG.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -327,17 +325,6 @@ def _bucket_ranges(table: pa.Table, length: int) -> pa.Table:
     return rows.append_column("b", pa.array(low[full].astype(np.int32))).append_column("len", pa.array((high - low)[full].astype(np.int32) + length))
 
 
-def spread_join(rows: DataFrame, small: DataFrame, keys: list[str], weight: str) -> DataFrame:
-    """Inner join of ``rows`` with ``small`` (one row for each key; ``weight``: at least how many rows have it, summing up to about all rows).
-
-    Keys with more than 1 / HOT_KEYS of the rows are few by that, and broadcast; the others are shuffled.
-    """
-    limit = max(1, small.agg(F.sum(weight)).first()[0] or 0) / HOT_KEYS
-    hot = small.where(F.col(weight) > limit)
-    rest = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(small.where(F.col(weight) <= limit), keys)
-    return rows.join(F.broadcast(hot), keys).unionByName(rest)
-
-
 def _candidates(classes: DataFrame) -> DataFrame:
     """Contents (g, ctx, n, ...) of routes that occur more than once, with kinds: the contents of the route."""
     seen = classes.groupBy("g").agg(F.count("*").alias("kinds"), F.sum("n").alias("total")).where("total > 1").drop("total")

@@ -56,8 +56,8 @@ def test_defined_results(spark):
     line = "a line that is long enough to find a pair"
     rows = [(1, line), (1, line), (None, line), (2, None), (3, ""), (4, "short"), (5, "short"), (6, "new\n" + line + "\nshort")]
     got = dedupe_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
-    assert sorted((str(r["doc_id"]), r["text"], r["_n_lines"], r["_n_removed"]) for r in got if r["doc_id"] not in (2,)) == [
+    assert sorted((str(r["doc_id"]), r["text"], r["n_lines"], r["n_removed"]) for r in got if r["doc_id"] not in (2,)) == [
         ("1", line, 1, 0), ("1", line, 1, 0), ("3", "", 1, 0), ("4", "short", 1, 0), ("5", "short", 1, 0), ("6", "new\nshort", 3, 1), ("None", line, 1, 0),
     ]
-    assert [(r["text"], r["_n_lines"]) for r in got if r["doc_id"] == 2] == [(None, 0)]
+    assert [(r["text"], r["n_lines"]) for r in got if r["doc_id"] == 2] == [(None, 0)]
     assert dedupe_lines(spark.createDataFrame([], "doc_id long, text string")).count() == 0

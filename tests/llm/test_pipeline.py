@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 corpus_pipeline = pytest.importorskip("corpus_pipeline")
 
@@ -39,6 +40,26 @@ def test_each_stage(spark, folder):
     assert sorted(map(str, corpus_pipeline.run(spark, folder).collect())) == sorted(map(str, seen["mix"]))
 
 
+def test_blank_left_overs_and_equal_rows(spark):
+    long = "a line that is long enough to find a pair"
+    rows = [(1, long, "a"), (2, " \n" + long, "a"), (3, "one two three four five six seven", "b"), (3, "one two three four five six seven", "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    left = corpus_pipeline.line_stage(spark, docs, "").collect()
+    assert sorted((r["doc_id"], r["source"]) for r in left) == [(1, "a"), (3, "a"), (3, "b")]
+    kept = corpus_pipeline.near_copy_stage(spark, docs, "")
+    assert kept.columns == docs.columns and sorted(map(tuple, kept.collect())) == [(1, long, "a"), (3, rows[3][1], "a")]
+
+
+def test_unclear_language_goes(spark, monkeypatch):
+    class Even:
+        classes = ["a", "b"]
+
+    monkeypatch.setattr(corpus_pipeline, "train", lambda docs: Even())
+    monkeypatch.setattr(corpus_pipeline, "identify", lambda docs, net, pred, score_name: docs.withColumn(pred, F.lit("a")).withColumn(score_name, F.col("p")))
+    docs = spark.createDataFrame([(1, 0.51), (2, 0.53), (3, 1.0)], "doc_id long, p double")
+    assert [r["doc_id"] for r in corpus_pipeline.language_stage(spark, docs, "").collect()] == [2, 3]
+
+
 def test_empty_tables(spark, folder, tmp_path):
     for name in ("documents", "benchmark"):
         spark.read.parquet(f"{folder}/{name}.parquet").limit(0).write.parquet(str(tmp_path / f"{name}.parquet"))
