@@ -15,34 +15,42 @@ from rollcall.llm.line_dedup import dedupe_lines
 from rollcall.llm.mixing import mix
 from rollcall.llm.near_copies import near_copy_groups
 
-#: Documents whose language is predicted with less than this go.
-LEAST_SCORE = 0.3
+#: Documents go whose language is predicted with less than this part of the way from an even guess to certainty.
+LEAST_CLEAR = 0.05
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without a letter or without a clear language. The network learns from ``docs`` itself."""
-    found = identify(docs, train(docs), pred="_lang_pred", score_name="_lang_score")
-    return found.where((F.col("_lang_pred") != UNKNOWN) & (F.col("_lang_score") >= LEAST_SCORE)).select(docs.columns)
+    net = train(docs)
+    found = identify(docs, net, pred="_lang_pred", score_name="_lang_score")
+    even = 1 / max(2, len(net.classes) if net else 2)
+    return found.where((F.col("_lang_pred") != UNKNOWN) & (F.col("_lang_score") >= even + LEAST_CLEAR * (1 - even))).select(docs.columns)
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Deletes blocks of lines that an earlier document has; a document of which nothing is left goes."""
+    """Deletes blocks of lines that an earlier document has; a document of which nothing but white space is left goes."""
     found = dedupe_lines(docs, every=True)
-    found = found.where((F.col("_n_removed") == 0) | (F.trim("text") != ""))
+    found = found.where((F.col("n_removed") == 0) | F.col("text").rlike(r"\S"))
     if "n_chars" in docs.columns:
-        found = found.withColumn("n_chars", F.when(F.col("_n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
+        found = found.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
     return found.select(docs.columns)
 
 
 def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near copies (5-word shingles, similarity 0.8 or more): the one with the least doc_id, and of equal ids the least text hash."""
+    """Keeps one document of each group of near copies: the one with the least doc_id, and of equal ids the least text hash.
+
+    Copies are texts whose 5-word shingles have similarity 0.8 or more, found by the SimHash index and, further
+    apart, by MinHash. Of rows equal in both, one stays, the least by its other columns.
+    """
     groups = materialize(near_copy_groups(docs))
     chosen = groups.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("one"))
     chosen = materialize(chosen.select(F.col("one.doc_id").alias("_id"), F.col("one.text_hash").alias("_h")))
     kept = docs.join(chosen.hint("shuffle_hash"), docs["doc_id"].eqNullSafe(F.col("_id")) & F.xxhash64(docs["text"]).eqNullSafe(F.col("_h")), "left_semi")
     first = groups.join(chosen, groups["doc_id"].eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_h")), "left_semi")
     repeated = not first.groupBy("doc_id", "text_hash").count().where("count > 1").isEmpty()
-    return kept.dropDuplicates(["doc_id", "text"]) if repeated else kept
+    if not repeated:
+        return kept
+    return kept.groupBy(F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_h")).agg(F.min(F.struct(*docs.columns)).alias("_row")).select("_row.*")
 
 
 def leak_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
