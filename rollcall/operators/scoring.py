@@ -8,43 +8,53 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from ..functions.imaging import sharpness
 from ..schemas import SCORES
+from ..storage import ship
 
 #: A scorer takes a decoded BGR image and returns embedding, age, gender, confidence; None: no face.
 Scorer = Callable[[np.ndarray], dict | None]
 
 
-def score_images(images: DataFrame, scorer_factory: Callable[[], Scorer], on_error: str = "flag", profile=None) -> DataFrame:
+def score_images(images: DataFrame, scorer_factory: Callable[[], Scorer], on_error: str = "flag", profile=None, sharp: bool = False) -> DataFrame:
     """(path, readable, embedding, age, gender, confidence, error) of every image (path, readable, image).
 
+    With ``sharp`` also laplacian_variance, from the same pass over the pixels; null if it can't be read.
+
     ``scorer_factory`` is called once in each task. An image without a face has nulls; one that can't be
     read isn't scored; one that the scorer fails on has error set, or ends the job with ``on_error`` 'raise'.
     ``profile`` is a ResourceProfile, say of one GPU for each task.
     """
+    ship(images.sparkSession)
     rows = images.selectExpr("path", "readable", "image.height as height", "image.width as width", "image.nChannels as channels", "image.data as data")
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in SCORES.fields)
 
+    extra = ["laplacian_variance"] if sharp else []
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         scorer = scorer_factory()
         for b in batches:
             out = []
             for r in b.itertuples():
-                found, error = None, None
+                found, error, pixels = None, None, None
                 if r.readable:
+                    pixels = np.frombuffer(r.data, np.uint8).reshape(r.height, r.width, r.channels)
                     try:
-                        found = scorer(np.frombuffer(r.data, np.uint8).reshape(r.height, r.width, r.channels))
+                        found = scorer(pixels)
                     except Exception as e:
                         if on_error == "raise":
                             raise
                         error = f"{type(e).__name__}: {e}"
                 found = found or {}
-                out.append((r.path, r.readable, found.get("embedding"), found.get("age"), found.get("gender"), found.get("confidence"), error))
-            made = pd.DataFrame(out, columns=["path", "readable", *SCORES.names])
+                out.append((r.path, r.readable, found.get("embedding"), found.get("age"), found.get("gender"), found.get("confidence"), error, *([None if pixels is None else sharpness(pixels)] if sharp else [])))
+            made = pd.DataFrame(out, columns=["path", "readable", *SCORES.names, *extra])
+            for name in extra:
+                made[name] = made[name].astype("float64")
             for name in ("age", "gender"):
                 made[name] = made[name].astype("Int32")
             yield made
 
-    return rows.mapInPandas(run, f"path string, readable boolean, {fields}", profile=profile)
+    return rows.mapInPandas(run, f"path string, readable boolean, {fields}{', laplacian_variance double' if sharp else ''}", profile=profile)
 
 
 def stub_scorer(dim: int = 8) -> Callable[[], Scorer]:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.attributes import AGE_LABELS, age_group_label
 
+# Fixed value: how identities came about.
 SOURCE = "identity-conditioned synthetic variants"
 
 

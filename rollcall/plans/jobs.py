@@ -1,16 +1,16 @@
-"""The five steps as jobs. Steps settle to the shared folder at their edges, so each can be run again alone."""
+"""The five steps as jobs. Each step reads what the one before has written, unless that ran in the same call, so each can be run again alone."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.attributes import age_group, cast_attributes, with_attr_defaults
-from ..functions.classify import classify_candidate, classify_preprocess, drop_unknown
-from ..functions.imaging import laplacian_variance
+from ..functions.classify import classify_candidate, classify_preprocess, drop_unknown, split_valid
 from ..functions.paths import round_metrics, with_output_paths, with_path_parts
 from ..operators.admission import admit_first_k, generation_summary, require_filled, split_admission
 from ..operators.candidates import attach_seed, attach_style, plan_candidates, seed_vectors, with_similarity
@@ -20,11 +20,16 @@ from ..operators.sampling import sample_cap, split_pools
 from ..operators.scoring import Scorer, score_images
 from ..operators.splits import apply_split, distinct_ids, special_ids
 from ..operators.summaries import dataset_summary, extraction_summary, preprocess_funnel, processed_records
-from ..sources.readers import filter_images, list_files, read_images
-from ..sources.writers import write_chunk, write_dataset, write_manifests, write_records, write_summary
+from ..schemas import PROCESSED
+from ..sources.readers import filter_images, list_files, read_chunks, read_images, read_manifest
+from ..sources.writers import write_chunks, write_dataset, write_manifests, write_records, write_summary
 from ..storage import settle
 
 
+#: Up to so many images are loaded by name; beyond that their folder is read and the names are joined.
+MOST_NAMED = 50_000
+
+
 @dataclass(frozen=True)
 class Settings:
     """Parameters of all steps."""
@@ -49,21 +54,20 @@ class Settings:
     steps: dict[str, bool] = field(default_factory=dict)
 
 
-def _scored(spark: SparkSession, paths: DataFrame, scorer: Callable[[], Scorer], listed: int | None, root: str) -> DataFrame:
-    """Scores and sharpness of the given images. A bounded list of paths is loaded by name, otherwise the root is read."""
-    source = [r[0] for r in paths.select("path").collect()] if listed else root
-    images = read_images(spark, source) if source else None
-    if images is None:
+def _scored(spark: SparkSession, paths: DataFrame, scorer: Callable[[], Scorer], root: str) -> DataFrame:
+    """Scores and sharpness of the given images, from one pass over their pixels."""
+    names = [r[0] for r in paths.select("path").limit(MOST_NAMED + 1).collect()]
+    if not names:
         return spark.createDataFrame([], "path string, readable boolean, embedding array<float>, age int, gender int, confidence double, error string, laplacian_variance double")
-    if not listed:
-        images = images.join(paths.select("path"), "path", "left_semi")
-    return score_images(images, scorer).join(laplacian_variance(images).select("path", "laplacian_variance"), "path")
+    if len(names) <= MOST_NAMED:
+        return score_images(read_images(spark, names), scorer, sharp=True)
+    return score_images(read_images(spark, root).join(paths.select("path"), "path", "left_semi"), scorer, sharp=True)
 
 
 def preprocess(spark: SparkSession, s: Settings) -> tuple[DataFrame, DataFrame]:
     """(outcome of every image, funnel). Names are sampled before anything is decoded."""
     names = sample_cap(filter_images(list_files(spark, s.raw), "raw"), s.max_images, s.seed)
-    scored = _scored(spark, settle(names), s.scorer, s.max_images, s.raw)
+    scored = _scored(spark, settle(names), s.scorer, s.raw)
     face = F.when(F.col("embedding").isNotNull(), F.coalesce("confidence", F.lit(1.0)))
     broken = F.when(~F.col("readable"), F.lit("unreadable")).otherwise(F.col("error"))
     outcome = classify_preprocess(face, F.col("laplacian_variance"), s.conf_threshold, s.crop_blur_threshold, broken)
@@ -96,17 +100,18 @@ def plan_generation(pool: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]
     return settle(plan.drop("style_idx")), seeds
 
 
-def extract(spark: SparkSession, root: str, out: str, s: Settings, preset: str = "extract") -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(attributes, chunk manifest, summary) of the images under ``root``, written chunk by chunk to ``out``."""
-    names = assign_chunks(filter_images(list_files(spark, root), preset).select("path"), s.chunk_size, "path")
-    scores = score_images(read_images(spark, root).join(names.select("path"), "path", "left_semi"), s.scorer)
-    scored = settle(names.join(scores, "path", "left"))
-    saved = F.coalesce(F.col("readable") & F.col("embedding").isNotNull(), F.lit(False))
-    good = cast_attributes(with_attr_defaults(scored.where(saved)).withColumn("age_group", age_group(F.col("age"))))
-    good = good.select(F.col("path").alias("image_path"), "embedding", "age", "gender", "age_group", "chunk_id")
-    write_chunk(good, out)
-    manifest = chunk_manifest(scored, saved)
-    attributes = spark.read.parquet(out)
+def extract(spark: SparkSession, paths: DataFrame, root: str, out: str, s: Settings, preset: str = "extract") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(attributes, chunk manifest, summary) of the images ``paths`` (below ``root``), written chunk by chunk to ``out``.
+
+    Images that fail are written too, with saved false: a rerun replaces every chunk, also one that holds nothing else.
+    """
+    names = assign_chunks(filter_images(paths, preset).select("path"), s.chunk_size, "path")
+    scored = settle(names.join(_scored(spark, names, s.scorer, root), "path", "left"))
+    marked = split_valid(scored, F.col("readable"), F.col("embedding").isNotNull())
+    rows = cast_attributes(with_attr_defaults(marked).withColumn("age_group", age_group(F.col("age"))))
+    write_chunks(rows.select(F.col("path").alias("image_path"), "embedding", "age", "gender", "age_group", "saved", "chunk_id"), out)
+    manifest = settle(chunk_manifest(marked, F.col("saved")))
+    attributes = read_chunks(spark, out).where("saved").drop("saved")
     return attributes, manifest, extraction_summary(attributes, scored.count(), manifest.count())
 
 
@@ -132,25 +137,45 @@ def run(spark: SparkSession, s: Settings) -> dict[str, DataFrame]:
         write_records(processed_records(made["outcomes"], f"{s.out}/processed"), f"{s.out}/preprocess_records")
         write_summary(made["funnel"], f"{s.out}/preprocess_summary")
     if on["generate"]:
-        pool = made["outcomes"].where("outcome = 'success'").select("path") if "outcomes" in made else filter_images(list_files(spark, s.raw), "pool").select("path")
+        pool = _written(lambda: spark.read.schema(PROCESSED).json(f"{s.out}/preprocess_records"))
+        pool = filter_images(list_files(spark, s.raw), "pool").select("path") if pool is None else pool.select(F.col("original_path").alias("path"))
         plan, seeds = plan_generation(pool, s)
         plan = with_output_paths(plan, s.out)
-        candidates = settle(_scored(spark, filter_images(list_files(spark, f"{s.out}/_candidates"), "pool"), s.scorer, None, f"{s.out}/_candidates"))
+        found = filter_images(list_files(spark, f"{s.out}/_candidates"), "pool").join(plan.select(F.col("candidate_path").alias("path")), "path", "left_semi")
+        candidates = settle(_scored(spark, settle(found), s.scorer, f"{s.out}/_candidates"))
         scored = plan.select("identity_id", "trial", F.col("candidate_path").alias("path")).join(candidates, "path").drop("path", "confidence", "error")
-        seed_scores = _scored(spark, seeds.select(F.col("seed_path").alias("path")), s.scorer, s.n_identities, s.raw)
+        seed_scores = _scored(spark, seeds.select(F.col("seed_path").alias("path")), s.scorer, s.raw)
         vectors = seeds.join(seed_scores.select(F.col("path").alias("seed_path"), "embedding"), "seed_path", "left")
         made["accepted"], made["rejected"], summary = generate(plan.select("identity_id", "trial", "generation_seed", "seed_path", "style_path"), scored, vectors, s)
         write_manifests(made["accepted"], made["rejected"], s.out)
         write_summary(summary, f"{s.out}/generation_summary")
     if on["extract"]:
-        made["attributes"], made["chunks"], summary = extract(spark, f"{s.out}/_candidates", f"{s.out}/attributes", s)
-        write_summary(summary, f"{s.out}/extraction_summary")
-    if on["build"] and "accepted" in made and "attributes" in made:
         # files stay where they are: an accepted image is known by its candidate's path
-        attributes = made["attributes"].withColumnRenamed("image_path", "candidate_path")
-        manifest = made["accepted"].select("image_path", "candidate_path", "cluster_id")
+        accepted = _required(lambda: read_manifest(spark, f"{s.out}/identity_manifest"), "extract", "generate").select(F.col("candidate_path").alias("path"))
+        made["attributes"], made["chunks"], summary = extract(spark, accepted, f"{s.out}/_candidates", f"{s.out}/attributes", s)
+        write_summary(summary, f"{s.out}/extraction_summary")
+    if on["build"]:
+        manifest = _required(lambda: read_manifest(spark, f"{s.out}/identity_manifest"), "build", "generate").select("image_path", "candidate_path", "cluster_id")
+        attributes = _required(lambda: read_chunks(spark, f"{s.out}/attributes"), "build", "extract").where("saved").withColumnRenamed("image_path", "candidate_path")
         attributes = attributes.join(manifest.select("candidate_path", "image_path"), "candidate_path").drop("candidate_path")
         made["dataset"], made["summary"] = build_dataset(manifest, attributes, s)
         write_dataset(made["dataset"], f"{s.out}/dataset")
         write_summary(made["summary"], f"{s.out}/dataset_summary")
     return made
+
+
+def _written(read: Callable[[], DataFrame]) -> DataFrame | None:
+    """What an earlier step wrote, None if it didn't."""
+    try:
+        return read()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def _required(read: Callable[[], DataFrame], step: str, before: str) -> DataFrame:
+    found = _written(read)
+    if found is None:
+        raise ValueError(f"step {step} needs what step {before} writes")
+    return found

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
+from pyarrow.fs import FileSystem
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import ATTRIBUTES, CANDIDATES, DATASET, MANIFEST
+from ..storage import settle
 
 
 def write_dataset(df: DataFrame, path: str) -> None:
@@ -35,6 +40,28 @@ def write_attributes(df: DataFrame, path: str) -> None:
     df.select(*ATTRIBUTES.names).write.mode("overwrite").parquet(path)
 
 
+def write_chunks(df: DataFrame, path: str) -> None:
+    """Replace all chunks: none of an earlier, longer run stays. Rows that failed belong into ``df`` too."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("chunk_id").parquet(path)
+
+
+def write_files(df: DataFrame, root: str) -> DataFrame:
+    """Write each row (name, content binary) as a file of its own below ``root``, a folder all tasks reach; (name, n_bytes) of what was written."""
+    uri = root if "://" in root or root.startswith("file:") else f"file://{root}"
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        system, folder = FileSystem.from_uri(uri)
+        for b in batches:
+            for name, content in zip(b["name"], b["content"], strict=True):
+                target = f"{folder}/{name}"
+                system.create_dir(target.rsplit("/", 1)[0], recursive=True)
+                with system.open_output_stream(target) as out:
+                    out.write(content)
+            yield pd.DataFrame({"name": b["name"], "n_bytes": b["content"].map(len)})
+
+    return settle(df.select("name", "content").mapInPandas(run, "name string, n_bytes long"))
+
+
 def write_chunk(df: DataFrame, path: str) -> None:
     """Replace the chunks that ``df`` has rows of (column chunk_id), keep the others."""
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("chunk_id").parquet(path)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.attributes import age_group, cast_attributes, with_attr_defaults
+from ..functions.classify import split_valid
 from ..functions.paths import canonical_path
 from ..operators.scoring import Scorer, score_images
 from ..operators.summaries import age_distribution, gender_distribution
@@ -18,8 +19,8 @@ def save_batch(batch: DataFrame, batch_id: int, out: str, scorer: Callable[[], S
     """Score one batch of images and write it as chunk batch_id + 1. Rows that fail are kept with saved false."""
     images = batch.select(canonical_path(F.col("image.origin")).alias("path"), (F.col("image.height") > 0).alias("readable"), "image")
     scored = score_images(images, scorer)
-    saved = F.coalesce(F.col("readable") & F.col("embedding").isNotNull(), F.lit(False))
-    rows = cast_attributes(with_attr_defaults(scored.withColumn("saved", saved)).withColumn("age_group", age_group(F.col("age"))))
+    marked = split_valid(scored, F.col("readable"), F.col("embedding").isNotNull())
+    rows = cast_attributes(with_attr_defaults(marked).withColumn("age_group", age_group(F.col("age"))))
     rows = rows.select(F.col("path").alias("image_path"), "embedding", "age", "gender", "age_group", "saved", F.lit(batch_id + 1).cast("long").alias("chunk_id"))
     write_chunk(rows, out)
 

@@ -1,5 +1,6 @@
 import json
 import os
+from dataclasses import replace
 
 import numpy as np
 import pytest
@@ -127,9 +128,25 @@ def test_whole_pipeline(spark, tmp_path):
     s = Settings(raw=str(raw), out=str(out), scorer=stub_scorer(), n_identities=4, images_per_identity=2, candidates_per_identity=4, n_forget=1, n_test=1, conf_threshold=0.1, blur_threshold=1.0, crop_blur_threshold=1.0, min_similarity=0.0, chunk_size=5)
     made = run(spark, s)
     assert made["funnel"].first()["success"] == 12
-    assert made["accepted"].count() == 8 and made["chunks"].count() == 4
+    assert made["accepted"].count() == 8 and made["chunks"].count() == 2
     rows = made["dataset"].collect()
     assert len(rows) == 8 and {r["split"] for r in rows} == {"forget", "test", "retain"}
     assert made["summary"].first()["n_clusters"] == 4
     written = spark.read.option("header", True).csv(str(out / "dataset" / "csv"))
     assert written.columns == ["image_path", "cluster_id", "age_group", "split", "forget_step"] and written.count() == 8
+    # steps alone, from what the others wrote
+    alone = run(spark, replace(s, steps={"preprocess": False, "generate": False, "extract": False}))
+    assert sorted(alone["dataset"].collect()) == sorted(rows)
+    with pytest.raises(ValueError, match="needs what step generate writes"):
+        run(spark, replace(s, out=str(tmp_path / "none"), steps={"preprocess": False, "generate": False}))
+    # a shorter rerun leaves no chunk of the longer one, and a chunk of failures replaces its rows
+    from rollcall.plans.jobs import extract
+
+    paths = spark.createDataFrame([(str(out / "_candidates" / f"00{k}_000.png"),) for k in range(4)], "path string")
+    attributes, chunks, _ = extract(spark, paths, str(out / "_candidates"), str(out / "attributes"), replace(s, chunk_size=2))
+    assert attributes.count() == 4 and sorted(r["saved_embeddings"] for r in chunks.collect()) == [2, 2]
+    for k in range(2):
+        (out / "_candidates" / f"00{k}_000.png").write_bytes(png(np.zeros((3, 3, 3))))
+    attributes, chunks, summary = extract(spark, paths.limit(3), str(out / "_candidates"), str(out / "attributes"), replace(s, chunk_size=2))
+    assert [r["chunk_id"] for r in attributes.collect()] == [2]
+    assert sorted((r["saved_embeddings"], r["failed"]) for r in chunks.collect()) == [(0, 2), (1, 0)] and summary.first()["failed"] == 2
