@@ -18,7 +18,7 @@ from .operators.chunks import assign_chunks, chunk_manifest
 from .operators.detections import best_detection
 from .operators.joins import join_one_to_one, missing_rows
 from .operators.sampling import first_by_hash, inspection_sample, sample_cap, split_pools
-from .operators.splits import apply_split, assign_splits, special_ids
+from .operators.splits import apply_split, assign_splits, distinct_ids, special_ids
 from .operators.summaries import age_distribution, dataset_summary, gender_distribution, label_distribution, preprocess_funnel, sample_counts, split_sizes, stem_collisions
 from .sources.readers import newest_new_file
 
@@ -111,8 +111,8 @@ FROM v JOIN seeds USING (label)""")
 def q04_seed_cosine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Similarity of each vector to its label's seed, the vector with the least id."""
     v = _table(spark, sf_dir, "embeddings")
-    seeds = v.groupBy("label").agg(F.min("vec_id").alias("seed_id"), F.min_by("embedding", "vec_id").alias("seed"))
-    return v.join(seeds, "label").select("vec_id", "label", "seed_id", F.round(cosine(F.col("embedding"), F.col("seed")), 6).alias("similarity"))
+    first = v.groupBy("label").agg(F.min("vec_id").alias("seed_id"), F.min_by("embedding", "vec_id").alias("seed"))
+    return v.join(first, "label").select("vec_id", "label", "seed_id", F.round(cosine(F.col("embedding"), F.col("seed")), 6).alias("similarity"))
 
 
 _OUTCOME = """WITH o AS (SELECT event_id, CASE WHEN event_type = 'error' THEN 'no_face' WHEN CAST(json_extract(props, '$.k') AS INTEGER) / CAST(100 AS DOUBLE) < 0.20 THEN 'low_conf'
@@ -189,7 +189,7 @@ def q14_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("SELECT doc_id, lang, source, quality, toxic FROM documents JOIN labels USING (doc_id)")
 def q15_join_1to1(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "lang", "source")
-    labels = _table(spark, sf_dir, "labels").dropDuplicates(["doc_id"])
+    labels = _table(spark, sf_dir, "labels")
     return join_one_to_one(docs, labels, "doc_id").select("doc_id", "lang", "source", "quality", "toxic")
 
 
@@ -200,14 +200,14 @@ def q16_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query(f"WITH {_DATA} SELECT cluster_id, split FROM splits")
 def q17_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ids = attributes(spark, sf_dir).select("cluster_id").distinct()
+    ids = distinct_ids(attributes(spark, sf_dir))
     return assign_splits(ids, 4, 6).select("cluster_id", "split")
 
 
 @_query(f"WITH {_DATA} SELECT cluster_id, CAST(k AS INTEGER) AS step_of_one, CAST(k // 2 AS INTEGER) AS step_of_two FROM splits WHERE split = 'forget'")
 def q18_forget_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     """When each identity is forgotten, with one and with two of them in a step."""
-    ids = attributes(spark, sf_dir).select("cluster_id").distinct()
+    ids = distinct_ids(attributes(spark, sf_dir))
     one = special_ids(ids, 4, 6, per_step=1).where("split = 'forget'").select("cluster_id", F.col("forget_step").alias("step_of_one"))
     two = special_ids(ids, 4, 6, per_step=2).where("split = 'forget'").select("cluster_id", F.col("forget_step").alias("step_of_two"))
     return one.join(two, "cluster_id")
@@ -219,7 +219,7 @@ def q19_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
     attrs = attributes(spark, sf_dir)
     manifest = _table(spark, sf_dir, "events").select(F.col("event_id").alias("image_key"), F.col("user_id").alias("cluster_id"))
     joined = join_one_to_one(manifest, attrs.select("image_key", age_group(F.col("age")).alias("age_group")), "image_key")
-    special = special_ids(joined.select("cluster_id").distinct(), 4, 6)
+    special = special_ids(distinct_ids(joined), 4, 6)
     return drop_unknown(apply_split(joined, special)).select("image_key", "cluster_id", "age_group", "split", "forget_step")
 
 
@@ -246,9 +246,7 @@ FROM lineitem JOIN f USING (l_orderkey) WHERE l_linenumber = f.attempt GROUP BY
 def q23_best_detection(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as faces: order = image, line number = attempt, a box of quantity by price."""
     lines = _table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("image"), F.col("l_linenumber").alias("attempt"), F.col("l_partkey").alias("face_idx"), F.array(F.lit(0.0), F.lit(0.0), F.col("l_quantity"), F.col("l_extendedprice")).alias("bbox"))
-    best = best_detection(lines)
-    faces = lines.groupBy("image", "attempt").agg(F.count("*").alias("faces"))
-    return best.join(faces, ["image", "attempt"]).select("image", "attempt", F.round("area", 4).alias("area"), "faces")
+    return best_detection(lines).select("image", "attempt", F.round("area", 4).alias("area"), "faces")
 
 
 @_query(f"""WITH {_CAND}, kept AS (SELECT identity_id, event_id, CAST(before AS INTEGER) AS accepted_idx FROM counted WHERE valid AND before < 5),
@@ -275,7 +273,7 @@ SELECT (SELECT count(*) FROM dataset) AS total_images, (SELECT count(*) FROM spl
   (SELECT string_agg(label || '=' || n, ',' ORDER BY label) FROM (SELECT {_LABEL} AS label, count(*) AS n FROM dataset WHERE split = 'retain' GROUP BY 1)) AS label_distribution_retain""")
 def q26_dataset_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The summary of the dataset, its lists and maps as text."""
-    ids = attributes(spark, sf_dir).select("cluster_id").distinct()
+    ids = distinct_ids(attributes(spark, sf_dir))
     one = dataset_summary(q19_dataset(spark, sf_dir), ids, special_ids(ids, 4, 6), 4)
     lists = {f"{s}_clusters": F.concat_ws(",", F.transform(f"{s}_clusters", lambda x: x.cast("string"))) for s in ("forget", "test", "retain")}
     maps = {c: F.array_join(F.array_sort(F.transform(F.map_entries(c), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string")))), ",") for c in ("split_sizes", "label_distribution_retain")}
@@ -334,13 +332,12 @@ def q32_unpad(spark: SparkSession, sf_dir: str) -> DataFrame:
     return moved.select("image", "attempt", "face_idx", *(F.round(F.col("bbox")[k], 6).alias(n) for k, n in enumerate(("x0", "y0", "x1", "y1"))))
 
 
-@_query(f"""WITH {_CAND} SELECT CAST(count(DISTINCT identity_id) AS BIGINT) AS n_identities, CAST(5 AS INTEGER) AS images_per_identity, count(*) FILTER (before < 5 AND valid) AS accepted, count(*) FILTER (before < 5 AND NOT valid) AS rejected,
+@_query(f"""WITH {_CAND} SELECT CAST(count(DISTINCT identity_id) AS INTEGER) AS n_identities, CAST(5 AS INTEGER) AS images_per_identity, count(*) FILTER (before < 5 AND valid) AS accepted, count(*) FILTER (before < 5 AND NOT valid) AS rejected,
   CAST(0.45 AS DOUBLE) AS min_similarity, CAST(20 AS DOUBLE) AS blur_threshold, CAST(42 AS INTEGER) AS seed FROM counted""")
 def q33_generation_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = judged(spark, sf_dir)
-    one = generation_summary(admit_first_k(rows, 5), 0, 5, 0.45, 20.0, 42)
-    ids = rows.agg(F.count_distinct("identity_id").alias("_n"), F.lit(42).alias("seed"))
-    return one.join(ids, "seed").withColumn("n_identities", F.col("_n")).drop("_n")
+    n = distinct_ids(rows, "identity_id").count()
+    return generation_summary(admit_first_k(rows, 5), n, 5, 0.45, 20.0, 42)
 
 
 @_query(f"""WITH {_CAND}, n AS (SELECT identity_id, rejection_reason, count(*) AS n FROM counted WHERE before < 5 AND NOT valid GROUP BY ALL)

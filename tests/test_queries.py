@@ -5,6 +5,7 @@ import os
 import duckdb
 import pytest
 
+from rollcall import file_queries  # noqa: F401  (registers its queries)
 from rollcall.queries import ORACLE_SQL, QUERIES
 
 DATA = "/root/testdata/sf0.001"
