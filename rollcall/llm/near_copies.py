@@ -15,8 +15,11 @@ probability (1 - s ** ROWS) ** BANDS, at 0.8 that is 7 in 100,000.
 
 All pairs of a bucket count, but a pair whose entries are connected already isn't compared. First each entry
 meets the least of its bucket, which settles buckets of real copies in as many comparisons as members.
-Buckets whose members aren't connected by that are ordered, and pairs are compared by growing distance in
-the order, between unconnected entries only, until none is left.
+What isn't connected by that (texts somewhat alike, however many) gets new buckets, those of a prefix filter: an
+entry stands under so many of its rarest shingles that any two with the similarity share one. Variants of
+one text that differ too much share none, and don't meet again. Buckets that are still open after another
+star are ordered, and pairs are compared by growing distance in the order, between unconnected entries
+only, until none is left.
 """
 
 from __future__ import annotations
@@ -28,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, mix, prepare, slices
+from .common import materialize, mix, prepare, slices, spread_join
 from .components import connected_components
 from .simhash import DISTANCE, SEED, fingerprint_bits, links, shingle_hashes
 
@@ -103,29 +106,76 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
+def prefix_buckets(sets: DataFrame) -> DataFrame:
+    """(bucket, entry, size, pos, short): each entry under its rarest shingles, so many that two sets with the similarity share one of them.
+
+    Such sets share TENTHS / 10 of the longer one, so of that all but this part, and one more, are enough. Of the shorter one (by size
+    and entry) they share 2 * TENTHS / (10 + TENTHS), so it needs fewer: those have short set, and a pair counts only
+    if its shorter entry has. Rarity is counted over ``sets``.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [np.frombuffer(x.as_py(), np.int64) for x in batch.column(1)]
+            size = np.array([len(x) for x in found], np.int64)
+            rows = pa.array(np.repeat(np.arange(len(found)), size))
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), pa.array(np.concatenate([*found, np.zeros(0, np.int64)])), pa.array(np.repeat(size, size))], names=["entry", "bucket", "size"])
+
+    held = materialize(sets.select("entry", "set").mapInArrow(run, "entry long, bucket long, size long"))
+    counted = materialize(held.groupBy("bucket").agg(F.count("*").alias("n")))
+    place = F.row_number().over(Window.partitionBy("entry").orderBy("n", "bucket"))
+    enough = F.col("size") - F.ceil(F.col("size") * TENTHS / 10) + 1
+    few = F.col("size") - F.ceil(F.col("size") * 2 * TENTHS / (10 + TENTHS)) + 1
+    first = spread_join(held, counted, ["bucket"], "n").withColumn("r", place).where(F.col("r") <= enough)
+    first = materialize(first.where("n > 1").select("bucket", "entry", "size", F.col("r").alias("pos"), (F.col("r") <= few).alias("short")))
+    shared = first.groupBy("bucket").agg(F.min("entry").alias("x"), F.max("entry").alias("y"), F.max("short").alias("any")).where("x < y and any").select("bucket")
+    return materialize(first.join(shared, "bucket"))
+
+
 def linked(held: DataFrame, sets: DataFrame) -> DataFrame:
     """(node, component) of the entries that links connect; ``held`` has the buckets (bucket, entry) with two entries or more."""
-    least = held.groupBy("bucket").agg(F.min("entry").alias("a"))
-    pairs = held.join(least, "bucket").where("a < entry").select("a", F.col("entry").alias("b")).distinct()
-    edges = materialize(verified(pairs, sets))
+
+    def star(held: DataFrame) -> DataFrame:
+        least = held.groupBy("bucket").agg(F.min("entry").alias("a"))
+        pairs = held.join(least, "bucket").where("a < entry").select("a", F.col("entry").alias("b")).distinct()
+        return verified(pairs, sets)
+
+    def named(held: DataFrame, found: DataFrame) -> DataFrame:
+        return held.join(found, held["entry"] == found["node"], "left").select(*held.columns, F.coalesce("component", "entry").alias("c"))
+
+    def unsettled(rows: DataFrame, size: int) -> DataFrame:
+        """Buckets of more than ``size`` entries that aren't all connected."""
+        parts = rows.groupBy("bucket").agg(F.min("c").alias("x"), F.max("c").alias("y"), F.count("*").alias("n"))
+        return materialize(parts.where((F.col("x") < F.col("y")) & (F.col("n") > size)).select("bucket"))
+
+    edges = materialize(star(held))
+    found = materialize(connected_components(edges))
+    rows = named(held, found)
+    left = unsettled(rows, 2)  # buckets of two are settled by the star
+    if left.isEmpty():
+        return found
+    # what MinHash brings together without being copies is told apart by its rarest shingles
+    held = prefix_buckets(sets.join(held.join(left, "bucket").select("entry").distinct(), "entry", "left_semi"))
+    edges = materialize(edges.unionAll(star(named(held, found).join(unsettled(named(held, found), 1), "bucket").select("bucket", "entry"))))
     low, high = 0, REACH
     while True:
         found = materialize(connected_components(edges))
-        named = held.join(found, held["entry"] == found["node"], "left").select("bucket", "entry", F.coalesce("component", "entry").alias("c"))
-        # buckets of two are settled by the first round, ordered ones once their size is within reach
-        open_ = named.groupBy("bucket").agg(F.min("c").alias("x"), F.max("c").alias("y"), F.count("*").alias("n")).where((F.col("x") < F.col("y")) & (F.col("n") > F.greatest(F.lit(2), F.lit(low + 1))))
-        open_ = materialize(open_.select("bucket"))
-        if open_.isEmpty():
+        rows = named(held, found)
+        left = unsettled(rows, max(2, low + 1))
+        if left.isEmpty():
             return found
-        place = F.row_number().over(Window.partitionBy("bucket").orderBy("entry")).cast("long")
-        ranked = materialize(named.join(open_, "bucket").withColumn("r", place))
-        right = ranked.select("bucket", F.col("r").alias("s"), F.col("entry").alias("b"), F.col("c").alias("d"))
+        place = F.row_number().over(Window.partitionBy("bucket").orderBy("size", "entry")).cast("long")
+        ranked = materialize(rows.join(left, "bucket").withColumn("r", place))
+        right = ranked.select("bucket", F.col("r").alias("s"), F.col("entry").alias("b"), F.col("c").alias("d"), F.col("size").alias("size2"), F.col("pos").alias("pos2"))
         # rows meet in blocks of REACH-bounded width, so that a bucket isn't crossed with itself
         wide = F.lit(high)
-        near = ranked.withColumn("block", F.explode(F.array(F.floor(F.col("r") / wide), F.floor(F.col("r") / wide) + 1)))
+        near = ranked.where("short").withColumn("block", F.explode(F.array(F.floor(F.col("r") / wide), F.floor(F.col("r") / wide) + 1)))
         other = right.withColumn("block", F.floor(F.col("s") / wide))
         step = F.col("s") - F.col("r")
-        pairs = near.join(other, ["bucket", "block"]).where((step > low) & (step <= high) & (F.col("c") != F.col("d"))).select(F.col("entry").alias("a"), "b").distinct()
+        # at the first shingle a pair shares, so much of both is left that the similarity can be reached; other buckets needn't compare it
+        most = F.least(F.col("size") - F.col("pos"), F.col("size2") - F.col("pos2")) + 1
+        fits = (F.col("size") * 10 >= F.col("size2") * TENTHS) & (most * (10 + TENTHS) >= (F.col("size") + F.col("size2")) * TENTHS)
+        pairs = near.join(other, ["bucket", "block"]).where((step > low) & (step <= high) & (F.col("c") != F.col("d")) & fits).select(F.col("entry").alias("a"), "b").distinct()
         edges = materialize(edges.unionAll(verified(pairs, sets)))
         low, high = high, high * REACH
 
