@@ -17,6 +17,8 @@ from ..storage import shared_dir, ship
 SLICE_BYTES = 1 << 19
 #: Keys with more than 1 / HOT_KEYS of all rows are joined by broadcast: there are at most so many.
 HOT_KEYS = 1000
+#: Spark's setting by which a query's shuffle files are removed when it ends.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def prepare(spark: SparkSession) -> None:
@@ -28,14 +30,32 @@ def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back: lineage ends there.
 
     A lost executor costs only the tasks of the stage at hand, and what is written can't differ
-    between two reads, which a recomputed plan might.
+    between two reads, which a recomputed plan might. Its shuffle files aren't needed from then on and go
+    at once, instead of when the driver next collects garbage; the session's setting stays as it was.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/tables/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(*tables: DataFrame) -> None:
+    """Remove written tables that nothing reads any more."""
+    for table in tables:
+        spark = table.sparkSession
+        for folder in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, release
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -14,7 +14,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     Alternates the large-star and small-star steps (Kiveris et al., 2014) until the edges stop
     changing, which takes a logarithmic number of rounds. Each round is two aggregations to a
     minimum (partial sums first, so hub nodes don't meet in one task) and two joins; its result is
-    written to the shared folder. Nulls and self loops are ignored; no edges give no rows.
+    written to the shared folder and replaces the one before. Nulls and self loops are ignored; no edges give no rows.
     """
     x, y = F.col(a), F.col(b)
     now = materialize(edges.where(x.isNotNull() & y.isNotNull() & (x != y)).select(F.greatest(x, y).alias("v"), F.least(x, y).alias("u")).distinct())
@@ -29,7 +29,8 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         low = large.groupBy("v").agg(F.min("u").alias("m"))
         joined = large.join(low, "v")
         small = joined.select(F.col("u").alias("v"), F.col("m").alias("u")).unionAll(low.select("v", F.col("m").alias("u"))).where("v != u").distinct()
-        now = materialize(small)
+        last, now = now, materialize(small)
+        release(last, large)
         seen = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("v", "u").cast("decimal(38,0)")).alias("s")).first()
         if (seen["n"], seen["s"]) == mark:
             break
