@@ -2,8 +2,8 @@
 
 Equal vectors form a class first; one row of each class is compared. Unit vectors are rotated into the
 principal axes of the whole table (its second moments are summed in Spark), so leading coordinates hold
-most of every product. Tiles of about ``TILE`` classes are cut by quantiles of the first coordinate. For
-a pair of tiles the products of the leading coordinates are accumulated a few dimensions at a time; what
+most of every product. Tiles of at most ``TILE`` classes are cut from the order of the first coordinate, among
+equal ones by a number of the class. For a pair of tiles the products of the leading coordinates are accumulated a few dimensions at a time; what
 is missing is at most the product of the two suffix norms, and a pair of vectors is dropped as soon as
 sum and bound together can't reach the threshold. Two tiles whose first coordinates are further apart
 than sqrt(2 - 2 * threshold) never meet. Survivors get their full cosine in double precision.
@@ -22,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import materialize, prepare
@@ -31,6 +31,8 @@ from .simhash import forest
 
 #: Cosine that links, classes of one tile, dimensions of the first step (each step doubles them).
 THRESHOLD, TILE, FIRST_DIMS = 0.95, 4096, 16
+#: Tiles that one task cuts from its part of the order.
+TILES = 16
 #: Rounding allowed for when pairs are dropped early; the last test uses none.
 MARGIN = 1e-9
 
@@ -148,28 +150,49 @@ def _links(classes: DataFrame, d: int, kind: type, threshold: float, tile: int)
             packed = pa.array([r.tobytes() for r in raw.astype(kind)], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(_rotated(raw, axes)[:, 0]), packed], names=["c", "many", "lead", "raw"])
 
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Tiles of at most ``tile`` rows, in the order in which they come."""
+        names = ["low", "high", "ids", "many", "raw"]
+        held: list[pa.RecordBatch] = []
+
+        def emit() -> pa.RecordBatch:
+            table = pa.Table.from_batches(held)
+            lead = table["lead"].to_numpy()
+            held.clear()
+            body = [table[x].to_numpy().astype(np.int64).tobytes() for x in ("c", "many")]
+            return pa.RecordBatch.from_arrays([pa.array([x]) for x in (float(lead[0]), float(lead[-1]), *body, b"".join(table["raw"].to_pylist()))], names=names)
+
+        for batch in batches:
+            at = 0
+            while at < batch.num_rows:
+                part = batch.slice(at, tile - sum(map(len, held)))
+                held.append(part)
+                at += part.num_rows
+                if sum(map(len, held)) == tile:
+                    yield emit()
+        if held:
+            yield emit()
+
     turned = materialize(classes.select("c", "many", "v").mapInArrow(rotate, "c long, many long, lead double, raw binary"))
-    n = turned.count()
-    parts = max(1, -(-n // tile))
-    cuts = turned.approxQuantile("lead", [k / parts for k in range(1, parts)], 0.1 / parts) if parts > 1 else []
-    edges = F.array(*(F.lit(float(c)) for c in cuts)) if cuts else F.expr("cast(array() as array<double>)")
-    placed = turned.withColumn("tile", F.size(F.filter(edges, lambda e: e <= F.col("lead"))))
-
-    def pack(table: pa.Table) -> pa.Table:
-        order = np.argsort(table["c"].to_numpy())
-        table = table.take(pa.array(order))
-        return pa.table({"tile": table["tile"].combine_chunks()[:1], "ids": [table["c"].to_numpy().astype(np.int64).tobytes()], "many": [table["many"].to_numpy().astype(np.int64).tobytes()], "raw": [b"".join(table["raw"].to_pylist())]})
-
-    tiles = materialize(placed.groupBy("tile").applyInArrow(pack, "tile int, ids binary, many binary, raw binary"))
+    parts = max(1, -(-turned.count() // (tile * TILES)))
+    ordered = turned.repartitionByRange(parts, "lead", "c").sortWithinPartitions("lead", "c")
+    tiles = ordered.mapInArrow(pack, "low double, high double, ids binary, many binary, raw binary")
+    # tiles are numbered in the order of their first coordinates, by a table of one small row for each
+    tiles = materialize(tiles.withColumn("name", F.monotonically_increasing_id()))
     reach = float(np.sqrt(max(0.0, 2 - 2 * threshold))) + MARGIN
-    low, high = [-2.0, *cuts], [*cuts, 2.0]
-    first = [next(u for u in range(t + 1) if low[t] - high[u] <= reach) for t in range(parts)]
-    last = [next(u for u in range(parts - 1, t - 1, -1) if low[u] - high[t] <= reach) for t in range(parts)]
-    as_left = F.explode(F.sequence(F.col("tile"), F.element_at(F.array(*map(F.lit, last)), F.col("tile") + 1)))
-    as_right = F.explode(F.sequence(F.element_at(F.array(*map(F.lit, first)), F.col("tile") + 1), F.col("tile")))
+    place = Window.orderBy("low", "high", "name")
+    numbered = tiles.select("name", "low", "high").withColumn("p", F.row_number().over(place))
+    # the last tile that starts within reach of a tile's end: how many starts there are up to that point
+    points = numbered.select(F.col("low").alias("x"), F.lit(1).alias("start"), F.lit(None).cast("int").alias("p"), F.lit(None).cast("long").alias("name"))
+    points = points.unionAll(numbered.select((F.col("high") + reach).alias("x"), F.lit(0), "p", "name"))
+    upto = F.sum("start").over(Window.orderBy("x", F.col("start").desc()).rowsBetween(Window.unboundedPreceding, 0))
+    spans = materialize(points.withColumn("last", upto.cast("int")).where("name is not null").select("name", "p", "last"))
+    # a tile meets the tiles before it that reach it: from the first whose last is no less than its number
+    pairs = spans.select("p", F.explode(F.sequence("p", F.greatest("p", "last"))).alias("q"))
     body = ["ids", "many", "raw"]
-    left = tiles.select(F.col("tile").alias("p"), as_left.alias("q"), F.lit(0).alias("side"), *body)
-    right = tiles.select(as_right.alias("p"), F.col("tile").alias("q"), F.lit(1).alias("side"), *body).where("p < q")
+    named = tiles.join(spans.select("name", "p"), "name").select("p", *body)
+    left = named.join(pairs, "p").select("p", "q", F.lit(0).alias("side"), *body)
+    right = named.withColumnRenamed("p", "q").join(pairs.where("p < q"), "q").select("p", "q", F.lit(1).alias("side"), *body)
     return left.unionAll(right).groupBy("p", "q").applyInArrow(lambda t: _pair_links(t, axes, kind, threshold), "node long, other long, n long")
 
 
@@ -178,7 +201,7 @@ def embedding_components(vectors: DataFrame, vector: str = "embedding", key: str
     prepare(vectors.sparkSession)
     rows = materialize(unit_rows(vectors, vector, key))
     classes = rows.where("cls is not null").groupBy("cls").agg(F.min("k").alias("owner"), F.count("*").alias("many"), F.first("v").alias("v"))
-    classes = materialize(classes.withColumn("c", F.xxhash64("cls")))
+    classes = materialize(classes.withColumn("c", F.monotonically_increasing_id()))
     kind = np.float32 if vectors.schema[vector].dataType.simpleString() == "array<float>" else np.float64
     links = None
     for r in classes.groupBy(F.size("v").alias("d")).count().collect():

@@ -57,3 +57,10 @@ def test_empty_and_unusable(spark):
     df = spark.createDataFrame([(1, None), (2, [0.0])], "vec_id long, embedding array<float>")
     assert [tuple(r) for r in embedding_components(df).orderBy("vec_id").collect()] == [(1, 0, 1, True), (2, 0, 2, True)]
     assert embedding_components(df.limit(0)).count() == 0
+
+
+def test_equal_first_coordinates_fill_several_tiles(spark):
+    rows = [(k, [3.0] + [0.3 * (k == j) for j in range(40)]) for k in range(40)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(tuple(r) for r in embedding_components(df, tile=16).collect())
+    assert got == [(k, 39, 0, k == 0) for k in range(40)]
