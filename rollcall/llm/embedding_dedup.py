@@ -26,8 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import materialize, prepare
-from .components import connected_components
-from .simhash import forest
+from .components import connected_components, forest
 
 #: Cosine that links, classes of one tile, dimensions of the first step (each step doubles them).
 THRESHOLD, TILE, FIRST_DIMS = 0.95, 4096, 16

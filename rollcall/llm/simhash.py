@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import LOWER, SLICE_BYTES, SOLID, cuts, long_text, materialize, prepare, slices, spans
-from .components import connected_components
+from .components import connected_components, forest
 
 #: Words of a shingle, the hash's seed, and bits that linked fingerprints may differ in.
 SHINGLE, SEED, DISTANCE = 4, 42, 4
@@ -236,22 +236,6 @@ def close_pairs(fp: np.ndarray, group: np.ndarray, distance: int = DISTANCE) ->
         stack.append((level - 1, x[near], y[near]))
 
 
-def forest(n: int, pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-    """For each of n rows the smallest row that the pairs connect it with."""
-    label = np.arange(n)
-    for a, b in pairs:
-        while True:
-            la, lb = label[a], label[b]
-            low = np.minimum(la, lb)
-            if np.array_equal(la, lb):
-                break
-            np.minimum.at(label, la, low)
-            np.minimum.at(label, lb, low)
-            while not np.array_equal(hop := label[label], label):
-                label = hop
-    return label
-
-
 def links(fps: DataFrame, distance: int = DISTANCE, node_limit: int = NODE_LIMIT) -> DataFrame:
     """(a, b): for distinct fingerprints (column fp), links that connect all those at most ``distance`` bits apart."""
     spark = fps.sparkSession
