@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import documents
+from .conversation_repair import repair_damaged
 from .decontaminate import LEAK_SQL, contamination
 from .embedding_dedup import EMBEDDING_SQL, embedding_components
 from .language_id import held_out, identify, train
@@ -68,6 +69,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_damaged(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_token_counts": op2_token_counts,
@@ -79,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mix": op8_mix,
     "op9_line_dedup": op9_line_dedup,
     "op10_quality": op10_quality,
+    "op11_repair": op11_repair,
 }
 
 ORACLE_SQL: dict[str, str] = {"op3_suffix_dedup": REPEATS_SQL, "op4_decontaminate": LEAK_SQL, "op5_embedding_dedup": EMBEDDING_SQL, "op8_mix": MIX_SQL}

@@ -19,6 +19,7 @@ COLUMNS = {
     "op8_mix": ["doc_id", "size", "source_size", "target", "taken"],
     "op9_line_dedup": ["doc_id", "n_lines", "n_removed", "kept_bytes", "kept_sha256"],
     "op10_quality": ["doc_id", "n_features", "log_weight", "gumbel_sum", "kept"],
+    "op11_repair": ["conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"],
 }
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="tables are not there")
 
@@ -26,7 +27,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="tables are not
 @pytest.fixture(scope="module")
 def sql():
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "benchmark", "labels"):
+    for t in ("documents", "embeddings", "benchmark", "labels", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{DATA}/{t}.parquet'")
     return con
 
@@ -37,8 +38,8 @@ def test_query(spark, sql, name):
     assert got.columns[: len(COLUMNS[name])] == COLUMNS[name]
     columns = sorted(got.columns)
     rows = got.select(*columns).collect()
-    table = "embeddings" if name.startswith("op5") else "documents"
-    assert len(rows) == sql.execute(f"SELECT count(*) FROM {table}").fetchall()[0][0]
+    counted = {"op5_embedding_dedup": "count(*) FROM embeddings", "op11_repair": "count(DISTINCT conv_id) FROM conversations"}.get(name, "count(*) FROM documents")
+    assert len(rows) == sql.execute(f"SELECT {counted}").fetchall()[0][0]
     if name in ORACLE_SQL:
         want = sql.execute(f"SELECT {', '.join(columns)} FROM ({ORACLE_SQL[name]})").fetchall()
         assert sorted(repr(tuple(r)) for r in rows) == sorted(map(repr, want))
