@@ -18,6 +18,7 @@ from .mixing import MIX_SQL, mix
 from .quality import resample
 from .simhash import simhash_components
 from .suffix_dedup import REPEATS_SQL, remove_repeats
+from .token_alignment import token_alignment
 from .token_counts import token_counts
 
 
@@ -73,6 +74,12 @@ def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair_damaged(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
 
 
+def op12_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_alignment(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_token_counts": op2_token_counts,
@@ -85,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_line_dedup": op9_line_dedup,
     "op10_quality": op10_quality,
     "op11_repair": op11_repair,
+    "op12_align": op12_align,
 }
 
 ORACLE_SQL: dict[str, str] = {"op3_suffix_dedup": REPEATS_SQL, "op4_decontaminate": LEAK_SQL, "op5_embedding_dedup": EMBEDDING_SQL, "op8_mix": MIX_SQL}

@@ -20,6 +20,7 @@ COLUMNS = {
     "op9_line_dedup": ["doc_id", "n_lines", "n_removed", "kept_bytes", "kept_sha256"],
     "op10_quality": ["doc_id", "n_features", "log_weight", "gumbel_sum", "kept"],
     "op11_repair": ["conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"],
+    "op12_align": ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"],
 }
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="tables are not there")
 
