@@ -14,6 +14,7 @@ from .embedding_dedup import EMBEDDING_SQL, embedding_components
 from .language_id import held_out, identify, train
 from .license_scan import scan_licenses
 from .line_dedup import dedupe_lines
+from .lm_scoring import lm_scores
 from .mixing import MIX_SQL, mix
 from .quality import resample
 from .simhash import simhash_components
@@ -80,6 +81,10 @@ def op12_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_alignment(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op13_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_token_counts": op2_token_counts,
@@ -93,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality": op10_quality,
     "op11_repair": op11_repair,
     "op12_align": op12_align,
+    "op13_lm_score": op13_lm_score,
 }
 
 ORACLE_SQL: dict[str, str] = {"op3_suffix_dedup": REPEATS_SQL, "op4_decontaminate": LEAK_SQL, "op5_embedding_dedup": EMBEDDING_SQL, "op8_mix": MIX_SQL}

@@ -18,7 +18,8 @@ from pyspark.sql import SparkSession
 
 from ..storage import shared_dir
 
-_ALIGN, _open, _OPEN = 64, {}, 4096
+#: Files that a worker holds open; more are dropped together. The system maps some 65,000 at most.
+_ALIGN, _open, _OPEN = 64, {}, 30_000
 
 
 def arrays_folder(spark: SparkSession) -> str:

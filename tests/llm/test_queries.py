@@ -21,6 +21,7 @@ COLUMNS = {
     "op10_quality": ["doc_id", "n_features", "log_weight", "gumbel_sum", "kept"],
     "op11_repair": ["conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"],
     "op12_align": ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"],
+    "op13_lm_score": ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
 }
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="tables are not there")
 
