@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,13 +23,13 @@ from .operators.admission import admit_first_k, split_admission
 from .operators.candidates import attach_seed, attach_style, plan_candidates, seed_vectors, with_similarity
 from .operators.chunks import assign_chunks
 from .operators.joins import join_one_to_one, require_complete, require_plan
-from .operators.scoring import score_images, stub_scorer
+from .operators.scoring import Scorer, batched, score_images, stub_scorer
 from .operators.splits import apply_split, distinct_ids, special_ids
 from .operators.summaries import extraction_summary
 from .plans import Settings, jobs
 from .queries import _CAND, _DATA, _GROUP, _OUTCOME, _query, _table, attributes, judged, q06_funnel, q19_dataset
 from .schemas import CANDIDATES
-from .sources import PRESETS, count_images, filter_images, list_files, read_attributes, read_chunks, read_images, read_json_doc, read_manifest, write_attributes, write_chunk, write_chunks, write_dataset, write_files, write_manifests, write_summary
+from .sources import PRESETS, ChunkTable, count_images, filter_images, list_files, read_attributes, read_chunks, read_images, read_json_doc, read_manifest, read_named, write_attributes, write_chunk, write_chunks, write_dataset, write_files, write_manifests, write_summary
 from .storage import shared_dir
 from .streaming import stream_extract, stream_summary
 
@@ -44,20 +45,24 @@ def _pixels(name: Column) -> Column:
     return F.unhex(F.concat(*(F.md5(F.concat(name, F.lit(f":{k}"))) for k in range(3))))
 
 
-def _images(names: DataFrame) -> DataFrame:
-    """(path, readable, image) of a column path, without files."""
-    return names.select("path", F.lit(True).alias("readable"), F.struct(F.col("path").alias("origin"), F.lit(_SIDE).alias("height"), F.lit(_SIDE).alias("width"), F.lit(3).alias("nChannels"), F.lit(16).alias("mode"), _pixels(F.col("path")).alias("data")).alias("image"))
+def _images(names: DataFrame, black: Column | None = None) -> DataFrame:
+    """(path, readable, image) of a column path, without files; all black where ``black`` says so."""
+    data = _pixels(F.col("path"))
+    if black is not None:
+        data = F.when(black, F.unhex(F.repeat(F.lit("00"), 3 * _SIDE * _SIDE))).otherwise(data)
+    return names.select("path", F.lit(True).alias("readable"), F.struct(F.col("path").alias("origin"), F.lit(_SIDE).alias("height"), F.lit(_SIDE).alias("width"), F.lit(3).alias("nChannels"), F.lit(16).alias("mode"), data.alias("data")).alias("image"))
 
 
 def _write_images(names: DataFrame, root: str) -> DataFrame:
-    """Files of a column name: PNGs of its pixels, or, where column broken is true, of no image at all."""
+    """Files of a column name: PNGs of its pixels (of column drawn, if there is one), or, where column broken is true, of no image at all."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             made = [b"broken" if bad else encode_png(np.frombuffer(data, np.uint8).reshape(_SIDE, _SIDE, 3)) for data, bad in zip(b["data"], b["broken"], strict=True)]
             yield pd.DataFrame({"name": b["name"], "content": made})
 
-    drawn = names.select("name", F.coalesce("broken", F.lit(False)).alias("broken"), _pixels(F.regexp_replace("name", r"^.*/", "")).alias("data"))
+    shown = F.col("drawn") if "drawn" in names.columns else F.regexp_replace("name", r"^.*/", "")
+    drawn = names.select("name", F.coalesce("broken", F.lit(False)).alias("broken"), _pixels(shown).alias("data"))
     return write_files(drawn.mapInPandas(run, "name string, content binary"), root)
 
 
@@ -94,6 +99,48 @@ def q38_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select(F.col("path").alias("name"), F.round(vector[0].cast("double"), 2).alias("first"), F.round(vector[7].cast("double"), 2).alias("last"), "age", "gender", F.round("confidence", 4).alias("confidence"), F.round("laplacian_variance", 3).alias("sharpness"), "error")
 
 
+def _picky_scorer() -> Scorer:
+    """The stub's scores, but a call with an image whose first byte is 240 or more fails as a whole."""
+    score = stub_scorer()()
+
+    @batched
+    def picky(stack: np.ndarray) -> list[dict | None]:
+        if (stack[:, 0, 0, 0] >= 240).any():
+            raise RuntimeError("too blue")
+        return score(stack)
+
+    return picky
+
+
+@_query(f"""WITH {_drawn(_EVENT_NAMES)}, n AS ({_EVENT_NAMES}), kind AS (SELECT name, CASE WHEN event_type = 'error' THEN 'no_face' WHEN p[1] >= 240 THEN 'failed' ELSE 'scored' END AS kind FROM n JOIN events USING (event_id) JOIN px USING (name))
+SELECT name, kind, CASE WHEN kind = 'scored' THEN round(vector[1], 2) END AS first, CASE WHEN kind = 'scored' THEN age END AS age, CASE WHEN kind = 'scored' THEN round(confidence, 4) END AS confidence,
+  CASE WHEN kind = 'no_face' THEN 0 ELSE round(sharp, 3) END AS sharpness, CASE WHEN kind = 'failed' THEN 'RuntimeError: too blue' END AS error FROM score JOIN kind USING (name)""")
+def q59_failing_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Images of errors are black and have no face; a model that fails on a call loses only the images that make it fail."""
+    names = _table(spark, sf_dir, "events").select(F.concat(F.lit("event "), F.col("event_id").cast("string")).alias("path"), "event_type")
+    got = score_images(_images(names, F.col("event_type") == "error"), _picky_scorer, sharp=True)
+    kind = F.when(F.col("error").isNotNull(), "failed").when(F.col("embedding").isNull(), "no_face").otherwise("scored").alias("kind")
+    return got.select(F.col("path").alias("name"), kind, F.round(F.col("embedding")[0].cast("double"), 2).alias("first"), "age", F.round("confidence", 4).alias("confidence"), F.round("laplacian_variance", 3).alias("sharpness"), "error")
+
+
+#: Parts of file names that mean something in patterns, URLs or shells.
+_ODD = ["plain", "b c", "d%20e", "a[1]", "f{1,2}", "g+h*", "i#j"]
+_LINE_NAMES = f"SELECT DISTINCT printf('%s %d-%d-%d.png', list_extract([{', '.join(repr(x) for x in _ODD)}], CAST(l_linenumber AS INTEGER) % 7 + 1), l_orderkey, l_linenumber, l_partkey) AS name, l_partkey FROM lineitem"
+
+
+@_query(f"WITH {_drawn(_LINE_NAMES)}, b AS ({_LINE_NAMES}) SELECT name, l_partkey % 9 <> 0 AS readable, CASE WHEN l_partkey % 9 <> 0 THEN 4 ELSE -1 END AS height, CASE WHEN l_partkey % 9 <> 0 THEN round(sharp, 3) END AS sharpness FROM lap JOIN b USING (name)")
+def q60_named_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An image file for each order line, listed and read by name: spaces, %20, brackets, braces and the like are names as any other."""
+    lines = _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey").distinct()
+    odd = F.element_at(F.array(*map(F.lit, _ODD)), (F.col("l_linenumber") % 7 + 1).cast("int"))
+    name = F.format_string("folder %d/%s %d-%d-%d.png", F.col("l_orderkey") % 50, odd, "l_orderkey", "l_linenumber", "l_partkey")
+    root = _folder(spark)
+    _write_images(lines.select(name.alias("name"), (F.col("l_partkey") % 9 == 0).alias("broken")), root)
+    images = read_named(list_files(spark, root).select("path", "length"), task_bytes=1 << 18)
+    sharp = laplacian_variance(images).select(F.regexp_extract("path", r"([^/]*)$", 1).alias("name"), "height", F.round("laplacian_variance", 3).alias("sharpness"))
+    return sharp.select("name", (F.col("height") > 0).alias("readable"), "height", "sharpness")
+
+
 _SUFFIX = "CASE s_suppkey % 6 WHEN 0 THEN 'jpg' WHEN 1 THEN 'PNG' WHEN 2 THEN 'webp' WHEN 3 THEN 'txt' WHEN 4 THEN 'jpeg' ELSE 'png' END"
 
 
@@ -179,6 +226,39 @@ def q43_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_chunks(spark, root).select("event_id", F.col("chunk_id").cast("long").alias("chunk_id"), "value")
 
 
+class _Stopped(RuntimeError):
+    """A write that ends before it publishes."""
+
+
+@_query("""WITH p AS (SELECT event_id, CAST((row_number() OVER (ORDER BY event_id) - 1) // 100 + 1 AS BIGINT) AS chunk_id FROM events), half AS (SELECT * FROM p WHERE chunk_id % 2 = 0)
+SELECT 'all' AS state, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS ids, count(DISTINCT chunk_id) AS chunks FROM p
+UNION ALL SELECT 'stopped', count(*), CAST(sum(event_id) AS BIGINT), count(DISTINCT chunk_id) FROM p
+UNION ALL SELECT 'replaced', (SELECT count(*) FROM p), (SELECT CAST(sum(event_id) AS BIGINT) FROM p) - (SELECT count(*) FROM half), (SELECT count(DISTINCT chunk_id) FROM p)
+UNION ALL SELECT 'first again', count(*), CAST(sum(event_id) AS BIGINT), count(DISTINCT chunk_id) FROM p
+UNION ALL SELECT 'shorter', count(*), CAST(sum(event_id) AS BIGINT), count(DISTINCT chunk_id) FROM half""")
+def q61_chunk_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What readers see of a table of chunks: a write that stops midway changes nothing, one that ends replaces its chunks at once, and earlier versions can be read."""
+    rows = assign_chunks(_table(spark, sf_dir, "events").select("event_id"), 100, "event_id").drop("position")
+    root = _folder(spark)
+    seen = lambda state, version=None: read_chunks(spark, root, version).agg(F.count("*").alias("n"), F.sum("event_id").alias("ids"), F.countDistinct("chunk_id").alias("chunks")).select(F.lit(state).alias("state"), "*")
+
+    def stop(before) -> None:
+        raise _Stopped
+
+    first = write_chunks(rows, root)
+    out = seen("all")
+    changed = rows.where("chunk_id % 2 = 0").withColumn("event_id", F.col("event_id") - 1)
+    try:
+        write_chunk(changed, root, before_publish=stop)
+    except _Stopped:
+        out = out.unionAll(seen("stopped"))
+    write_chunk(changed, root)
+    out = out.unionAll(seen("replaced")).unionAll(seen("first again", first.number))
+    write_chunks(rows.where("chunk_id % 2 = 0"), root)
+    ChunkTable(spark, root).vacuum(3)
+    return out.unionAll(seen("shorter"))
+
+
 @_query(_OUTCOME + "SELECT count(*) AS total, count(*) FILTER (outcome = 'success') AS success, count(*) FILTER (outcome = 'blurry') AS blurry FROM o")
 def q44_summary_document(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A summary written as a JSON document and read back."""
@@ -262,18 +342,29 @@ def q51_guards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(rows, "guard string, message string")
 
 
-@_query(f"""WITH {_drawn(_SUPPLIER_NAMES)}, b AS ({_SUPPLIER_NAMES}), good AS (SELECT age, gender FROM score JOIN b USING (name) WHERE s_suppkey % 10 <> 0)
-SELECT (SELECT count(*) FROM supplier) AS source_images, (SELECT count(*) FROM good) AS extracted, (SELECT count(*) FROM supplier WHERE s_suppkey % 10 = 0) AS failed,
-  (SELECT count(*) FROM good WHERE age >= 25 AND age < 45) AS adults, (SELECT count(*) FROM good WHERE gender = 0) AS female""")
+@_query(f"""WITH {_drawn(_SUPPLIER_NAMES)}, b AS ({_SUPPLIER_NAMES}), good AS (SELECT age, gender FROM score JOIN b USING (name) WHERE s_suppkey % 10 <> 0), n AS (SELECT count(*) AS n FROM supplier)
+SELECT n AS source_images, (SELECT count(*) FROM good) AS extracted, (SELECT count(*) FROM supplier WHERE s_suppkey % 10 = 0) AS failed,
+  (SELECT count(*) FROM good WHERE age >= 25 AND age < 45) AS adults, (SELECT count(*) FROM good WHERE gender = 0) AS female, CAST(ceil(n / greatest(1, n // 4)) AS BIGINT) AS batches, n AS rows_in_chunks FROM n""")
 def q52_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A stream over image files, a chunk for each batch, and its totals from the chunks."""
+    """A stream over image files in four batches or more, ended by a fault in the second and started again; totals merged from those of its chunks."""
     root = _folder(spark)
     _supplier_images(spark, sf_dir, f"{root}/images", F.col("s_suppkey") % 10 == 0)
-    stream_extract(spark, f"{root}/images", f"{root}/out", stub_scorer(), f"{root}/mark", 400).awaitTermination()
+    each = max(1, _table(spark, sf_dir, "supplier").count() // 4)
+
+    def fault(before) -> None:
+        if len(before.chunks) == 1:
+            raise _Stopped
+
+    start = lambda hook: stream_extract(spark, f"{root}/images", f"{root}/out", stub_scorer(), f"{root}/mark", each, hook)
+    try:
+        start(fault).awaitTermination()
+    except StreamingQueryException:
+        start(None).awaitTermination()
     found = stream_summary(spark, f"{root}/out")
     adults = found["ages"].agg(F.coalesce(F.sum(F.when(F.col("age_group") == 1, F.col("n"))), F.lit(0)).alias("adults"))
+    chunks = read_chunks(spark, f"{root}/out").agg(F.countDistinct("chunk_id").alias("batches"), F.count("*").alias("rows_in_chunks"))
     one = lambda df: df.withColumn("_one", F.lit(1))
-    return one(found["totals"]).join(one(adults), "_one").join(one(found["genders"].select("female")), "_one").drop("_one")
+    return one(found["totals"]).join(one(adults), "_one").join(one(found["genders"].select("female")), "_one").join(one(chunks), "_one").drop("_one")
 
 
 def _settings(root: str, **more) -> Settings:
@@ -293,20 +384,21 @@ def q53_job_preprocess(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 #: Identities of the job queries: four candidates each, the first two sharp ones are taken.
 _TRIALS, _TAKEN = 4, 2
-_CANDIDATES = f"SELECT printf('%03d_%03d.png', i, t) AS name, i, t FROM (SELECT unnest(range((SELECT count(*) // 2 FROM supplier))) AS i) a, (SELECT unnest(range({_TRIALS})) AS t) b"
+_CANDIDATES = f"SELECT s_name || ' ' || s_nationkey || ' ' || t AS name, s_suppkey AS i, t FROM supplier, (SELECT unnest(range({_TRIALS})) AS t) b WHERE s_suppkey < (SELECT count(*) // 2 FROM supplier)"
 _TAKE = f"""{_drawn(_CANDIDATES)}, c AS ({_CANDIDATES}), valid AS (SELECT name, i, t, age, sharp, sharp >= 45000 AS ok FROM score JOIN c USING (name)),
 seen AS (SELECT *, coalesce(sum(CASE WHEN ok THEN 1 ELSE 0 END) OVER (PARTITION BY i ORDER BY t ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM valid),
 taken AS (SELECT * FROM seen WHERE ok AND before < {_TAKEN})"""
 
 
 def _job_folder(spark: SparkSession, sf_dir: str) -> Settings:
-    """Raw images of all suppliers and the candidates of half as many identities, as files."""
+    """Raw images of all suppliers, and for half of them as identities the candidates, drawn from the supplier's name and nation, as files."""
     root = _folder(spark)
     suppliers = _table(spark, sf_dir, "supplier")
     _supplier_images(spark, sf_dir, f"{root}/raw")
     n = suppliers.count() // 2
-    grid = spark.range(n).withColumn("t", F.explode(F.sequence(F.lit(0), F.lit(_TRIALS - 1))))
-    _write_images(grid.select(F.format_string("%03d_%03d.png", "id", "t").alias("name"), F.lit(False).alias("broken")), f"{root}/out/_candidates")
+    grid = suppliers.where(F.col("s_suppkey") < n).withColumn("t", F.explode(F.sequence(F.lit(0), F.lit(_TRIALS - 1))))
+    drawn = F.concat_ws(" ", "s_name", F.col("s_nationkey").cast("string"), F.col("t").cast("string"))
+    _write_images(grid.select(F.format_string("%03d_%03d.png", "s_suppkey", "t").alias("name"), drawn.alias("drawn"), F.lit(False).alias("broken")), f"{root}/out/_candidates")
     return _settings(root, n_identities=n, candidates_per_identity=_TRIALS, images_per_identity=_TAKEN, n_forget=1, n_test=1, chunk_size=16, steps={"preprocess": False})
 
 
@@ -320,7 +412,7 @@ def q54_job_generate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made["accepted"].select(*columns, image).unionAll(made["rejected"].select(*columns, F.lit(None).cast("string").alias("image")))
 
 
-@_query(f"WITH {_TAKE}, p AS (SELECT name, age, row_number() OVER (ORDER BY name) - 1 AS k FROM taken) SELECT name, CAST(age AS SMALLINT) AS age, CAST({_GROUP} AS TINYINT) AS age_group, CAST(k // 16 + 1 AS BIGINT) AS chunk_id FROM p")
+@_query(f"WITH {_TAKE}, p AS (SELECT printf('%03d_%03d.png', i, t) AS name, age, row_number() OVER (ORDER BY i, t) - 1 AS k FROM taken) SELECT name, CAST(age AS SMALLINT) AS age, CAST({_GROUP} AS TINYINT) AS age_group, CAST(k // 16 + 1 AS BIGINT) AS chunk_id FROM p")
 def q55_job_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The job that extracts attributes of accepted images, alone after the one that admits them."""
     s = _job_folder(spark, sf_dir)

@@ -21,13 +21,18 @@ from ..operators.scoring import Scorer, score_images
 from ..operators.splits import apply_split, distinct_ids, special_ids
 from ..operators.summaries import dataset_summary, extraction_summary, preprocess_funnel, processed_records
 from ..schemas import PROCESSED
+from ..sources.images import Decoder, decode_png, read_named
 from ..sources.readers import filter_images, list_files, read_chunks, read_images, read_manifest
 from ..sources.writers import write_chunks, write_dataset, write_manifests, write_records, write_summary
 from ..storage import settle
 
 
-#: Up to so many images are loaded by name; beyond that their folder is read and the names are joined.
-MOST_NAMED = 50_000
+#: Name patterns of images that need Spark's own decoder where the workers have none.
+OTHER_KINDS = "*.{[jJ][pP][gG],[jJ][pP][eE][gG],[wW][eE][bB][pP]}"
+#: What stands for a verdict where a planned candidate has no file.
+NOT_MADE = "not_made"
+#: Bytes that a file counts for when work is dealt out and its length isn't known.
+UNKNOWN_LENGTH = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -51,23 +56,38 @@ class Settings:
     chunk_size: int = 10_000
     seed: int = 42
     strict: bool = True
+    decode: Decoder | None = None
     steps: dict[str, bool] = field(default_factory=dict)
 
 
-def _scored(spark: SparkSession, paths: DataFrame, scorer: Callable[[], Scorer], root: str) -> DataFrame:
+def _images(spark: SparkSession, files: DataFrame, root: str, decode: Decoder | None) -> DataFrame:
+    """(path, readable, image) of the given files (path, perhaps length), all of them below ``root``; one that isn't there ends the job.
+
+    Only the named files are opened. Without a decoder the workers read PNG; other kinds then come
+    from Spark's image source, which decodes all of these kinds below ``root``.
+    """
+    length = F.col("length") if "length" in files.columns else F.lit(None).cast("long")
+    named = files.select("path", F.coalesce(length, F.lit(UNKNOWN_LENGTH)).alias("length"))
+    if decode is not None:
+        return read_named(named, decode)
+    png = F.lower(F.regexp_extract("path", r"\.([^./]*)$", 1)) == "png"
+    found, others = read_named(named.where(png), decode_png), named.where(~png).select("path")
+    if others.isEmpty():
+        return found
+    joined = others.join(read_images(spark, root, pattern=OTHER_KINDS), "path", "left")
+    there = F.coalesce("readable", F.raise_error(F.concat(F.lit("no such image: "), "path")).cast("boolean"))
+    return found.unionByName(joined.select("path", there.alias("readable"), "image"))
+
+
+def _scored(spark: SparkSession, files: DataFrame, s: Settings, root: str) -> DataFrame:
     """Scores and sharpness of the given images, from one pass over their pixels."""
-    names = [r[0] for r in paths.select("path").limit(MOST_NAMED + 1).collect()]
-    if not names:
-        return spark.createDataFrame([], "path string, readable boolean, embedding array<float>, age int, gender int, confidence double, error string, laplacian_variance double")
-    if len(names) <= MOST_NAMED:
-        return score_images(read_images(spark, names), scorer, sharp=True)
-    return score_images(read_images(spark, root).join(paths.select("path"), "path", "left_semi"), scorer, sharp=True)
+    return score_images(_images(spark, files, root, s.decode), s.scorer, sharp=True)
 
 
 def preprocess(spark: SparkSession, s: Settings) -> tuple[DataFrame, DataFrame]:
     """(outcome of every image, funnel). Names are sampled before anything is decoded."""
     names = sample_cap(filter_images(list_files(spark, s.raw), "raw"), s.max_images, s.seed)
-    scored = _scored(spark, settle(names), s.scorer, s.raw)
+    scored = _scored(spark, settle(names), s, s.raw)
     face = F.when(F.col("embedding").isNotNull(), F.coalesce("confidence", F.lit(1.0)))
     broken = F.when(~F.col("readable"), F.lit("unreadable")).otherwise(F.col("error"))
     outcome = classify_preprocess(face, F.col("laplacian_variance"), s.conf_threshold, s.crop_blur_threshold, broken)
@@ -77,19 +97,32 @@ def preprocess(spark: SparkSession, s: Settings) -> tuple[DataFrame, DataFrame]:
 
 
 def generate(plan: DataFrame, scored: DataFrame, seeds: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(accepted, rejected, summary) from the plan, scored candidates (identity_id, trial, embedding, blur, age, gender, readable) and seeds with embeddings."""
+    """(accepted, rejected, summary) from the plan, scored candidates (identity_id, trial, embedding, blur, age, gender, readable) and seeds with embeddings.
+
+    A planned candidate without scores wasn't made. That is an error if its identity still lacks images when its trial comes; trials after
+    the last image of an identity need not be there.
+    """
     require_plan(candidates=s.candidates_per_identity, images=s.images_per_identity)
     vectors = seed_vectors(seeds, s.strict)
-    joined = with_similarity(attach_seed(plan.join(scored, ["identity_id", "trial"]), vectors))
+    joined = with_similarity(attach_seed(plan.join(scored.withColumn("_made", F.lit(True)), ["identity_id", "trial"], "left"), vectors))
     verdict = classify_candidate(F.col("embedding").isNotNull(), F.col("norm"), F.col("arcface_similarity"), F.col("laplacian_variance"), s.min_similarity, s.blur_threshold, F.coalesce("readable", F.lit(True)))
-    judged = joined.withColumn("rejection_reason", verdict).withColumnRenamed("age", "detected_age").withColumnRenamed("gender", "detected_gender")
+    judged = joined.withColumn("rejection_reason", F.when(F.col("_made"), verdict).otherwise(NOT_MADE)).drop("_made").withColumnRenamed("age", "detected_age").withColumnRenamed("gender", "detected_gender")
     admitted = settle(with_output_paths(admit_first_k(judged, s.images_per_identity), s.out).drop("seed_unit", "embedding"))
+    _require_made(admitted)
     if s.strict:
         require_filled(plan, admitted, s.images_per_identity)
     accepted, rejected = split_admission(admitted)
     return accepted, rejected, generation_summary(admitted, s.n_identities, s.images_per_identity, s.min_similarity, s.blur_threshold, s.seed)
 
 
+def _require_made(admitted: DataFrame) -> None:
+    lost = admitted.where(F.col("rejection_reason") == NOT_MADE)
+    n = lost.count()
+    if n:
+        first = ", ".join(f"{r[0]}/{r[1]}" for r in lost.select("identity_id", "trial").orderBy("identity_id", "trial").limit(5).collect())
+        raise ValueError(f"{n} planned candidates weren't made, identity/trial {first} among them")
+
+
 def plan_generation(pool: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
     """(plan, seeds): which seed and style make which candidate."""
     require_plan(sources=pool.limit(2 * s.n_identities).count(), identities=s.n_identities)
@@ -105,14 +138,15 @@ def extract(spark: SparkSession, paths: DataFrame, root: str, out: str, s: Setti
 
     Images that fail are written too, with saved false: a rerun replaces every chunk, also one that holds nothing else.
     """
-    names = assign_chunks(filter_images(paths, preset).select("path"), s.chunk_size, "path")
-    scored = settle(names.join(_scored(spark, names, s.scorer, root), "path", "left"))
+    names = settle(assign_chunks(filter_images(paths, preset).select("path"), s.chunk_size, "path"))
+    scored = settle(names.join(_scored(spark, names.select("path"), s, root), "path", "left"))
     marked = split_valid(scored, F.col("readable"), F.col("embedding").isNotNull())
     rows = cast_attributes(with_attr_defaults(marked).withColumn("age_group", age_group(F.col("age"))))
-    write_chunks(rows.select(F.col("path").alias("image_path"), "embedding", "age", "gender", "age_group", "saved", "chunk_id"), out)
+    version = write_chunks(rows.select(F.col("path").alias("image_path"), "embedding", "age", "gender", "age_group", "saved", "chunk_id"), out)
     manifest = settle(chunk_manifest(marked, F.col("saved")))
     attributes = read_chunks(spark, out).where("saved").drop("saved")
-    return attributes, manifest, extraction_summary(attributes, scored.count(), manifest.count())
+    # the write has counted rows and chunks
+    return attributes, manifest, extraction_summary(attributes, sum(c["source_images"] for c in version.chunks.values()), len(version.chunks))
 
 
 def build_dataset(manifest: DataFrame, attributes: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
@@ -142,9 +176,9 @@ def run(spark: SparkSession, s: Settings) -> dict[str, DataFrame]:
         plan, seeds = plan_generation(pool, s)
         plan = with_output_paths(plan, s.out)
         found = filter_images(list_files(spark, f"{s.out}/_candidates"), "pool").join(plan.select(F.col("candidate_path").alias("path")), "path", "left_semi")
-        candidates = settle(_scored(spark, settle(found), s.scorer, f"{s.out}/_candidates"))
+        candidates = settle(_scored(spark, settle(found), s, f"{s.out}/_candidates"))
         scored = plan.select("identity_id", "trial", F.col("candidate_path").alias("path")).join(candidates, "path").drop("path", "confidence", "error")
-        seed_scores = _scored(spark, seeds.select(F.col("seed_path").alias("path")), s.scorer, s.raw)
+        seed_scores = _scored(spark, seeds.select(F.col("seed_path").alias("path")), s, s.raw)
         vectors = seeds.join(seed_scores.select(F.col("path").alias("seed_path"), "embedding"), "seed_path", "left")
         made["accepted"], made["rejected"], summary = generate(plan.select("identity_id", "trial", "generation_seed", "seed_path", "style_path"), scored, vectors, s)
         write_manifests(made["accepted"], made["rejected"], s.out)

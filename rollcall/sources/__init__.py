@@ -1,9 +1,11 @@
 """Readers of files, images, manifests, attributes and chunks; writers of their outputs."""
 
+from .images import read_named
 from .readers import PRESETS, count_images, filter_images, list_files, newest_new_file, read_attributes, read_chunks, read_images, read_json_doc, read_manifest
+from .versions import ChunkTable
 from .writers import write_attributes, write_chunk, write_chunks, write_dataset, write_files, write_manifests, write_records, write_summary
 
 __all__ = [
-    "PRESETS", "count_images", "filter_images", "list_files", "newest_new_file", "read_attributes", "read_chunks", "read_images", "read_json_doc",
-    "read_manifest", "write_attributes", "write_chunk", "write_chunks", "write_dataset", "write_files", "write_manifests", "write_records", "write_summary",
+    "ChunkTable", "PRESETS", "count_images", "filter_images", "list_files", "newest_new_file", "read_attributes", "read_chunks", "read_images", "read_json_doc",
+    "read_manifest", "read_named", "write_attributes", "write_chunk", "write_chunks", "write_dataset", "write_files", "write_manifests", "write_records", "write_summary",
 ]

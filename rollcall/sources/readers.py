@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.paths import canonical_path
+from ..functions.paths import canonical_path, image_path
 from ..schemas import ATTRIBUTES, MANIFEST
+from .versions import ChunkTable
 
 # Extensions, whether case counts, whether folders below are read, word that a name must not hold.
 PRESETS = {
@@ -43,10 +44,14 @@ def count_images(df: DataFrame, preset: str = "adapter") -> DataFrame:
     return filter_images(df, preset).agg(F.count("*").alias("n_images"))
 
 
-def read_images(spark: SparkSession, paths: str | list[str], drop_invalid: bool = False) -> DataFrame:
-    """(path, readable, image): decoded images, BGR; what can't be decoded has readable false and height -1."""
-    found = spark.read.format("image").option("dropInvalid", str(drop_invalid).lower()).option("recursiveFileLookup", "true").load(paths)
-    return found.select(canonical_path(F.col("image.origin")).alias("path"), (F.col("image.height") > 0).alias("readable"), "image")
+def read_images(spark: SparkSession, paths: str | list[str], drop_invalid: bool = False, pattern: str | None = None) -> DataFrame:
+    """(path, readable, image): all decoded images below folders, BGR; what can't be decoded has readable false and height -1.
+
+    ``pattern`` keeps files by name in the scan itself. Images that a table names are read by ``read_named``.
+    """
+    scan = spark.read.format("image").option("dropInvalid", str(drop_invalid).lower()).option("recursiveFileLookup", "true")
+    found = (scan.option("pathGlobFilter", pattern) if pattern else scan).load(paths)
+    return found.select(image_path(F.col("image.origin")).alias("path"), (F.col("image.height") > 0).alias("readable"), "image")
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
@@ -57,12 +62,9 @@ def read_attributes(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(ATTRIBUTES).parquet(path)
 
 
-def read_chunks(spark: SparkSession, path: str) -> DataFrame:
-    """All chunks below ``path`` with their chunk_id; an error if there is none."""
-    found = spark.read.parquet(path)
-    if "chunk_id" not in found.columns or found.isEmpty():
-        raise ValueError(f"no chunks under {path}")
-    return found
+def read_chunks(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    """The chunks of a table's newest version, or of one of its earlier ones, with their chunk_id; an error if there is none."""
+    return ChunkTable(spark, path).read(version)
 
 
 def read_json_doc(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:

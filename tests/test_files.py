@@ -134,6 +134,15 @@ def test_whole_pipeline(spark, tmp_path):
     assert made["summary"].first()["n_clusters"] == 4
     written = spark.read.option("header", True).csv(str(out / "dataset" / "csv"))
     assert written.columns == ["image_path", "cluster_id", "age_group", "split", "forget_step"] and written.count() == 8
+    # a candidate that wasn't made is an error if its identity needs it, not after that
+    (out / "_candidates" / "002_000.png").rename(tmp_path / "kept.png")
+    with pytest.raises(ValueError, match="1 planned candidates weren't made, identity/trial 2/0"):
+        run(spark, replace(s, steps={"preprocess": False, "extract": False, "build": False}))
+    (tmp_path / "kept.png").rename(out / "_candidates" / "002_000.png")
+    looked_at = {os.path.basename(r["candidate_path"]) for key in ("accepted", "rejected") for r in made[key].select("candidate_path").collect()}
+    (out / "_candidates" / min({f"00{i}_003.png" for i in range(4)} - looked_at)).unlink()
+    again = run(spark, replace(s, steps={"preprocess": False, "extract": False, "build": False}))
+    assert again["accepted"].count() == 8
     # steps alone, from what the others wrote
     alone = run(spark, replace(s, steps={"preprocess": False, "generate": False, "extract": False}))
     assert sorted(alone["dataset"].collect()) == sorted(rows)
