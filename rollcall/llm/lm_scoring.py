@@ -33,7 +33,7 @@ from .common import LOWER, SOLID, cuts, long_text, materialize, prefix_hash, pre
 from .shared_arrays import Shards, arrays_folder, get, put
 
 #: Words of an n-gram; bytes of text that one NumPy pass works on; the model's held-out fold is crc32(key as text) % FOLDS = 0.
-ORDER, PASS_BYTES, FOLDS = 2, 1 << 22, 10
+ORDER, PASS_BYTES, FOLDS = 2, 1 << 20, 10
 #: Added to each count of the base model.
 ADDED = 0.1
 _END = np.int64(0x5851F42D4C957F2D)
@@ -72,9 +72,14 @@ def distinct(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, np.flatnonzero(new)
 
 
-def gram_key(context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Sort keys of (context, word); one number where both fit."""
-    return (context << 32 | word,) if not len(context) or int(context.max()) < 1 << 31 else (context, word)
+def gram_key(context: np.ndarray, word: np.ndarray, contexts: int) -> tuple[np.ndarray, ...]:
+    """Sort keys of (context, word), of ``contexts`` contexts: one number where both fit."""
+    return (context << 32 | word,) if contexts < 1 << 31 else (context, word)
+
+
+def gram_of(key: tuple[np.ndarray, ...]) -> tuple[np.ndarray, np.ndarray]:
+    """(context, word) of sort keys."""
+    return key if len(key) == 2 else (key[0] >> 32, key[0] & 0xFFFFFFFF)
 
 
 @dataclass
@@ -102,7 +107,7 @@ class Level:
         out = [np.full(len(context), -1, np.int64), np.zeros(len(context), np.int64), np.zeros(len(context), np.int64), np.zeros(len(context))]
         rows = np.flatnonzero(context >= 0)
         ctx, w = context[rows], np.where(word[rows] < 0, _NO_WORD, word[rows])
-        order, begin = distinct(*gram_key(ctx, w))
+        order, begin = distinct(*gram_key(ctx, w, int(self.low[-1] + self.contexts[-1]) if len(self.low) else 0))
         each = order[begin]
         c, w = ctx[each], w[each]
         got = [np.full(len(c), -1, np.int64), np.zeros(len(c), np.int64), np.zeros(len(c), np.int64), np.zeros(len(c))]
@@ -259,7 +264,7 @@ def count_level(docs: DataFrame, model: Model, folder: str, text: str, top: bool
     contexts = below.size.copy()
     if k == 1 and len(contexts):
         contexts[-1] += 1  # the beginning of a text
-    levels, spark = list(model.levels), docs.sparkSession
+    levels, spark, number_of_contexts = list(model.levels), docs.sparkSession, int(contexts.sum())
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -272,17 +277,20 @@ def count_level(docs: DataFrame, model: Model, folder: str, text: str, top: bool
                     number = level.find(model.before(number, first, j), word, False)[0]
                 ctx = model.before(number, first, k)
                 rows = np.flatnonzero(ctx >= 0)
-                ctx, w, suffix = ctx[rows], word[rows], number[rows]
-                order, begin = distinct(*gram_key(ctx, w))
+                key = gram_key(ctx[rows], word[rows], number_of_contexts)
+                order, begin = distinct(*key)
                 one = order[begin]
-                held.append((ctx[one], w[one], suffix[one], np.diff(np.append(begin, len(order)))))
+                held.append((*(x[one] for x in key), *((number[rows][one],) if k > 1 else ()), np.diff(np.append(begin, len(order))).astype(np.uint32)))
             if not held:
                 continue
-            ctx, w, suffix, n = (np.concatenate(x) for x in zip(*held, strict=True))
-            order, begin = distinct(*gram_key(ctx, w))
+            *key, n = (np.concatenate(x) for x in zip(*held, strict=True))
+            held.clear()
+            suffix = key.pop() if k > 1 else None
+            order, begin = distinct(*key)
             one = order[begin]
             n = np.add.reduceat(n[order], begin) if len(order) else n
-            ctx, w, suffix = ctx[one], w[one], suffix[one]
+            ctx, w = gram_of(tuple(x[one] for x in key))
+            suffix = suffix[one] if k > 1 else None
             edge = np.append(np.searchsorted(ctx, low), len(ctx))
             full = np.flatnonzero(np.diff(edge))
             cols: list[list] = [[], [], [], [], []]
