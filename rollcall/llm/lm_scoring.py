@@ -34,6 +34,8 @@ from .shared_arrays import Shards, arrays_folder, get, put
 
 #: Words of an n-gram; bytes of text that one NumPy pass works on; the model's held-out fold is crc32(key as text) % FOLDS = 0.
 ORDER, PASS_BYTES, FOLDS = 2, 1 << 20, 10
+#: Bytes of training text for each range of hashes or contexts; a range is merged by one task and is a file.
+RANGE_BYTES = 8 << 20
 #: Added to each count of the base model.
 ADDED = 0.1
 _END = np.int64(0x5851F42D4C957F2D)
@@ -207,8 +209,8 @@ def _texts(docs: DataFrame, text: str) -> DataFrame:
 
 def count_words(docs: DataFrame, folder: str, text: str) -> Model:
     """Count the words of training texts; files of hashes in order, each with what begins alike in its first bits."""
-    # ranges of hashes, and of contexts later on: more than tasks, so that those that meet in a task even out
-    bits = max(4, int(np.ceil(np.log2(2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))))))
+    size = docs.agg(F.sum(F.octet_length(F.col(text).cast("string")))).first()[0] or 0
+    bits = max(4, int(np.ceil(np.log2(max(1, size / RANGE_BYTES)))))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
