@@ -11,7 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.errors import StreamingQueryException
+from pyspark.errors import SparkRuntimeException, StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -319,17 +319,28 @@ def q50_extraction_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_query("""SELECT 'one_to_one' AS guard, CASE WHEN EXISTS (SELECT l_orderkey FROM lineitem GROUP BY 1 HAVING count(*) > 1) THEN 'keys are not unique in the left side' END AS message
+UNION ALL SELECT 'both sides', CASE WHEN EXISTS (SELECT l_orderkey FROM lineitem GROUP BY 1 HAVING count(*) > 1) THEN 'keys are not unique in the left and the right side' END
 UNION ALL SELECT 'complete', (SELECT count(*) FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)) || ' rows have no match'
-UNION ALL SELECT 'plan', CASE WHEN (SELECT count(*) FROM part) < 2 * (SELECT count(*) FROM part) THEN 'the pool needs two images for each identity' END
+UNION ALL SELECT 'complete join', CASE WHEN EXISTS (SELECT 1 FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)) THEN 'rows have no match' END
+UNION ALL SELECT 'plan', CASE WHEN (SELECT count(*) FROM part) < 2 * (SELECT count(*) FROM events) THEN 'the pool needs two images for each identity' END
+UNION ALL SELECT 'plan passes', CASE WHEN (SELECT count(*) FROM part) < 2 * (SELECT count(*) FROM nation) THEN 'the pool needs two images for each identity' END
+UNION ALL SELECT 'seeds', CASE WHEN EXISTS (SELECT 1 FROM events WHERE value IS NULL OR value = 0 OR event_id % 10 = 0) THEN 'seed without a usable embedding' END
 UNION ALL SELECT 'passes', NULL""")
 def q51_guards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What the guards say of the given tables; null where they pass."""
+    """What the guards say of the given tables; null where they pass. Those inside a plan speak when its result is asked for."""
     table = lambda name: _table(spark, sf_dir, name)
     parts = table("part").count()
+    read = lambda df: df.write.format("noop").mode("overwrite").save()
+    lines = table("lineitem").select("l_orderkey")
+    seeds = table("events").select(F.col("event_id").alias("identity_id"), F.array(F.when(F.col("event_id") % 10 != 0, F.col("value"))).alias("embedding"))
     tried = {
-        "one_to_one": lambda: join_one_to_one(table("lineitem").select("l_orderkey"), table("orders").select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey"),
+        "one_to_one": lambda: read(join_one_to_one(lines, table("orders").select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey")),
+        "both sides": lambda: read(join_one_to_one(lines, lines, "l_orderkey")),
         "complete": lambda: require_complete(table("documents"), table("labels"), "doc_id"),
-        "plan": lambda: require_plan(sources=parts, identities=parts),
+        "complete join": lambda: read(join_one_to_one(table("documents").select("doc_id"), table("labels"), "doc_id", complete=True)),
+        "plan": lambda: require_plan(sources=parts, identities=table("events").count()),
+        "plan passes": lambda: require_plan(sources=parts, identities=table("nation").count()),
+        "seeds": lambda: read(seed_vectors(seeds)),
         "passes": lambda: require_complete(table("nation").select(F.col("n_regionkey").alias("r_regionkey")), table("region"), "r_regionkey"),
     }
     rows = []
@@ -339,6 +350,8 @@ def q51_guards(spark: SparkSession, sf_dir: str) -> DataFrame:
             rows.append((name, None))
         except ValueError as e:
             rows.append((name, str(e)))
+        except SparkRuntimeException as e:  # says which key or identity, one of several
+            rows.append((name, e.getMessageParameters()["errorMessage"].split(":")[0]))
     return spark.createDataFrame(rows, "guard string, message string")
 
 

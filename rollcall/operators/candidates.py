@@ -29,13 +29,11 @@ def attach_style(plan: DataFrame, styles: DataFrame, per_identity: int) -> DataF
 
 
 def seed_vectors(seeds: DataFrame, strict: bool = True, vector: str = "embedding") -> DataFrame:
-    """(identity_id, seed_unit); with ``strict`` an error names identities whose seed has no usable vector."""
-    out = seeds.select("identity_id", l2_normalize(F.col(vector)).alias("seed_unit"))
+    """(identity_id, seed_unit); with ``strict`` the job that reads a seed without a usable vector ends with its identity."""
+    unit = l2_normalize(F.col(vector))
     if strict:
-        bad = [r[0] for r in out.where("seed_unit is null").select("identity_id").orderBy("identity_id").limit(5).collect()]
-        if bad:
-            raise ValueError(f"seeds without a usable embedding, identities {bad} among them")
-    return out
+        unit = F.coalesce(unit, F.raise_error(F.concat(F.lit("seed without a usable embedding: identity "), F.col("identity_id").cast("string"))).cast("array<double>"))
+    return seeds.select("identity_id", unit.alias("seed_unit"))
 
 
 def attach_seed(candidates: DataFrame, seeds: DataFrame) -> DataFrame:

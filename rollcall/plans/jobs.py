@@ -15,7 +15,7 @@ from ..functions.paths import round_metrics, with_output_paths, with_path_parts
 from ..operators.admission import admit_first_k, generation_summary, require_filled, split_admission
 from ..operators.candidates import attach_seed, attach_style, plan_candidates, seed_vectors, with_similarity
 from ..operators.chunks import assign_chunks, chunk_manifest
-from ..operators.joins import join_one_to_one, require_complete, require_plan
+from ..operators.joins import join_one_to_one, require_plan
 from ..operators.sampling import sample_cap, split_pools
 from ..operators.scoring import Scorer, score_images
 from ..operators.splits import apply_split, distinct_ids, special_ids
@@ -153,8 +153,7 @@ def build_dataset(manifest: DataFrame, attributes: DataFrame, s: Settings) -> tu
     """(dataset, summary). Splits are assigned to all identities first; images of unknown age go after that."""
     left = manifest.select("image_path", "cluster_id")
     right = attributes.select("image_path", "age_group")
-    joined = join_one_to_one(left, right, "image_path")
-    require_complete(left, right, "image_path")
+    joined = settle(join_one_to_one(left, right, "image_path", complete=True))
     ids = distinct_ids(joined)
     special = settle(special_ids(ids, s.n_forget, s.n_test, s.seed, per_step=s.ids_per_step))
     dataset = drop_unknown(apply_split(joined, special)).select("image_path", "cluster_id", "age_group", "split", "forget_step")

@@ -1,9 +1,10 @@
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.errors import SparkRuntimeException
 from pyspark.sql import functions as F
 
-from rollcall.operators import admission, chunks, joins, sampling, splits, summaries
+from rollcall.operators import admission, candidates, chunks, joins, sampling, splits, summaries
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -41,17 +42,36 @@ def test_shortfalls_name_identities_without_rows(spark):
 def test_one_to_one_names_the_side(spark):
     a = spark.createDataFrame([("x", 1), ("x", 2)], "p string, v int")
     b = spark.createDataFrame([("x", 1), ("y", 2)], "p string, w int")
-    with pytest.raises(ValueError, match="left side"):
-        joins.join_one_to_one(a, b, "p")
-    with pytest.raises(ValueError, match="right side"):
-        joins.join_one_to_one(b, a, "p")
-    with pytest.raises(ValueError, match="left and the right"):
-        joins.join_one_to_one(a, a, "p")
-    assert joins.join_one_to_one(b, b.withColumnRenamed("w", "z"), "p").count() == 2
+    with pytest.raises(SparkRuntimeException, match="left side: x"):
+        joins.join_one_to_one(a, b, "p").count()
+    with pytest.raises(SparkRuntimeException, match="right side: x"):
+        joins.join_one_to_one(b, a, "p").count()
+    with pytest.raises(SparkRuntimeException, match="left and the right side: x"):
+        joins.join_one_to_one(a, a, "p").count()
+    # a key that repeats without a match is an error too
+    with pytest.raises(SparkRuntimeException, match="left side: x"):
+        joins.join_one_to_one(a, b.where("p = 'y'"), "p").count()
+    good = joins.join_one_to_one(b, b.withColumnRenamed("w", "z"), "p")
+    assert good.count() == 2 and good.columns == ["p", "w", "z"]
+    assert joins.join_one_to_one(b, b.where("p = 'y'").withColumnRenamed("w", "z"), "p").collect() == [("y", 2, 2)]
+    with pytest.raises(SparkRuntimeException, match="rows have no match: x"):
+        joins.join_one_to_one(b, b.where("p = 'y'"), "p", complete=True).count()
     with pytest.raises(ValueError, match="1 rows"):
         joins.require_complete(b, a, "p")
-    looked = joins.attach_lookup(b, spark.createDataFrame([("x", "s")], "p string, name string"), "p", "name", "none")
-    assert {r["p"]: r["name"] for r in looked.collect()} == {"x": "s", "y": "none"}
+
+
+def test_guards_shuffle_each_side_once(spark):
+    a = spark.range(1000).withColumnRenamed("id", "k").withColumn("v", F.lit(1))
+    b = spark.range(1000).withColumnRenamed("id", "k").withColumn("w", F.lit(2))
+    plan = joins.join_one_to_one(a, b, "k", complete=True)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2
+
+
+def test_seeds_without_a_vector_end_the_job(spark):
+    seeds = spark.createDataFrame([(1, [3.0, 4.0]), (7, [0.0, 0.0])], "identity_id int, embedding array<double>")
+    with pytest.raises(SparkRuntimeException, match="identity 7"):
+        candidates.seed_vectors(seeds).collect()
+    assert candidates.seed_vectors(seeds, strict=False).where("identity_id = 1").first()["seed_unit"] == [0.6, 0.8]
 
 
 def test_guards():
