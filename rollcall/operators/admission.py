@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -56,13 +56,22 @@ def require_filled(plan: DataFrame, admitted: DataFrame, k: int) -> None:
         raise ValueError(f"{n} identities have fewer than {k} valid candidates: {listed}")
 
 
+def admission_metrics() -> dict[str, Column]:
+    """Counts of admitted rows by name."""
+    return {"accepted": F.count_if("valid"), "rejected": F.count_if(~F.col("valid"))}
+
+
 def generation_summary(admitted: DataFrame, n_identities: int, k: int, min_similarity: float, blur_threshold: float, seed: int) -> DataFrame:
-    return admitted.agg(
-        F.lit(n_identities).alias("n_identities"),
-        F.lit(k).alias("images_per_identity"),
-        F.count_if("valid").alias("accepted"),
-        F.count_if(~F.col("valid")).alias("rejected"),
-        F.lit(min_similarity).alias("min_similarity"),
-        F.lit(blur_threshold).alias("blur_threshold"),
-        F.lit(seed).alias("seed"),
-    )
+    counts = admitted.agg(*(c.alias(name) for name, c in admission_metrics().items()))
+    return _described(counts, n_identities, k, min_similarity, blur_threshold, seed)
+
+
+def generation_of(spark: SparkSession, counts: dict[str, int], n_identities: int, k: int, min_similarity: float, blur_threshold: float, seed: int) -> DataFrame:
+    """The same summary from counts that a write has taken."""
+    return _described(spark.createDataFrame([(counts["accepted"], counts["rejected"])], "accepted long, rejected long"), n_identities, k, min_similarity, blur_threshold, seed)
+
+
+def _described(counts: DataFrame, n_identities: int, k: int, min_similarity: float, blur_threshold: float, seed: int) -> DataFrame:
+    before = [F.lit(n_identities).alias("n_identities"), F.lit(k).alias("images_per_identity")]
+    after = [F.lit(min_similarity).alias("min_similarity"), F.lit(blur_threshold).alias("blur_threshold"), F.lit(seed).alias("seed")]
+    return counts.select(*before, "accepted", "rejected", *after)

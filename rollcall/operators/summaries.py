@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.attributes import AGE_LABELS, age_group_label
@@ -11,11 +11,27 @@ from ..functions.attributes import AGE_LABELS, age_group_label
 SOURCE = "identity-conditioned synthetic variants"
 
 
+#: Outcomes that a funnel counts.
+OUTCOMES = ["success", "no_face", "low_conf", "blurry", "error"]
+
+
+def funnel_metrics() -> dict[str, Column]:
+    """Counts of a funnel by name, of rows with a column outcome."""
+    return {"total": F.count(F.lit(1)), **{k: F.count_if(F.col("outcome") == k) for k in OUTCOMES}}
+
+
+def _with_yield(counts: DataFrame) -> DataFrame:
+    return counts.withColumn("yield_pct", F.round(F.try_divide(F.col("success") * 100.0, F.col("total").cast("double")), 6))
+
+
 def preprocess_funnel(df: DataFrame) -> DataFrame:
     """Rows by outcome (column outcome) and the yield in percent, null without rows."""
-    kinds = ["success", "no_face", "low_conf", "blurry", "error"]
-    counts = df.agg(F.count("*").alias("total"), *(F.count_if(F.col("outcome") == k).alias(k) for k in kinds))
-    return counts.withColumn("yield_pct", F.round(F.try_divide(F.col("success") * 100.0, F.col("total").cast("double")), 6))
+    return _with_yield(df.agg(*(c.alias(name) for name, c in funnel_metrics().items())))
+
+
+def funnel_of(spark: SparkSession, counts: dict[str, int]) -> DataFrame:
+    """The funnel from counts that a write has taken."""
+    return _with_yield(spark.createDataFrame([tuple(counts[k] for k in ("total", *OUTCOMES))], ", ".join(f"{k} long" for k in ("total", *OUTCOMES))))
 
 
 def processed_records(df: DataFrame, out: str) -> DataFrame:
@@ -57,6 +73,16 @@ def extraction_summary(df: DataFrame, total_input: int, n_chunks: int, dim: int
     return base.withColumn("_one", F.lit(1)).join(ages.withColumn("_one", F.lit(1)), "_one").join(genders.withColumn("_one", F.lit(1)), "_one").drop("_one")
 
 
+def extraction_of(lines: DataFrame, embedding_dim: int | None, dim: int = 512) -> DataFrame:
+    """The same summary from the lines of a version of chunks and the vector length that its write has seen; no row of a chunk is read."""
+    ages = lines.select(F.explode("ages").alias("a")).groupBy("a.age_group").agg(F.sum("a.n").alias("n"))
+    ages = ages.agg(F.map_from_entries(F.collect_list(F.struct(age_group_label(F.col("age_group")).alias("label"), "n"))).alias("age_distribution"))
+    of = lambda k: F.coalesce(F.sum(F.aggregate(F.filter("genders", lambda g: g["gender"] == k), F.lit(0).cast("long"), lambda s, g: s + g["n"])), F.lit(0))
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).alias("total_input" if c == "source_images" else c)
+    base = lines.agg(total("source_images"), total("extracted"), total("failed"), F.lit(embedding_dim or dim).alias("embedding_dim"), F.count(F.lit(1)).cast("int").alias("chunks"), F.create_map(F.lit("female"), of(0), F.lit("male"), of(1)).alias("gender_distribution"))
+    return base.withColumn("_one", F.lit(1)).join(ages.withColumn("_one", F.lit(1)), "_one").select("total_input", "extracted", "failed", "embedding_dim", "chunks", "age_distribution", "gender_distribution")
+
+
 def split_sizes(df: DataFrame) -> DataFrame:
     return df.groupBy("split").agg(F.count("*").alias("n")).orderBy("split")
 

@@ -12,17 +12,19 @@ from pyspark.sql import functions as F
 from ..functions.attributes import age_group, cast_attributes, with_attr_defaults
 from ..functions.classify import classify_candidate, classify_preprocess, drop_unknown, split_valid
 from ..functions.paths import round_metrics, with_output_paths, with_path_parts
-from ..operators.admission import admit_first_k, generation_summary, require_filled, split_admission
+from ..operators.admission import admission_metrics, admit_first_k, generation_of, require_filled, split_admission
 from ..operators.candidates import attach_seed, attach_style, plan_candidates, seed_vectors, with_similarity
 from ..operators.chunks import assign_chunks, chunk_manifest
 from ..operators.joins import join_one_to_one, require_plan
+from ..operators.metrics import settle_with
 from ..operators.sampling import sample_cap, split_pools
 from ..operators.scoring import Scorer, score_images
 from ..operators.splits import apply_split, distinct_ids, special_ids
-from ..operators.summaries import dataset_summary, extraction_summary, preprocess_funnel, processed_records
+from ..operators.summaries import dataset_summary, extraction_of, funnel_metrics, funnel_of, processed_records
 from ..schemas import PROCESSED
 from ..sources.images import Decoder, decode_png, read_named
 from ..sources.readers import filter_images, list_files, read_chunks, read_images, read_manifest
+from ..sources.versions import ChunkTable
 from ..sources.writers import write_chunks, write_dataset, write_manifests, write_records, write_summary
 from ..storage import settle
 
@@ -92,8 +94,8 @@ def preprocess(spark: SparkSession, s: Settings) -> tuple[DataFrame, DataFrame]:
     broken = F.when(~F.col("readable"), F.lit("unreadable")).otherwise(F.col("error"))
     outcome = classify_preprocess(face, F.col("laplacian_variance"), s.conf_threshold, s.crop_blur_threshold, broken)
     marked = with_path_parts(scored).withColumn("outcome", outcome).withColumnRenamed("laplacian_variance", "blur_score")
-    marked = settle(round_metrics(marked))
-    return marked, preprocess_funnel(marked)
+    marked, counts = settle_with(round_metrics(marked), funnel_metrics())
+    return marked, funnel_of(spark, counts)
 
 
 def generate(plan: DataFrame, scored: DataFrame, seeds: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -107,20 +109,19 @@ def generate(plan: DataFrame, scored: DataFrame, seeds: DataFrame, s: Settings)
     joined = with_similarity(attach_seed(plan.join(scored.withColumn("_made", F.lit(True)), ["identity_id", "trial"], "left"), vectors))
     verdict = classify_candidate(F.col("embedding").isNotNull(), F.col("norm"), F.col("arcface_similarity"), F.col("laplacian_variance"), s.min_similarity, s.blur_threshold, F.coalesce("readable", F.lit(True)))
     judged = joined.withColumn("rejection_reason", F.when(F.col("_made"), verdict).otherwise(NOT_MADE)).drop("_made").withColumnRenamed("age", "detected_age").withColumnRenamed("gender", "detected_gender")
-    admitted = settle(with_output_paths(admit_first_k(judged, s.images_per_identity), s.out).drop("seed_unit", "embedding"))
-    _require_made(admitted)
+    admitted = with_output_paths(admit_first_k(judged, s.images_per_identity), s.out).drop("seed_unit", "embedding")
+    admitted, counts = settle_with(admitted, admission_metrics() | {NOT_MADE: F.count_if(F.col("rejection_reason") == NOT_MADE)})
+    if counts[NOT_MADE]:
+        _tell_not_made(admitted, counts[NOT_MADE])
     if s.strict:
         require_filled(plan, admitted, s.images_per_identity)
     accepted, rejected = split_admission(admitted)
-    return accepted, rejected, generation_summary(admitted, s.n_identities, s.images_per_identity, s.min_similarity, s.blur_threshold, s.seed)
+    return accepted, rejected, generation_of(plan.sparkSession, counts, s.n_identities, s.images_per_identity, s.min_similarity, s.blur_threshold, s.seed)
 
 
-def _require_made(admitted: DataFrame) -> None:
-    lost = admitted.where(F.col("rejection_reason") == NOT_MADE)
-    n = lost.count()
-    if n:
-        first = ", ".join(f"{r[0]}/{r[1]}" for r in lost.select("identity_id", "trial").orderBy("identity_id", "trial").limit(5).collect())
-        raise ValueError(f"{n} planned candidates weren't made, identity/trial {first} among them")
+def _tell_not_made(admitted: DataFrame, n: int) -> None:
+    lost = admitted.where(F.col("rejection_reason") == NOT_MADE).select("identity_id", "trial").orderBy("identity_id", "trial").limit(5)
+    raise ValueError(f"{n} planned candidates weren't made, identity/trial {', '.join(f'{i}/{t}' for i, t in lost.collect())} among them")
 
 
 def plan_generation(pool: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
@@ -142,11 +143,11 @@ def extract(spark: SparkSession, paths: DataFrame, root: str, out: str, s: Setti
     scored = settle(names.join(_scored(spark, names.select("path"), s, root), "path", "left"))
     marked = split_valid(scored, F.col("readable"), F.col("embedding").isNotNull())
     rows = cast_attributes(with_attr_defaults(marked).withColumn("age_group", age_group(F.col("age"))))
-    version = write_chunks(rows.select(F.col("path").alias("image_path"), "embedding", "age", "gender", "age_group", "saved", "chunk_id"), out)
+    version = write_chunks(rows.select(F.col("path").alias("image_path"), "embedding", "age", "gender", "age_group", "saved", "chunk_id"), out, {"dim": F.max(F.size("embedding"))})
     manifest = settle(chunk_manifest(marked, F.col("saved")))
     attributes = read_chunks(spark, out).where("saved").drop("saved")
-    # the write has counted rows and chunks
-    return attributes, manifest, extraction_summary(attributes, sum(c["source_images"] for c in version.chunks.values()), len(version.chunks))
+    # totals by chunk stand in the version, the vectors' length comes from the write
+    return attributes, manifest, extraction_of(ChunkTable(spark, out).lines(version.number), max(0, version.metrics["dim"] or 0))
 
 
 def build_dataset(manifest: DataFrame, attributes: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:

@@ -11,9 +11,9 @@ from __future__ import annotations
 import json
 import re
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 #: Totals of a chunk as they stand in a version; distributions as (value, rows).
@@ -27,10 +27,11 @@ class Conflict(RuntimeError):
 
 @dataclass(frozen=True)
 class Version:
-    """A published state: chunk_id to its line."""
+    """A published state: chunk_id to its line; of the write that published it, what was asked of its rows."""
 
     number: int
     chunks: dict[int, dict]
+    metrics: dict = field(default_factory=dict)
 
     @property
     def batches(self) -> set[str]:
@@ -99,19 +100,22 @@ class ChunkTable:
             raise
         return Version(number, {k: {"chunk_id": k, **v} for k, v in chunks.items()})
 
-    def replace(self, df: DataFrame, all_chunks: bool, batch: str | None = None, before_publish=None) -> Version:
+    def replace(self, df: DataFrame, all_chunks: bool, batch: str | None = None, before_publish=None, metrics: dict[str, Column] | None = None) -> Version:
         """Replace the chunks that ``df`` has rows of, or with ``all_chunks`` the whole table, in one step.
 
         Totals of the new chunks are counted from the narrow columns of what was staged, so the rows are computed once.
-        ``before_publish`` is called in between, with the version that will be replaced.
+        ``before_publish`` is called in between, with the version that will be replaced. ``metrics`` are aggregates over
+        the rows, taken while they are written.
         """
-        name = self.stage(df)
+        watch = Observation()
+        name = self.stage(df.observe(watch, *(c.alias(n) for n, c in metrics.items())) if metrics else df)
         totals = self._totals(name) if "saved" in df.columns else {}
         before = self.current()
         if before_publish is not None:
             before_publish(before)
         kept = {} if all_chunks else {k: {c: v for c, v in line.items() if c != "chunk_id"} for k, line in before.chunks.items()}
-        return self.publish(before, kept | {k: {"folder": name, "batch": batch, **totals.get(k, {})} for k in self.staged(name)})
+        done = self.publish(before, kept | {k: {"folder": name, "batch": batch, **totals.get(k, {})} for k in self.staged(name)})
+        return replace(done, metrics=watch.get) if metrics else done
 
     def _totals(self, name: str) -> dict[int, dict]:
         if not self.staged(name):

@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyarrow.fs import FileSystem
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import ATTRIBUTES, CANDIDATES, DATASET, MANIFEST
@@ -68,9 +68,9 @@ def write_attributes(df: DataFrame, path: str) -> None:
     replace_folder(out, path, lambda to: out.write.parquet(to))
 
 
-def write_chunks(df: DataFrame, path: str) -> Version:
+def write_chunks(df: DataFrame, path: str, metrics: dict[str, Column] | None = None) -> Version:
     """Replace all chunks at once: none of an earlier, longer run stays. Rows that failed belong into ``df`` too."""
-    return ChunkTable(df.sparkSession, path).replace(df, True)
+    return ChunkTable(df.sparkSession, path).replace(df, True, metrics=metrics)
 
 
 def write_files(df: DataFrame, root: str) -> DataFrame:
