@@ -19,8 +19,8 @@ from .functions.attributes import age_group, cast_attributes, with_attr_defaults
 from .functions.classify import split_valid
 from .functions.imaging import encode_png, laplacian_variance
 from .functions.paths import round_metrics
-from .operators.admission import admit_first_k, split_admission
-from .operators.candidates import attach_seed, attach_style, plan_candidates, seed_vectors, with_similarity
+from .operators.admission import admit_first_k, admit_in_two, split_admission
+from .operators.candidates import attach_seed, attach_style, plan_candidates, seed_vectors, with_similarity, with_similarity_in_blocks
 from .operators.chunks import assign_chunks
 from .operators.joins import join_one_to_one, require_complete, require_plan
 from .operators.scoring import Scorer, batched, score_images, stub_scorer
@@ -29,8 +29,8 @@ from .operators.summaries import extraction_summary
 from .plans import Settings, jobs
 from .queries import _CAND, _DATA, _GROUP, _OUTCOME, _query, _table, attributes, judged, q06_funnel, q19_dataset
 from .schemas import CANDIDATES
-from .sources import PRESETS, ChunkTable, count_images, filter_images, list_files, read_attributes, read_chunks, read_images, read_json_doc, read_manifest, read_named, write_attributes, write_chunk, write_chunks, write_dataset, write_files, write_manifests, write_summary
-from .storage import shared_dir
+from .sources import PRESETS, ChunkTable, count_images, filter_images, list_files, newest_new_file, read_attributes, read_chunks, read_images, read_json_doc, read_manifest, read_named, save_snapshot, write_attributes, write_chunk, write_chunks, write_dataset, write_files, write_manifests, write_summary
+from .storage import settle, shared_dir
 from .streaming import stream_extract, stream_summary
 
 _SIDE = 4
@@ -292,8 +292,11 @@ def q47_saved_and_failed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("user_id").agg(F.count_if("saved").alias("saved"), F.count_if(~F.col("saved")).alias("failed"))
 
 
-@_query("""WITH v AS (SELECT vec_id, label AS identity_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings), s AS (SELECT identity_id, arg_min(e, vec_id) AS s FROM v GROUP BY identity_id)
-SELECT vec_id, identity_id, round(sqrt(list_dot_product(e, e)), 6) AS norm, round(list_dot_product(e, s) / (sqrt(list_dot_product(e, e)) * sqrt(list_dot_product(s, s))), 6) AS arcface_similarity FROM v JOIN s USING (identity_id)""")
+_SEED_SQL = """WITH v AS (SELECT vec_id, label AS identity_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings), s AS (SELECT identity_id, arg_min(e, vec_id) AS s FROM v GROUP BY identity_id)
+SELECT vec_id, identity_id, round(sqrt(list_dot_product(e, e)), 6) AS norm, round(list_dot_product(e, s) / (sqrt(list_dot_product(e, e)) * sqrt(list_dot_product(s, s))), 6) AS arcface_similarity FROM v JOIN s USING (identity_id)"""
+
+
+@_query(_SEED_SQL)
 def q48_seed_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Normalised seeds attached to their identity's candidates, and the similarity to them."""
     v = _table(spark, sf_dir, "embeddings").select("vec_id", F.col("label").alias("identity_id"), "embedding")
@@ -301,6 +304,41 @@ def q48_seed_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_similarity(attach_seed(v, seeds)).select("vec_id", "identity_id", F.round("norm", 6).alias("norm"), F.round("arcface_similarity", 6).alias("arcface_similarity"))
 
 
+@_query(_SEED_SQL)
+def q62_block_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same similarity, a batch of vectors at a time."""
+    v = _table(spark, sf_dir, "embeddings").select("vec_id", F.col("label").alias("identity_id"), "embedding")
+    seeds = seed_vectors(v.groupBy("identity_id").agg(F.min_by("embedding", "vec_id").alias("embedding")))
+    return with_similarity_in_blocks(attach_seed(v, seeds)).select("vec_id", "identity_id", F.round("norm", 6).alias("norm"), F.round("arcface_similarity", 6).alias("arcface_similarity"))
+
+
+@_query(f"WITH {_CAND} SELECT identity_id, trial, event_id, rejection_reason, valid, props, CAST(CASE WHEN valid THEN before ELSE -1 END AS INTEGER) AS accepted_idx FROM counted JOIN events USING (event_id) WHERE before < 5")
+def q63_admit_in_two(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Admission of rows with all their columns: cut-offs by block of trials first, then only the rows before them."""
+    wide = judged(spark, sf_dir).join(_table(spark, sf_dir, "events").select("event_id", "props"), "event_id")
+    kept = admit_in_two(settle(wide), 5)
+    return kept.select("identity_id", "trial", "event_id", "rejection_reason", "valid", "props", F.coalesce("accepted_idx", F.lit(-1)).alias("accepted_idx"))
+
+
+@_query("""SELECT 'page ' || max(page_id) || '.PNG' AS newest, count(*) - 1 AS listed_before, count(*) AS listed_after, (SELECT count(*) FROM pages) AS files FROM pages WHERE page_id % 3 <> 0""")
+def q64_new_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest file since a stored listing; pages divisible by three are text files, which the listing itself leaves out."""
+    root = _folder(spark)
+    pages = _table(spark, sf_dir, "pages").select("page_id", F.concat(F.lit("page "), F.col("page_id").cast("string"), F.when(F.col("page_id") % 3 == 0, ".txt").otherwise(".PNG")).alias("name"), F.encode("url", "utf-8").alias("content"))
+    last = pages.where("page_id % 3 <> 0").agg(F.max("page_id")).first()[0]
+    write_files(pages.where(F.col("page_id") != last), f"{root}/files")
+    before = save_snapshot(list_files(spark, f"{root}/files", preset="pool"), f"{root}/snapshot")
+    write_files(pages.where(F.col("page_id") == last), f"{root}/files")
+    after = list_files(spark, f"{root}/files", preset="pool")
+    one = lambda df: df.withColumn("_one", F.lit(1))
+    newest = newest_new_file(after, before).select(F.regexp_extract("path", r"([^/]*)$", 1).alias("newest"))
+    counts = [(before, "listed_before"), (after, "listed_after"), (list_files(spark, f"{root}/files"), "files")]
+    out = one(newest)
+    for listed, name in counts:
+        out = out.join(one(listed.agg(F.count("*").alias(name))), "_one")
+    return out.drop("_one")
+
+
 @_query("""WITH n AS (SELECT count(*) AS n FROM nation), g AS (SELECT CAST(s_suppkey AS INTEGER) AS identity_id, CAST(t.trial AS INTEGER) AS trial FROM supplier, (SELECT unnest(range(7)) AS trial) t)
 SELECT identity_id, trial, n_name AS style FROM g, n JOIN nation ON n_nationkey = (identity_id * 7 + trial) % n.n""")
 def q49_attach_style(spark: SparkSession, sf_dir: str) -> DataFrame:

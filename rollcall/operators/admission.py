@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..storage import settle
+
 
 def admit_first_k(scored: DataFrame, k: int, valid: Column | None = None, identity: str = "identity_id", order: str = "trial") -> DataFrame:
     """Rows that are looked at: those with fewer than k valid rows before them. Adds valid and accepted_idx (null if rejected).
@@ -17,6 +19,35 @@ def admit_first_k(scored: DataFrame, k: int, valid: Column | None = None, identi
     return marked.where(F.col("_before") < k).withColumn("accepted_idx", F.when(F.col("valid"), F.col("_before").cast("int"))).drop("_before")
 
 
+#: Trials of a block that are counted together, and identities whose cut-offs may be sent to every task (12 bytes each).
+BLOCK, MOST_CUTS = 16, 200_000
+
+
+def cut_offs(marked: DataFrame, k: int, identity: str = "identity_id", order: str = "trial", block: int = BLOCK) -> DataFrame:
+    """(identity, last_block): the block of trials in which an identity gets its k-th valid row, or its last block.
+
+    Counts by block come from partial sums, so only one narrow row for each identity and block is shuffled.
+    """
+    counts = marked.groupBy(identity, F.floor(F.col(order) / block).alias("_block")).agg(F.count_if("valid").alias("_n"))
+    before = Window.partitionBy(identity).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    open_ = counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).where(F.col("_before") < k)
+    return open_.groupBy(identity).agg(F.max("_block").alias("last_block"))
+
+
+def admit_in_two(scored: DataFrame, k: int, valid: Column | None = None, identity: str = "identity_id", order: str = "trial", block: int = BLOCK) -> DataFrame:
+    """The rows of ``admit_first_k``, for wide rows of which most come after the k-th valid one: these are left out before the shuffle.
+
+    ``order`` is a number. Cut-offs of up to MOST_CUTS identities are broadcast; those of more are joined by a
+    shuffle, which the window then uses. ``scored`` is read twice: settle it first if it is costly.
+    """
+    good = F.col("rejection_reason") == "accepted" if valid is None else valid
+    marked = scored.withColumn("valid", good)
+    cuts = settle(cut_offs(marked, k, identity, order, block).withColumnRenamed(identity, "_identity"))
+    small = F.broadcast(cuts) if cuts.count() <= MOST_CUTS else cuts
+    near = marked.join(small, F.col(identity).eqNullSafe(F.col("_identity"))).where(F.floor(F.col(order) / block) <= F.col("last_block"))
+    return admit_first_k(near.drop("_identity", "last_block"), k, F.col("valid"), identity, order)
+
+
 def accepted_only(scored: DataFrame, k: int, valid: Column | None = None, identity: str = "identity_id", order: str = "trial") -> DataFrame:
     """The accepted rows alone: filtered first, so that the window keeps k rows of each identity before the shuffle."""
     good = F.col("rejection_reason") == "accepted" if valid is None else valid

@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.vectors import cosine, l2_norm, l2_normalize, usable_norm
+from ..storage import ship
 
 
 def plan_candidates(seeds: DataFrame, per_identity: int, seed: int = 42) -> DataFrame:
@@ -45,3 +51,45 @@ def with_similarity(df: DataFrame, vector: str = "embedding") -> DataFrame:
     """Adds norm and arcface_similarity (null without a usable vector)."""
     norm = l2_norm(F.col(vector))
     return df.withColumn("norm", norm).withColumn("arcface_similarity", F.when(usable_norm(norm), cosine(F.col("seed_unit"), F.col(vector))))
+
+
+def with_similarity_in_blocks(df: DataFrame, vector: str = "embedding", seed: str = "seed_unit") -> DataFrame:
+    """The columns of ``with_similarity`` for wide vectors: sums of a whole Arrow batch at a time instead of element by element.
+
+    Vectors of a batch that have the length most have are one matrix; others go one by one. A length other than the seed's is an error.
+    """
+    ship(df.sparkSession)
+    others = [c for c in df.columns if c not in ("norm", "arcface_similarity")]
+    rows = df.select(F.struct(*others).alias("row"), F.col(vector).cast("array<double>").alias("v"), F.col(seed).cast("array<double>").alias("s"))
+
+    def matrix(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(rows with a vector, their values as a matrix) of a list column whose vectors have one length."""
+        full = np.flatnonzero(column.is_valid().to_numpy(zero_copy_only=False))
+        values = column.drop_null().flatten().to_numpy(zero_copy_only=False)
+        return full, values.reshape(len(full), -1) if len(full) else np.zeros((0, 0))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            n = b.num_rows
+            norm, same = np.full(n, np.nan), np.full(n, np.nan)
+            has_norm, has_same = np.zeros(n, bool), np.zeros(n, bool)
+            lengths = pc.fill_null(pc.list_value_length(b.column(1)), -1).to_numpy(zero_copy_only=False)
+            for size in np.unique(lengths[lengths >= 0]):
+                here = np.flatnonzero(lengths == size)
+                part = b.take(pa.array(here))
+                _, v = matrix(part.column(1))
+                norm[here] = np.sqrt(np.einsum("ij,ij->i", v, v)) if size else 0.0
+                has_norm[here] = True
+                seeded, s = matrix(part.column(2))
+                if len(seeded) and size:
+                    v, at = v[seeded], here[seeded]
+                    length = np.sqrt(np.einsum("ij,ij->i", s, s))
+                    usable = (norm[at] > 0) & (length > 0)
+                    with np.errstate(invalid="ignore", divide="ignore"):
+                        same[at] = np.einsum("ij,ij->i", v, s) / (norm[at] * length)
+                    has_same[at] = usable
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(norm, mask=~has_norm), pa.array(same, mask=~has_same)], names=["row", "norm", "arcface_similarity"])
+
+    kind = rows.schema["row"].dataType.simpleString()
+    found = rows.mapInArrow(run, f"row {kind}, norm double, arcface_similarity double")
+    return found.select(*(F.col("row")[c].alias(c) for c in others), "norm", "arcface_similarity")

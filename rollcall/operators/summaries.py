@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.attributes import AGE_LABELS, age_group_label
+from .chunks import with_position
 
 # Fixed value: how identities came about.
 SOURCE = "identity-conditioned synthetic variants"
@@ -96,7 +97,7 @@ def label_distribution(df: DataFrame, split: str = "retain") -> DataFrame:
 def dataset_summary(dataset: DataFrame, ids: DataFrame, special: DataFrame, n_forget: int, key: str = "cluster_id") -> DataFrame:
     """One row. n_clusters counts all ids, also those that lost all their images; id lists are in rank order.
 
-    Retained ids have no rank; all of them are listed by id in one array, and counted in n_retain.
+    Retained ids, which have no rank, are counted in n_retain; ``retained_parts`` lists them.
     """
     one = F.lit(1).alias("_one")
     sizes = split_sizes(dataset).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("split", "n")))).alias("split_sizes"))
@@ -109,9 +110,14 @@ def dataset_summary(dataset: DataFrame, ids: DataFrame, special: DataFrame, n_fo
         return F.transform(F.array_sort(rows), lambda x: x[key]).alias(f"{split}_clusters")
 
     known = special.agg(ranked("forget"), ranked("test"))
-    retained = ids.join(special.select(key), key, "left_anti")
-    retained = retained.agg(F.count("*").alias("n_retain"), F.array_sort(F.collect_list(key)).alias("retain_clusters"))
+    retained = ids.join(special.select(key), key, "left_anti").agg(F.count("*").alias("n_retain"))
     out = total.select("*", F.lit(SOURCE).alias("identity_source"), F.lit(n_forget).alias("n_forget"), one)
     for part in (clusters, sizes, known, retained, labels):
         out = out.join(part.select("*", one), "_one")
     return out.drop("_one")
+
+
+def retained_parts(ids: DataFrame, special: DataFrame, size: int = 10_000, key: str = "cluster_id") -> DataFrame:
+    """(part, n_ids, clusters): all retained ids in order, ``size`` in each row, so that no row or task grows with their number."""
+    placed = with_position(ids.join(special.select(key), key, "left_anti").select(key), key)
+    return placed.groupBy(F.floor(F.col("position") / size).alias("part")).agg(F.count(F.lit(1)).alias("n_ids"), F.array_sort(F.collect_list(key)).alias("clusters"))

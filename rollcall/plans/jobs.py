@@ -20,7 +20,7 @@ from ..operators.metrics import settle_with
 from ..operators.sampling import sample_cap, split_pools
 from ..operators.scoring import Scorer, score_images
 from ..operators.splits import apply_split, distinct_ids, special_ids
-from ..operators.summaries import dataset_summary, extraction_of, funnel_metrics, funnel_of, processed_records
+from ..operators.summaries import dataset_summary, extraction_of, funnel_metrics, funnel_of, processed_records, retained_parts
 from ..schemas import PROCESSED
 from ..sources.images import Decoder, decode_png, read_named
 from ..sources.readers import filter_images, list_files, read_chunks, read_images, read_manifest
@@ -88,7 +88,7 @@ def _scored(spark: SparkSession, files: DataFrame, s: Settings, root: str) -> Da
 
 def preprocess(spark: SparkSession, s: Settings) -> tuple[DataFrame, DataFrame]:
     """(outcome of every image, funnel). Names are sampled before anything is decoded."""
-    names = sample_cap(filter_images(list_files(spark, s.raw), "raw"), s.max_images, s.seed)
+    names = sample_cap(list_files(spark, s.raw, preset="raw"), s.max_images, s.seed)
     scored = _scored(spark, settle(names), s, s.raw)
     face = F.when(F.col("embedding").isNotNull(), F.coalesce("confidence", F.lit(1.0)))
     broken = F.when(~F.col("readable"), F.lit("unreadable")).otherwise(F.col("error"))
@@ -150,15 +150,15 @@ def extract(spark: SparkSession, paths: DataFrame, root: str, out: str, s: Setti
     return attributes, manifest, extraction_of(ChunkTable(spark, out).lines(version.number), max(0, version.metrics["dim"] or 0))
 
 
-def build_dataset(manifest: DataFrame, attributes: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
-    """(dataset, summary). Splits are assigned to all identities first; images of unknown age go after that."""
+def build_dataset(manifest: DataFrame, attributes: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(dataset, summary, parts of the list of retained ids). Splits are assigned to all identities first; images of unknown age go after that."""
     left = manifest.select("image_path", "cluster_id")
     right = attributes.select("image_path", "age_group")
     joined = settle(join_one_to_one(left, right, "image_path", complete=True))
-    ids = distinct_ids(joined)
+    ids = settle(distinct_ids(joined))
     special = settle(special_ids(ids, s.n_forget, s.n_test, s.seed, per_step=s.ids_per_step))
-    dataset = drop_unknown(apply_split(joined, special)).select("image_path", "cluster_id", "age_group", "split", "forget_step")
-    return dataset, dataset_summary(dataset, ids, special, s.n_forget)
+    dataset = settle(drop_unknown(apply_split(joined, special)).select("image_path", "cluster_id", "age_group", "split", "forget_step"))
+    return dataset, dataset_summary(dataset, ids, special, s.n_forget), retained_parts(ids, special)
 
 
 def run(spark: SparkSession, s: Settings) -> dict[str, DataFrame]:
@@ -172,10 +172,10 @@ def run(spark: SparkSession, s: Settings) -> dict[str, DataFrame]:
         write_summary(made["funnel"], f"{s.out}/preprocess_summary")
     if on["generate"]:
         pool = _written(lambda: spark.read.schema(PROCESSED).json(f"{s.out}/preprocess_records"))
-        pool = filter_images(list_files(spark, s.raw), "pool").select("path") if pool is None else pool.select(F.col("original_path").alias("path"))
+        pool = list_files(spark, s.raw, preset="pool").select("path") if pool is None else pool.select(F.col("original_path").alias("path"))
         plan, seeds = plan_generation(pool, s)
         plan = with_output_paths(plan, s.out)
-        found = filter_images(list_files(spark, f"{s.out}/_candidates"), "pool").join(plan.select(F.col("candidate_path").alias("path")), "path", "left_semi")
+        found = list_files(spark, f"{s.out}/_candidates", preset="pool").join(plan.select(F.col("candidate_path").alias("path")), "path", "left_semi")
         candidates = settle(_scored(spark, settle(found), s, f"{s.out}/_candidates"))
         scored = plan.select("identity_id", "trial", F.col("candidate_path").alias("path")).join(candidates, "path").drop("path", "confidence", "error")
         seed_scores = _scored(spark, seeds.select(F.col("seed_path").alias("path")), s, s.raw)
@@ -192,9 +192,10 @@ def run(spark: SparkSession, s: Settings) -> dict[str, DataFrame]:
         manifest = _required(lambda: read_manifest(spark, f"{s.out}/identity_manifest"), "build", "generate").select("image_path", "candidate_path", "cluster_id")
         attributes = _required(lambda: read_chunks(spark, f"{s.out}/attributes"), "build", "extract").where("saved").withColumnRenamed("image_path", "candidate_path")
         attributes = attributes.join(manifest.select("candidate_path", "image_path"), "candidate_path").drop("candidate_path")
-        made["dataset"], made["summary"] = build_dataset(manifest, attributes, s)
+        made["dataset"], made["summary"], made["retained"] = build_dataset(manifest, attributes, s)
         write_dataset(made["dataset"], f"{s.out}/dataset")
         write_summary(made["summary"], f"{s.out}/dataset_summary")
+        write_records(made["retained"], f"{s.out}/dataset_retained")
     return made
 
 

@@ -19,8 +19,9 @@ from .operators.detections import best_detection
 from .operators.joins import join_one_to_one, missing_rows
 from .operators.sampling import first_by_hash, inspection_sample, sample_cap, split_pools
 from .operators.splits import apply_split, assign_splits, distinct_ids, special_ids
-from .operators.summaries import age_distribution, dataset_summary, gender_distribution, label_distribution, preprocess_funnel, sample_counts, split_sizes, stem_collisions
+from .operators.summaries import age_distribution, dataset_summary, gender_distribution, label_distribution, preprocess_funnel, retained_parts, sample_counts, split_sizes, stem_collisions
 from .sources.readers import newest_new_file
+from .storage import settle
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -263,21 +264,28 @@ def q25_new_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return newest_new_file(pages, pages.where("modificationTime % 2 = 0"))
 
 
-@_query(f"""WITH {_DATA}
+_PART = 40
+
+
+@_query(f"""WITH {_DATA}, placed AS (SELECT cluster_id, (row_number() OVER (ORDER BY cluster_id) - 1) // {_PART} AS part FROM splits WHERE split = 'retain')
 SELECT (SELECT count(*) FROM dataset) AS total_images, (SELECT count(*) FROM splits) AS n_clusters, 'identity-conditioned synthetic variants' AS identity_source, CAST(4 AS INTEGER) AS n_forget,
   (SELECT count(*) FROM splits WHERE split = 'retain') AS n_retain,
   (SELECT string_agg(cluster_id, ',' ORDER BY k) FROM splits WHERE split = 'forget') AS forget_clusters,
   (SELECT string_agg(cluster_id, ',' ORDER BY k) FROM splits WHERE split = 'test') AS test_clusters,
-  (SELECT string_agg(cluster_id, ',' ORDER BY cluster_id) FROM splits WHERE split = 'retain') AS retain_clusters,
   (SELECT string_agg(split || '=' || n, ',' ORDER BY split) FROM (SELECT split, count(*) AS n FROM dataset GROUP BY split)) AS split_sizes,
-  (SELECT string_agg(label || '=' || n, ',' ORDER BY label) FROM (SELECT {_LABEL} AS label, count(*) AS n FROM dataset WHERE split = 'retain' GROUP BY 1)) AS label_distribution_retain""")
+  (SELECT string_agg(label || '=' || n, ',' ORDER BY label) FROM (SELECT {_LABEL} AS label, count(*) AS n FROM dataset WHERE split = 'retain' GROUP BY 1)) AS label_distribution_retain,
+  CAST(NULL AS BIGINT) AS part, CAST(NULL AS VARCHAR) AS retain_clusters
+UNION ALL SELECT NULL, NULL, NULL, NULL, count(*), NULL, NULL, NULL, NULL, CAST(part AS BIGINT), string_agg(cluster_id, ',' ORDER BY cluster_id) FROM placed GROUP BY part""")
 def q26_dataset_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The summary of the dataset, its lists and maps as text."""
+    """The summary of the dataset in one row, its lists and maps as text, and all retained ids in rows of at most 40."""
     ids = distinct_ids(attributes(spark, sf_dir))
-    one = dataset_summary(q19_dataset(spark, sf_dir), ids, special_ids(ids, 4, 6), 4)
-    lists = {f"{s}_clusters": F.concat_ws(",", F.transform(f"{s}_clusters", lambda x: x.cast("string"))) for s in ("forget", "test", "retain")}
+    special = special_ids(ids, 4, 6)
+    one = dataset_summary(settle(q19_dataset(spark, sf_dir)), ids, special, 4)
+    listed = lambda c: F.concat_ws(",", F.transform(c, lambda x: x.cast("string"))).alias(c)
     maps = {c: F.array_join(F.array_sort(F.transform(F.map_entries(c), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string")))), ",") for c in ("split_sizes", "label_distribution_retain")}
-    return one.withColumns(lists | maps)
+    one = one.withColumns({c: listed(c) for c in ("forget_clusters", "test_clusters")} | maps)
+    parts = retained_parts(ids, special, _PART).select("part", F.col("n_ids").alias("n_retain"), listed("clusters").alias("retain_clusters"))
+    return one.unionByName(parts, allowMissingColumns=True)
 
 
 @_query("""WITH r AS (SELECT o_custkey, count(*) AS orders, md5('7:' || o_custkey) AS h FROM orders GROUP BY o_custkey)

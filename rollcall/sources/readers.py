@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.paths import canonical_path, image_path
-from ..schemas import ATTRIBUTES, MANIFEST
+from ..schemas import ATTRIBUTES, FILES, MANIFEST
 from .versions import ChunkTable
+from .writers import replace_folder
 
 # Extensions, whether case counts, whether folders below are read, word that a name must not hold.
 PRESETS = {
@@ -19,10 +20,42 @@ PRESETS = {
 }
 
 
-def list_files(spark: SparkSession, root: str | list[str], recursive: bool = True) -> DataFrame:
-    """(path, modificationTime, length) of the files under ``root``; canonical paths."""
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower()).load(root)
-    return found.select(canonical_path(F.col("path")).alias("path"), "modificationTime", "length")
+def preset_pattern(preset: str) -> str:
+    """The file name pattern of a preset: an extension after a name, in any case where case doesn't count."""
+    extensions, case, _, _ = PRESETS[preset]
+    either = lambda x: x if case else "".join(f"[{c}{c.upper()}]" for c in x)
+    return "?*.{" + ",".join(map(either, extensions)) + "}"
+
+
+def list_files(spark: SparkSession, root: str | list[str], recursive: bool = True, preset: str | None = None, since: str | None = None) -> DataFrame:
+    """(path, modificationTime, length) of the files under ``root``; canonical paths.
+
+    ``preset`` and ``since`` (a UTC time such as 2024-01-31T12:00:00; files modified after it) are taken by the listing itself,
+    so files of other kinds or older ones never become rows or tasks. A flat preset lists no folder below unless ``recursive``.
+    """
+    scan = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
+    if preset:
+        scan = scan.option("pathGlobFilter", preset_pattern(preset))
+    if since:
+        scan = scan.option("modifiedAfter", since).option("timeZone", "UTC")
+    found = scan.load(root).select(canonical_path(F.col("path")).alias("path"), "modificationTime", "length")
+    without = PRESETS[preset][3] if preset else None
+    return found.where(~F.contains(F.regexp_extract("path", r"([^/]*)$", 1), F.lit(without))) if without else found
+
+
+def save_snapshot(listed: DataFrame, path: str) -> DataFrame:
+    """Keep a listing at ``path``, in place of an earlier one, to compare later ones with."""
+    replace_folder(listed, path, lambda to: listed.select(*FILES.names).write.parquet(to))
+    return read_snapshot(listed.sparkSession, path)
+
+
+def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(FILES).parquet(path)
+
+
+def new_files(listed: DataFrame, snapshot: DataFrame) -> DataFrame:
+    """Files of a listing that a snapshot doesn't have, whatever their times: a file that is moved in keeps its own."""
+    return listed.join(snapshot.select("path"), "path", "left_anti")
 
 
 def filter_images(df: DataFrame, preset: str = "pool", path: str = "path", root: str | None = None, recursive: bool = True) -> DataFrame:
@@ -73,5 +106,4 @@ def read_json_doc(spark: SparkSession, path: str, schema: T.StructType | str) ->
 
 def newest_new_file(after: DataFrame, before: DataFrame) -> DataFrame:
     """(path): of the files that are in ``after`` only, the newest; of equally new ones the greatest path. No row if there is none."""
-    new = after.join(before.select("path"), "path", "left_anti")
-    return new.agg(F.max_by("path", F.struct("modificationTime", "path")).alias("path")).where(F.col("path").isNotNull())
+    return new_files(after, before).agg(F.max_by("path", F.struct("modificationTime", "path")).alias("path")).where(F.col("path").isNotNull())

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from rollcall.functions import laplacian_variance
 from rollcall.operators.scoring import score_images, stub_scorer
 from rollcall.plans import Settings, run
-from rollcall.sources import count_images, filter_images, list_files, newest_new_file, read_chunks, read_images, read_json_doc, read_manifest, write_chunk, write_manifests, write_summary
+from rollcall.sources import count_images, filter_images, list_files, new_files, newest_new_file, read_chunks, read_images, read_json_doc, read_manifest, read_snapshot, save_snapshot, write_chunk, write_manifests, write_summary
 from rollcall.streaming import stream_extract, stream_summary
 from tests.pngs import png
 
@@ -46,6 +46,28 @@ def test_listing_and_presets(spark, folder):
     assert count_images(files).first()["n_images"] == 5
 
 
+def test_listing_takes_presets_and_times_itself(spark, folder):
+    for preset in ("raw", "pool", "adapter"):
+        want = names(filter_images(list_files(spark, folder), preset))
+        listed = list_files(spark, folder, preset=preset)
+        assert names(listed) == want and len(listed.inputFiles()) == len(want)
+    assert names(list_files(spark, folder, recursive=False, preset="extract")) == ["black.png", "broken.png", "golden.png"]
+    os.utime(os.path.join(folder, "golden.png"), (10, 10))
+    old = list_files(spark, folder, since="1970-01-01T00:00:30")
+    assert "golden.png" not in names(old) and len(old.inputFiles()) == 6
+    assert old.where("length > 1000")._jdf.queryExecution().executedPlan().toString().count("GreaterThan(length,1000)")
+
+
+def test_snapshots(spark, folder, tmp_path):
+    before = save_snapshot(list_files(spark, folder, preset="pool"), str(tmp_path / "snap"))
+    os.utime(os.path.join(folder, "broken.png"), (10, 10))
+    os.rename(os.path.join(folder, "broken.png"), os.path.join(folder, "moved in.png"))
+    after = list_files(spark, folder, preset="pool")
+    assert names(new_files(after, before)) == ["moved in.png"] and names(read_snapshot(spark, str(tmp_path / "snap"))) == names(before)
+    again = save_snapshot(after, str(tmp_path / "snap"))
+    assert new_files(after, again).count() == 0
+
+
 def test_sharpness_and_scores(spark, folder):
     images = read_images(spark, folder)
     found = {os.path.basename(r["path"]): r["laplacian_variance"] for r in laplacian_variance(images).collect()}
