@@ -25,10 +25,10 @@ from .operators.chunks import assign_chunks
 from .operators.joins import join_one_to_one, require_complete, require_plan
 from .operators.scoring import Scorer, batched, score_images, stub_scorer
 from .operators.splits import apply_split, distinct_ids, special_ids
-from .operators.summaries import extraction_summary
+from .operators.summaries import extraction_of
 from .plans import Settings, jobs
 from .queries import _CAND, _DATA, _GROUP, _OUTCOME, _query, _table, attributes, judged, q06_funnel, q19_dataset
-from .schemas import CANDIDATES
+from .schemas import CANDIDATES, PROCESSED
 from .sources import PRESETS, ChunkTable, count_images, filter_images, list_files, newest_new_file, read_attributes, read_chunks, read_images, read_json_doc, read_manifest, read_named, save_snapshot, write_attributes, write_chunk, write_chunks, write_dataset, write_files, write_manifests, write_summary
 from .storage import settle, shared_dir
 from .streaming import stream_extract, stream_summary
@@ -347,11 +347,16 @@ def q49_attach_style(spark: SparkSession, sf_dir: str) -> DataFrame:
     return attach_style(plan_candidates(seeds, 7), styles, 7).select("identity_id", "trial", "style")
 
 
-@_query(f"""WITH {_DATA} SELECT count(*) + 10 AS total_input, count(*) AS extracted, CAST(10 AS BIGINT) AS failed, CAST(3 AS INTEGER) AS embedding_dim, CAST(7 AS INTEGER) AS chunks,
-  count(*) FILTER (age_group = -1) AS unknown, count(*) FILTER (age_group = 3) AS seniors, count(*) FILTER (gender = 0) AS female, count(*) FILTER (gender = 1) AS male FROM grouped""")
+@_query(f"""WITH {_DATA}, e AS (SELECT *, image_key % 8 <> 0 AS saved FROM grouped)
+SELECT count(*) AS total_input, count(*) FILTER (saved) AS extracted, count(*) FILTER (NOT saved) AS failed, CAST(3 AS INTEGER) AS embedding_dim, CAST((SELECT count(DISTINCT user_id % 9) FROM events) AS INTEGER) AS chunks,
+  count(*) FILTER (saved AND age_group = -1) AS unknown, count(*) FILTER (saved AND age_group = 3) AS seniors, count(*) FILTER (saved AND gender = 0) AS female, count(*) FILTER (saved AND gender = 1) AS male FROM e""")
 def q50_extraction_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = attributes(spark, sf_dir).withColumn("age_group", age_group(F.col("age"))).withColumn("embedding", F.array(*(F.lit(1.0) for _ in range(3))))
-    one = extraction_summary(rows, rows.count() + 10, 7)
+    """The summary of an extraction from the totals of the chunks that it wrote; every eighth image failed, and a chunk is users alike modulo nine."""
+    rows = attributes(spark, sf_dir).withColumn("age_group", age_group(F.col("age"))).withColumn("saved", F.col("image_key") % 8 != 0)
+    rows = rows.withColumn("embedding", F.when(F.col("saved"), F.array(*(F.lit(1.0) for _ in range(3))))).withColumn("chunk_id", F.col("cluster_id") % 9 + 1)
+    root = _folder(spark)
+    version = write_chunks(rows.select("image_key", "embedding", "age", "gender", "age_group", "saved", "chunk_id"), root, {"dim": F.max(F.size("embedding"))})
+    one = extraction_of(ChunkTable(spark, root).lines(), version.metrics["dim"])
     ages, genders = F.col("age_distribution"), F.col("gender_distribution")
     return one.select("total_input", "extracted", "failed", "embedding_dim", "chunks", F.coalesce(F.try_element_at(ages, F.lit("Unknown")), F.lit(0)).alias("unknown"), F.coalesce(F.try_element_at(ages, F.lit("Senior (65+)")), F.lit(0)).alias("seniors"), genders["female"].alias("female"), genders["male"].alias("male"))
 
@@ -433,6 +438,22 @@ def q53_job_preprocess(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marked.select("filename", "outcome", "blur_score")
 
 
+@_query(f"""WITH {_drawn(_SUPPLIER_NAMES)}, b AS ({_SUPPLIER_NAMES})
+SELECT name AS filename, 'raw/' || name AS original, 'out/processed/' || replace(name, '.png', '_face.jpg') AS processed, round(confidence, 4) AS confidence, round(sharp, 2) AS blur_score FROM score JOIN b USING (name) WHERE s_suppkey % 10 <> 0 AND confidence >= 0.95 AND sharp >= 50000
+UNION ALL SELECT 'summary', CAST(count(*) AS VARCHAR), CAST(count(*) FILTER (s_suppkey % 10 = 0) AS VARCHAR), NULL, NULL FROM supplier""")
+def q68_preprocess_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the first job writes: records of the images that passed, with the paths of both files, and its summary, counted by the write."""
+    root = _folder(spark)
+    _supplier_images(spark, sf_dir, f"{root}/raw", F.col("s_suppkey") % 10 == 0)
+    s = _settings(root, steps={"generate": False, "extract": False, "build": False})
+    jobs.run(spark, s)
+    records = spark.read.schema(PROCESSED).json(f"{s.out}/preprocess_records")
+    below = lambda c: F.regexp_extract(c, r"(raw/.*|out/processed/.*)$", 1)
+    found = records.select("filename", below("original_path").alias("original"), below("processed_path").alias("processed"), "confidence", "blur_score")
+    total = read_json_doc(spark, f"{s.out}/preprocess_summary", "total long, error long")
+    return found.unionAll(total.select(F.lit("summary"), F.col("total").cast("string"), F.col("error").cast("string"), F.lit(None).cast("double"), F.lit(None).cast("double")))
+
+
 #: Identities of the job queries: four candidates each, the first two sharp ones are taken.
 _TRIALS, _TAKEN = 4, 2
 _CANDIDATES = f"SELECT s_name || ' ' || s_nationkey || ' ' || t AS name, s_suppkey AS i, t FROM supplier, (SELECT unnest(range({_TRIALS})) AS t) b WHERE s_suppkey < (SELECT count(*) // 2 FROM supplier)"

@@ -15,7 +15,7 @@ from .functions.vectors import cosine, l2_norm, l2_norm_batch, l2_normalize
 from .operators.admission import accepted_only, admit_first_k, generation_summary, rejection_counts, rejection_maps, shortfalls, split_admission
 from .operators.candidates import plan_candidates, style_index
 from .operators.chunks import assign_chunks, chunk_manifest
-from .operators.detections import best_detection
+from .operators.detections import best_detection, without_detection
 from .operators.joins import join_one_to_one, missing_rows
 from .operators.sampling import first_by_hash, inspection_sample, sample_cap, split_pools
 from .operators.splits import apply_split, assign_splits, distinct_ids, special_ids
@@ -366,3 +366,37 @@ def q35_l2_norm_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q36_sample_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id")
     return sample_counts(docs, sample_cap(docs, 100, 42, "doc_id"))
+
+
+@_query("""WITH c AS (SELECT event_id, event_type, value, CAST(json_extract(props, '$.k') AS INTEGER) / CAST(100 AS DOUBLE) AS similarity, event_id % 11 = 0 AS lost, event_id % 7 AS kind FROM events),
+r AS (SELECT event_id, lost, CASE WHEN event_type = 'error' THEN 'no_face' WHEN kind IN (1, 2) THEN 'invalid_embedding' WHEN similarity < 0.45 THEN 'low_similarity' END AS identity, CASE WHEN value < 20 THEN 'blur' END AS blur FROM c)
+SELECT event_id, CASE WHEN lost THEN 'unreadable_image' ELSE coalesce(nullif(concat_ws('+', identity, blur), ''), 'accepted') END AS verdict FROM r""")
+def q65_all_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All nine verdicts: of seven norms one is zero and one is not a number, and every eleventh image can't be read."""
+    kind = F.col("event_id") % 7
+    norm = F.when(kind == 1, F.lit(0.0)).when(kind == 2, F.lit(float("nan"))).otherwise(1.0 + kind)
+    verdict = classify_candidate(F.col("event_type") != "error", norm, F.col("similarity"), F.col("laplacian_variance"), 0.45, 20.0, F.col("event_id") % 11 != 0)
+    return candidates(spark, sf_dir).select("event_id", verdict.alias("verdict"))
+
+
+@_query("""WITH d AS (SELECT * FROM lineitem WHERE l_returnflag = 'R'), f AS (SELECT l_orderkey, min(l_linenumber) AS attempt FROM d GROUP BY l_orderkey),
+b AS (SELECT d.l_orderkey AS image, f.attempt, count(*) AS faces FROM d JOIN f ON d.l_orderkey = f.l_orderkey AND d.l_linenumber = f.attempt GROUP BY ALL)
+SELECT image, attempt, faces FROM b UNION ALL SELECT o_orderkey, NULL, 0 FROM orders WHERE o_orderkey NOT IN (SELECT image FROM b)""")
+def q66_faceless(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as images, returned lines as faces: the attempt with the best face, and the images in which none was found."""
+    lines = _table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'")
+    faces = lines.select(F.col("l_orderkey").alias("image"), F.col("l_linenumber").alias("attempt"), F.col("l_partkey").alias("face_idx"), F.array(F.lit(0.0), F.lit(0.0), F.col("l_quantity"), F.col("l_extendedprice")).alias("bbox"))
+    images = _table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("image"))
+    none = without_detection(images, faces).select("image", F.lit(None).cast("int").alias("attempt"), F.lit(0).cast("long").alias("faces"))
+    return best_detection(faces).select("image", "attempt", "faces").unionByName(none)
+
+
+@_query("""WITH d AS (SELECT *, CAST(l_linenumber % 3 AS DOUBLE) / 4 AS ratio FROM lineitem), p AS (SELECT *, floor(200 * ratio) AS px, floor(101 * ratio) AS py FROM d)
+SELECT l_orderkey AS image, l_linenumber AS attempt, l_partkey AS face_idx, CAST(t.point AS INTEGER) AS point, round(l_quantity + t.point - px, 6) AS x, round(l_extendedprice / (t.point + 1) - py, 6) AS y FROM p, (SELECT unnest(range(5)) AS point) t""")
+def q67_unpad_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five key points of each line item's face, found in padded copies of a 200 by 101 image, in the image's own coordinates."""
+    points = F.array(*(F.array(F.col("l_quantity") + k, F.col("l_extendedprice") / (k + 1)) for k in range(5)))
+    box = F.array(*(F.lit(0.0) for _ in range(4)))
+    lines = _table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("image"), F.col("l_linenumber").alias("attempt"), F.col("l_partkey").alias("face_idx"), box.alias("bbox"), points.alias("kps"), F.lit(101).alias("height"), F.lit(200).alias("width"), ((F.col("l_linenumber") % 3) / F.lit(4.0)).alias("ratio"))
+    each = unpad_detections(lines).select("image", "attempt", "face_idx", F.posexplode("kps").alias("point", "p"))
+    return each.select("image", "attempt", "face_idx", "point", F.round(F.col("p")[0], 6).alias("x"), F.round(F.col("p")[1], 6).alias("y"))
