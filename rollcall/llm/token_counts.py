@@ -1,15 +1,17 @@
 """Token counts of whole texts under a public byte-level BPE vocabulary.
 
 Texts are encoded in Arrow batches and only lengths leave the task. Within a batch, texts are cut at
-safe boundaries and grouped into calls of about equal bytes, so one very long text neither holds a
-call of its own size nor is cut short.
+safe boundaries and grouped into calls of about equal bytes of UTF-8, so one very long text neither holds a
+call of its own size nor is cut short. A call is one batch of each library.
 
 Two libraries give the ids. Pieces made of printable ASCII, common white space and Latin letters are
 encoded with ranks of the same vocabulary (several times faster); any other piece goes through the
 ``tokenizers`` file itself, because Unicode classes may differ between regular-expression engines.
 Both give the same ids, which the tests check.
 
-Nulls count as empty texts (0 bytes, 0 tokens). Extra columns are ignored. Repeated rows give repeated rows.
+Nulls count as empty texts (0 bytes, 0 tokens). Extra columns are ignored, whatever their names. Repeated rows give
+repeated rows; an empty table gives no rows; a null key stays null. A text without a space between solid characters
+has no safe boundary and is a piece, and if it is long a call, of its own.
 """
 
 from __future__ import annotations
@@ -80,18 +82,34 @@ def count_lengths(texts: list[str], path: str) -> list[int]:
     """Token counts of ``texts``, none longer than a call should be."""
     own, ranks, special = _encoders(path)
     out = [0] * len(texts)
-    other = []
-    for k, text in enumerate(texts):
-        if ranks is not None and _PLAIN.fullmatch(text):
-            out[k] = len(ranks.encode(text, allowed_special=special, disallowed_special=()))
-        else:
-            other.append(k)
+    plain = [k for k, text in enumerate(texts) if _PLAIN.fullmatch(text)] if ranks is not None else []
+    if plain:
+        for k, ids in zip(plain, ranks.encode_batch([texts[k] for k in plain], num_threads=1, allowed_special=special, disallowed_special=()), strict=True):
+            out[k] = len(ids)
+    done = set(plain)
+    other = [k for k in range(len(texts)) if k not in done]
     if other:
         for k, found in zip(other, own.encode_batch_fast([texts[k] for k in other], add_special_tokens=False), strict=True):
             out[k] = len(found)
     return out
 
 
+def calls(texts: list[str | None], most: int = CALL_BYTES) -> Iterator[tuple[list[int], list[str]]]:
+    """(rows, pieces) of calls: as many pieces as fit ``most`` bytes of UTF-8, at least one."""
+    owner, call, held = [], [], 0
+    for k, whole in enumerate(texts):
+        for piece in pieces(whole) if whole else []:
+            size = len(piece) if piece.isascii() else len(piece.encode("utf-8", "surrogatepass"))
+            if call and held + size > most:
+                yield owner, call
+                owner, call, held = [], [], 0
+            owner.append(k)
+            call.append(piece)
+            held += size
+    if call:
+        yield owner, call
+
+
 def token_counts(docs: DataFrame, tokenizer_path: str, limit: int = 1024, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(key, n_bytes, n_tokens, over_limit) of every row; ``tokenizer_path`` must exist on every executor."""
     prepare(docs.sparkSession)
@@ -103,21 +121,9 @@ def token_counts(docs: DataFrame, tokenizer_path: str, limit: int = 1024, text:
         for batch in batches:
             texts = batch.column(1).to_pylist()
             counts = [0] * len(texts)
-            call, owner, held = [], [], 0
-
-            def flush():
+            for owner, call in calls(texts):
                 for k, n in zip(owner, count_lengths(call, tokenizer_path), strict=True):
                     counts[k] += n
-
-            for k, whole in enumerate(texts):
-                for piece in pieces(whole) if whole else []:
-                    call.append(piece)
-                    owner.append(k)
-                    held += len(piece)
-                    if held >= CALL_BYTES:
-                        flush()
-                        call, owner, held = [], [], 0
-            flush()
             _, off = text_buffer(batch.column(1))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(off[1:] - off[:-1], pa.int64()), pa.array(counts, pa.int64())], names=["k", "n_bytes", "n_tokens"])
 

@@ -46,3 +46,14 @@ def test_long_and_odd_texts(spark, library):
 
 def test_empty_table(spark):
     assert T.token_counts(spark.createDataFrame([], "doc_id long, text string"), path()).count() == 0
+
+
+def test_calls_hold_equal_bytes():
+    texts = ["é" * 40, None, "a" * 30, "", "中文 " * 30, "b " * 100_000]
+    got = list(T.calls(texts, 100))
+    assert [k for owner, _ in got for k in owner] == sorted(k for owner, _ in got for k in owner)
+    for k, text in enumerate(texts):
+        assert "".join(p for owner, call in got for o, p in zip(owner, call, strict=True) if o == k) == (text or "")
+    sizes = [sum(len(p.encode()) for p in call) for _, call in got]
+    assert all(n <= 100 or len(call) == 1 for n, (_, call) in zip(sizes, got, strict=True))
+    assert got[0][0] == [0] and got[1][0] == [2]  # 80 bytes of 40 characters, and 30
