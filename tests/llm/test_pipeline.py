@@ -64,3 +64,18 @@ def test_empty_tables(spark, folder, tmp_path):
     for name in ("documents", "benchmark"):
         spark.read.parquet(f"{folder}/{name}.parquet").limit(0).write.parquet(str(tmp_path / f"{name}.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_columns_with_clashing_names_and_maps_stay(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet").where("doc_id < 12 or doc_id in (100, 107) or doc_id is null")
+    names = ["_id", "_h", "_size", "_row", "_text", "own_id", "own_hash", "own_size", "lang_pred", "lang_score", "_lang_pred", "n_lines", "N_Removed", "text_hash", "size", "group", "entry", "k", "h", "t", "taken"]
+    docs = docs.withColumns({n: F.lit(f"my {n}") for n in names} | {"tags": F.create_map(F.lit("a"), F.col("source"))})
+    for name, stage in corpus_pipeline.STAGES:
+        before = {r["doc_id"]: r for r in docs.collect()}
+        docs = corpus_pipeline.materialize(stage(spark, docs, folder))
+        rows = docs.collect()
+        assert rows and all(c in docs.columns for c in [*names, "tags"]), name
+        for r in rows:
+            assert all(r[n] == f"my {n}" for n in names if name != "mix" or n != "taken") and r["tags"] == before[r["doc_id"]]["tags"], name
+        assert name == "mix" or docs.columns == list(before.values())[0].__fields__
+    assert len({r["doc_id"] for r in rows}) == len(rows)
