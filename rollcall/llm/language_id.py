@@ -4,9 +4,9 @@ Model: each direction reads one byte at a time, h' = h + z * (c - h) with gates
 and candidate c = bend(W[byte] + r * (U h)); ``step`` and ``bend`` are the piecewise linear sigmoid and
 tanh, which cost a fraction of the smooth ones. Both states label every position; a document's
 probabilities are the mean of its positions' probabilities. Trained in NumPy by backpropagation through
-time with Adam, on the driver, from a bounded sample: of each language the ``PER_LANGUAGE`` labelled documents
-least by hash of (doc_id, text), and of each of them up to ``EACH`` stretches of ``STRETCH`` bytes that lie evenly over
-the whole text, all of it if it isn't longer. That is the same at every size of the table: the hashes
+time with Adam, on the driver, from a bounded sample of rows: of each language the ``PER_LANGUAGE`` labelled documents
+of at most ``LONGEST`` bytes (of a language without such, all its documents) least by hash of (doc_id, text). The whole text of each is
+learned from, in stretches of ``STRETCH`` bytes in which state starts anew. That is the same at every size of the table: the hashes
 of common languages are only compared with a bound before texts are read, and the bound is raised if it
 proves too low. Rows equal in doc_id and text count once. The sample, its order and the initial weights
 follow from hashes, so reruns agree. One row for each distinct label reaches the driver.
@@ -29,15 +29,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import prepare, slices
 
 #: Size of each direction's state; bytes of a window when labelling and of a stretch when training.
 HIDDEN, WINDOW, STRETCH = 8, 256, 128
-#: Labelled documents of a language that training sees at most, stretches of each; passes over them; stretches of a step; learning rate.
-PER_LANGUAGE, EACH, EPOCHS, BATCH, RATE = 500, 4, 4, 128, 0.02
+#: Labelled documents of a language that training sees at most, and their bytes; passes over them; stretches of a step; learning rate.
+PER_LANGUAGE, LONGEST, EPOCHS, BATCH, RATE = 150, 1 << 16, 2, 128, 0.02
 #: Windows that are labelled together.
 WINDOWS = 4096
 #: A document is held out when crc32(doc_id as text) % FOLDS is 0.
@@ -208,39 +208,37 @@ def held_out(key):
     return F.crc32(key.cast("string").cast("binary")) % FOLDS == 0
 
 
-def training_rows(docs: DataFrame, text: str, lang: str, key: str, per_language: int, stretch: int) -> list[tuple[str, int, list[bytes]]]:
-    """(lang, hash, stretches) of the ``per_language`` labelled rows of each language outside the held-out fold that are least by hash."""
+def training_rows(docs: DataFrame, text: str, lang: str, key: str, per_language: int) -> list[tuple[str, int, bytes]]:
+    """(lang, hash, text) of the ``per_language`` labelled rows of each language outside the held-out fold that are least by hash."""
     own = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & ~F.coalesce(held_out(F.col(key)), F.lit(False)))
-    # one count for each class of the network
-    counts = {r["lang"]: r["n"] for r in own.groupBy(F.col(lang).cast("string").alias("lang")).agg(F.count("*").alias("n")).collect()}
-    b = F.col(text).cast("string").cast("binary")
-    rows = own.select(F.col(lang).cast("string").alias("lang"), F.xxhash64(F.col(key).cast("string"), F.col(text)).alias("h"), F.col(text).cast("string").alias("t"), b.alias("b"))
-    size, room = F.length("b"), F.greatest(F.length("b") - stretch, F.lit(0))
-    many = F.greatest(F.least(F.ceil(size / stretch), F.lit(EACH)), F.lit(1)).cast("int")
-    place = lambda i: F.when(many > 1, F.floor(i * room / (many - 1))).otherwise(F.lit(0)).cast("int") + 1
-    parts = F.transform(F.sequence(F.lit(0), many - 1), lambda i: F.substring("b", place(i), F.lit(stretch)))
+    t = F.col(text).cast("string")
+    rows = own.select(F.col(lang).cast("string").alias("lang"), F.xxhash64(F.col(key).cast("string"), F.col(text)).alias("h"), t.alias("t"), (F.octet_length(t) <= LONGEST).alias("short"))
+    # one row for each class of the network
+    counts = {r["lang"]: (r["n"], r["short"]) for r in rows.groupBy("lang").agg(F.count("*").alias("n"), F.count_if("short").alias("short")).collect()}
     # the least by hash are within a bound that holds a few times as many; where it doesn't, it is raised
-    share = {name: min(1.0, 3 * per_language / n) for name, n in counts.items()}
+    size = {name: short or n for name, (n, short) in counts.items()}
+    share = {name: min(1.0, 3 * per_language / n) for name, n in size.items()}
+    whole = [name for name, (_, short) in counts.items() if not short]
     found: dict[str, list] = {}
     todo = set(counts)
     while todo:
         bounds = F.create_map(*(F.lit(x) for name in sorted(todo) for x in (name, int(share[name] * 2.0**64) - (1 << 63) if share[name] < 1 else (1 << 63) - 1)))
-        near = rows.where(F.col("h") <= F.try_element_at(bounds, F.col("lang"))).where(F.col("t").rlike(r"\p{L}"))
+        near = rows.where((F.col("h") <= F.try_element_at(bounds, F.col("lang"))) & (F.col("short") | F.col("lang").isin(whole))).where(F.col("t").rlike(r"\p{L}"))
         got: dict[str, dict] = {name: {} for name in todo}
-        for r in near.select("lang", "h", parts.alias("parts")).groupBy("lang", "h").agg(F.first("parts").alias("parts")).collect():
-            got[r["lang"]][r["h"]] = [bytes(x) for x in r["parts"]]
+        for r in near.groupBy("lang", "h").agg(F.first("t").alias("t")).withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where(F.col("r") <= per_language).collect():
+            got[r["lang"]][r["h"]] = r["t"].encode()
         for name in sorted(todo):
             if len(got[name]) >= per_language or share[name] >= 1:
                 found[name] = sorted(got[name].items())[:per_language]
                 todo.remove(name)
             else:
                 share[name] = min(1.0, 4 * share[name])
-    return [(name, h, parts) for name, kept in found.items() for h, parts in kept]
+    return [(name, h, t) for name, kept in found.items() for h, t in kept]
 
 
 def train(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", per_language: int = PER_LANGUAGE, epochs: int = EPOCHS) -> BiGRU | None:
     """The network, or None if nothing is labelled."""
-    got = sorted(((h, name, k, b) for name, h, parts in training_rows(docs, text, lang, key, per_language, STRETCH) for k, b in enumerate(parts)), key=lambda r: r[:3])
+    got = sorted(((h, name, k, t[k : k + STRETCH]) for name, h, t in training_rows(docs, text, lang, key, per_language) for k in range(0, len(t), STRETCH)), key=lambda r: r[:3])
     if not got:
         return None
     classes = sorted({r[1] for r in got})

@@ -92,21 +92,28 @@ def test_defined_results(spark):
     assert L.identify(odd, net, keep=["doc_id"]).columns == ["doc_id", "lang_pred", "score"]
 
 
-def test_training_rows_are_the_least_by_hash_at_every_size(spark, monkeypatch):
+def test_training_rows_are_the_least_by_hash_and_whole(spark, monkeypatch):
     _, docs = sample(spark, 600)
-    few = L.training_rows(docs, "text", "lang", "doc_id", 5, 16)
-    assert [r[0] for r in few] == ["aa"] * 5 + ["bb"] * 5 + ["cc"] * 5
+    monkeypatch.setattr(L, "LONGEST", 300)
+    only_long = spark.createDataFrame([(9001, "le la " * 100, "dd", "s"), (9003, "les " * 200, "dd", "s")], docs.schema)
+    docs = docs.unionAll(only_long)
+    few = L.training_rows(docs, "text", "lang", "doc_id", 5)
+    assert [r[0] for r in sorted(few)][:15] == ["aa"] * 5 + ["bb"] * 5 + ["cc"] * 5
     h = F.xxhash64(F.col("doc_id").cast("string"), F.col("text"))
     own = docs.where(~L.held_out(F.col("doc_id"))).select("lang", "text", h.alias("h")).collect()
-    for lang in ("aa", "bb", "cc"):
-        best = sorted((r["h"], r["text"]) for r in own if r["lang"] == lang)[:5]
-        mine = [r for r in few if r[0] == lang]
-        assert [r[1] for r in mine] == [h for h, _ in best]
-        for (_, _, parts), (_, text) in zip(mine, best, strict=True):
-            raw = text.encode()
-            assert parts[0] == raw[:16] and parts[-1] == raw[-16:] and 1 <= len(parts) <= L.EACH
-    same = L.training_rows(docs.unionAll(docs), "text", "lang", "doc_id", 5, 16)
-    assert same == few
+    for lang in ("aa", "bb", "cc", "dd"):
+        best = sorted((r["h"], r["text"].encode()) for r in own if r["lang"] == lang and (lang == "dd" or len(r["text"].encode()) <= 300))[:5]
+        assert [(x, t) for name, x, t in few if name == lang] == best
+    assert sorted(L.training_rows(docs.unionAll(docs), "text", "lang", "doc_id", 5)) == sorted(few)
+
+
+def test_every_byte_of_a_chosen_text_is_learned_from(spark, monkeypatch):
+    _, docs = sample(spark, 60)
+    seen = []
+    monkeypatch.setattr(L.BiGRU, "fit", lambda self, x, size, label, epochs: seen.extend(bytes(r[:n]) for r, n in zip(x, size, strict=True)))
+    L.train(docs)
+    texts = [t for _, _, t in L.training_rows(docs, "text", "lang", "doc_id", L.PER_LANGUAGE)]
+    assert sorted(seen) == sorted(t[k : k + L.STRETCH] for t in texts for k in range(0, len(t), L.STRETCH)) and sum(map(len, seen)) == sum(map(len, texts))
 
 
 def test_long_texts_are_labelled_in_stretches(monkeypatch):
