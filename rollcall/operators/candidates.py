@@ -59,37 +59,40 @@ def with_similarity_in_blocks(df: DataFrame, vector: str = "embedding", seed: st
     Vectors of a batch that have the length most have are one matrix; others go one by one. A length other than the seed's is an error.
     """
     ship(df.sparkSession)
-    others = [c for c in df.columns if c not in ("norm", "arcface_similarity")]
-    rows = df.select(F.struct(*others).alias("row"), F.col(vector).cast("array<double>").alias("v"), F.col(seed).cast("array<double>").alias("s"))
+    names = [c for c in df.columns if c not in ("norm", "arcface_similarity")]
+    others = [c for c in names if c not in (vector, seed)]
+    row = F.struct(*others) if others else F.struct(F.lit(0).alias("none"))
+    rows = df.select(row.alias("row"), F.col(vector).alias("v"), F.col(seed).alias("s"))
 
-    def matrix(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """(rows with a vector, their values as a matrix) of a list column whose vectors have one length."""
+    def matrix(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(rows with a vector, their values as a matrix, whether each value is there) of a list column whose vectors have one length."""
         full = np.flatnonzero(column.is_valid().to_numpy(zero_copy_only=False))
-        values = column.drop_null().flatten().to_numpy(zero_copy_only=False)
-        return full, values.reshape(len(full), -1) if len(full) else np.zeros((0, 0))
+        flat = column.drop_null().flatten()
+        values = pc.fill_null(flat.cast(pa.float64()), 0.0).to_numpy(zero_copy_only=False)
+        return full, values.reshape(len(full), -1), flat.is_valid().to_numpy(zero_copy_only=False).reshape(len(full), -1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             n = b.num_rows
-            norm, same = np.full(n, np.nan), np.full(n, np.nan)
+            norm, same = np.zeros(n), np.zeros(n)
             has_norm, has_same = np.zeros(n, bool), np.zeros(n, bool)
             lengths = pc.fill_null(pc.list_value_length(b.column(1)), -1).to_numpy(zero_copy_only=False)
-            for size in np.unique(lengths[lengths >= 0]):
+            for size in np.unique(lengths[lengths > 0]):
                 here = np.flatnonzero(lengths == size)
-                part = b.take(pa.array(here))
-                _, v = matrix(part.column(1))
-                norm[here] = np.sqrt(np.einsum("ij,ij->i", v, v)) if size else 0.0
-                has_norm[here] = True
-                seeded, s = matrix(part.column(2))
-                if len(seeded) and size:
-                    v, at = v[seeded], here[seeded]
-                    length = np.sqrt(np.einsum("ij,ij->i", s, s))
-                    usable = (norm[at] > 0) & (length > 0)
+                part = b if len(here) == n else b.take(pa.array(here))
+                _, v, there = matrix(part.column(1))
+                norm[here], has_norm[here] = np.sqrt(np.einsum("ij,ij->i", v, v)), there.all(1)
+                seeded, s, there = matrix(part.column(2))
+                if len(seeded):
+                    at, length = here[seeded], np.sqrt(np.einsum("ij,ij->i", s, s))
+                    usable = has_norm[at] & there.all(1) & (norm[at] > 0) & (length > 0)
                     with np.errstate(invalid="ignore", divide="ignore"):
-                        same[at] = np.einsum("ij,ij->i", v, s) / (norm[at] * length)
+                        same[at] = np.einsum("ij,ij->i", v[seeded], s) / (norm[at] * length)
                     has_same[at] = usable
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(norm, mask=~has_norm), pa.array(same, mask=~has_same)], names=["row", "norm", "arcface_similarity"])
+            has_norm[lengths == 0] = True
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(norm, mask=~has_norm), pa.array(same, mask=~has_same)], names=["row", "v", "s", "norm", "arcface_similarity"])
 
-    kind = rows.schema["row"].dataType.simpleString()
-    found = rows.mapInArrow(run, f"row {kind}, norm double, arcface_similarity double")
-    return found.select(*(F.col("row")[c].alias(c) for c in others), "norm", "arcface_similarity")
+    kinds = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in ("row", "v", "s"))
+    found = rows.mapInArrow(run, f"{kinds}, norm double, arcface_similarity double")
+    back = {vector: F.col("v"), seed: F.col("s")}
+    return found.select(*(back.get(c, F.col("row")[c]).alias(c) for c in names), "norm", "arcface_similarity")

@@ -13,7 +13,7 @@ from ..functions.attributes import age_group, cast_attributes, with_attr_default
 from ..functions.classify import classify_candidate, classify_preprocess, drop_unknown, split_valid
 from ..functions.paths import round_metrics, with_output_paths, with_path_parts
 from ..operators.admission import admission_metrics, admit_first_k, generation_of, require_filled, split_admission
-from ..operators.candidates import attach_seed, attach_style, plan_candidates, seed_vectors, with_similarity
+from ..operators.candidates import attach_seed, attach_style, plan_candidates, seed_vectors, with_similarity_in_blocks
 from ..operators.chunks import assign_chunks, chunk_manifest
 from ..operators.joins import join_one_to_one, require_plan
 from ..operators.metrics import settle_with
@@ -106,7 +106,7 @@ def generate(plan: DataFrame, scored: DataFrame, seeds: DataFrame, s: Settings)
     """
     require_plan(candidates=s.candidates_per_identity, images=s.images_per_identity)
     vectors = seed_vectors(seeds, s.strict)
-    joined = with_similarity(attach_seed(plan.join(scored.withColumn("_made", F.lit(True)), ["identity_id", "trial"], "left"), vectors))
+    joined = with_similarity_in_blocks(attach_seed(plan.join(scored.withColumn("_made", F.lit(True)), ["identity_id", "trial"], "left"), vectors))
     verdict = classify_candidate(F.col("embedding").isNotNull(), F.col("norm"), F.col("arcface_similarity"), F.col("laplacian_variance"), s.min_similarity, s.blur_threshold, F.coalesce("readable", F.lit(True)))
     judged = joined.withColumn("rejection_reason", F.when(F.col("_made"), verdict).otherwise(NOT_MADE)).drop("_made").withColumnRenamed("age", "detected_age").withColumnRenamed("gender", "detected_gender")
     admitted = with_output_paths(admit_first_k(judged, s.images_per_identity), s.out).drop("seed_unit", "embedding")

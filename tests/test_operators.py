@@ -65,7 +65,7 @@ def test_block_similarity_at_512_dimensions(spark):
     import numpy as np
 
     rng = np.random.default_rng(8)
-    rows = [(k, k % 3, rng.normal(size=512).tolist()) for k in range(60)] + [(60, 0, None), (61, 0, [0.0] * 512), (62, 1, [float("nan")] * 512), (63, 7, rng.normal(size=512).tolist())]
+    rows = [(k, k % 3, rng.normal(size=512).tolist()) for k in range(60)] + [(60, 0, None), (61, 0, [0.0] * 512), (62, 1, [float("nan")] * 512), (63, 7, rng.normal(size=512).tolist()), (64, 2, [None, *[1.0] * 511])]
     df = spark.createDataFrame(rows, "vec_id int, identity_id int, embedding array<float>")
     seeds = candidates.seed_vectors(df.where("vec_id < 3"))
     joined = candidates.attach_seed(df, seeds)
