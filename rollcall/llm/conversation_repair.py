@@ -455,3 +455,39 @@ def repair(rows: DataFrame, most_rows: int = FRAGMENT_ROWS, most_bytes: int = FR
 def repair_damaged(rows: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
     """The report on ``rows`` after ``damage``, under the name of the conversation's column."""
     return repair(damage(rows, conv, turn, role, text)).report().withColumnRenamed("conv", conv)
+
+
+def _sql() -> str:
+    """The report on damaged rows in SQL: costs and audits of all four states row by row from the end, as a recursion over places."""
+    bit = "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+    step = "list_reduce(list_concat([xor(acc, b)], range(8)), lambda c, j: " + bit + ")"
+    crc = f"xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(range(length(name)), lambda p: ascii(substr(name, p + 1, 1))::BIGINT)), lambda acc, b: {step}), 4294967295)"
+    state = lambda c, a, t: f"{{'c': {c}, 'a': {a}, 't': {t}}}"
+    then = lambda s, cost, letter, line: state(f"{s}.c + {cost}", f"'{letter}' || {s}.a", f"{s}.t" if line is None else f"list_concat([{line}], {s}.t)")
+    best = lambda *ways: f"list_sort(list_filter([{', '.join(ways)}], lambda w: w IS NOT NULL))[1]"
+
+    def row(q: int) -> str:
+        keep = {0: "CASE first WHEN 's' THEN 1 WHEN 'u' THEN 2 END", 1: "CASE first WHEN 'u' THEN 2 END", 2: "CASE first WHEN 'a' THEN 3 END", 3: "CASE first WHEN 'u' THEN 2 END"}[q]
+        on, role = (3, "assistant") if q == 2 else (2, "user")
+        kept = " ".join(f"WHEN {to} THEN {then(f's{to}', 'extra', 'K', line)}" for to in (1, 2, 3) for line in ["role || ':' || text"])
+        return best(then(f"s{q}", DELETE, "D", None), f"CASE WHEN NOT must THEN CASE {keep} {kept} END END", f"CASE WHEN NOT must THEN {then(f's{on}', f'{REROLE} + extra', 'R', f"'{role}:' || text")} END")
+
+    insert = lambda s, role: then(s, INSERT, "I", f"'{role}:'")
+    none = "[]::VARCHAR[]"
+    solid = "right(rtrim(text, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' '), 1)"
+    return f"""WITH RECURSIVE named AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS name FROM conversations),
+kinds AS (SELECT *, {crc} % 20 AS k FROM named),
+damaged AS (SELECT conv_id, turn, CASE k WHEN 4 THEN 'user' ELSE role END AS role, CASE k WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM (SELECT *, unnest(range(CASE k WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM kinds)),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS i, substr(role, 1, 1) AS first, {solid} AS last FROM damaged),
+faults AS (SELECT *, lag(first) OVER (PARTITION BY conv_id ORDER BY i) || first AS pair, CASE WHEN last = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate' WHEN last NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault FROM placed),
+ready AS (SELECT *, fault IN ('blank', 'duplicate') AS must, CASE fault WHEN 'truncated' THEN {TRUNCATED} ELSE 0 END AS extra FROM faults),
+counts AS (SELECT o.conv_id, count(r.i) AS n, coalesce(max(r.turn) - min(r.turn) + 1 - count(DISTINCT r.turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+  count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN ready r ON r.conv_id IS NOT DISTINCT FROM o.conv_id GROUP BY o.conv_id),
+costs AS (SELECT conv_id, n AS i, {state("0::BIGINT", "''", none)} AS s0, {state(f"{2 * INSERT}::BIGINT", "'II'", "['user:', 'assistant:']")} AS s1, {state(f"{INSERT}::BIGINT", "'I'", "['assistant:']")} AS s2, {state("0::BIGINT", "''", none)} AS s3 FROM counts
+UNION ALL SELECT conv_id, i, {best("v0", insert("w2", "user"))}, {best("v1", insert("w2", "user"))}, w2, {best("v3", insert("w2", "user"))}
+FROM (SELECT *, {best("v2", insert("v3", "assistant"))} AS w2 FROM (SELECT c.conv_id, r.i, {", ".join(f"{row(q)} AS v{q}" for q in range(4))} FROM costs c JOIN ready r ON r.conv_id IS NOT DISTINCT FROM c.conv_id AND r.i = c.i - 1)))
+SELECT n.conv_id, gaps, blank, duplicate, truncated, illegal, s0.c AS cost, s0.a AS audit, sha256(array_to_string(s0.t, chr(10))) AS repaired_sha256 FROM counts n JOIN costs c ON n.conv_id IS NOT DISTINCT FROM c.conv_id AND c.i = 0"""
+
+
+REPAIR_SQL = _sql()

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import documents
-from .conversation_repair import repair_damaged
+from .conversation_repair import REPAIR_SQL, repair_damaged
 from .decontaminate import LEAK_SQL, contamination
 from .embedding_dedup import EMBEDDING_SQL, embedding_components
 from .language_id import held_out, identify, train
@@ -101,4 +101,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op13_lm_score": op13_lm_score,
 }
 
-ORACLE_SQL: dict[str, str] = {"op3_suffix_dedup": REPEATS_SQL, "op4_decontaminate": LEAK_SQL, "op5_embedding_dedup": EMBEDDING_SQL, "op8_mix": MIX_SQL}
+ORACLE_SQL: dict[str, str] = {"op3_suffix_dedup": REPEATS_SQL, "op4_decontaminate": LEAK_SQL, "op5_embedding_dedup": EMBEDDING_SQL, "op8_mix": MIX_SQL, "op11_repair": REPAIR_SQL}

@@ -112,6 +112,14 @@ def test_one_long_conversation_in_many_fragments(spark):
     assert hashlib.sha256(text.encode()).hexdigest() == expected(rows)[9][-1]
 
 
+def test_sql_against_all_edits():
+    rows = made(11, 60, 8) + made(12, 3, 40)
+    con = duckdb.connect()
+    con.execute("CREATE TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
+    con.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", rows)
+    assert {r[0]: r[1:] for r in con.execute(R.REPAIR_SQL).fetchall()} == expected(rows)
+
+
 def test_doubled_pointers_order_nodes_like_their_audits():
     rng = np.random.default_rng(3)
     kinds = [rng.choice([0, 1, 2, 3, 9, 10, 5], n).astype(np.uint8) for n in (0, 1, 5, 12)]
