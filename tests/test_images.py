@@ -150,3 +150,25 @@ def test_a_failing_call_is_halved(spark, odd):
     want = sorted(map(repr, score_images(read_named(files), stub_scorer(), sharp=True).collect()))
     assert sorted(map(repr, score_images(read_named(files), stub_scorer(), sharp=True, call_bytes=1).collect())) == want
     assert laplacian_variance(read_named(files)).where("laplacian_variance is null").count() == 1
+
+
+def test_kinds_that_workers_cannot_decode(spark, tmp_path):
+    from rollcall.plans.jobs import _images
+
+    jvm = spark.sparkContext._jvm
+    (tmp_path / "some folder").mkdir()
+    picture = jvm.java.awt.image.BufferedImage(8, 6, 5)
+    for name in ("a b.jpg", "some folder/c%20d.JPEG", "not named.jpg"):
+        assert jvm.javax.imageio.ImageIO.write(picture, "jpg", jvm.java.io.File(str(tmp_path / name)))
+    (tmp_path / "e.png").write_bytes(png(np.ones((2, 2, 3))))
+    (tmp_path / "f.webp").write_bytes(b"RIFF")
+    named = [str(tmp_path / n) for n in ("a b.jpg", "some folder/c%20d.JPEG", "e.png", "f.webp")]
+    files = spark.createDataFrame([(n,) for n in named], "path string")
+    rows = {r["path"]: r for r in _images(spark, files, str(tmp_path), None).collect()}
+    assert sorted(rows) == sorted(named) and [rows[n]["readable"] for n in named] == [True, True, True, False]
+    assert (rows[named[1]]["image"]["height"], rows[named[1]]["image"]["width"]) == (6, 8)
+    with pytest.raises(Exception, match="no such image: .*gone.jpg"):
+        _images(spark, files.unionAll(spark.createDataFrame([(str(tmp_path / "gone.jpg"),)], "path string")), str(tmp_path), None).collect()
+    # a decoder of one's own takes all kinds
+    own = _images(spark, files, str(tmp_path), lambda data: np.zeros((1, 1, 3), np.uint8))
+    assert own.where("readable").count() == 4
