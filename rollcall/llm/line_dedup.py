@@ -21,7 +21,8 @@ of alignment with every earlier document that shares a passage of ``LINE_CHARS``
   cover it, so a document whose runs are all deleted has nothing to gain from further pairs.
 - Runs that are left after the first round meet all other earlier holders, ``NEXT`` at first and each
   further round so many times more, until they are deleted or out of holders. Holders whose lines are
-  the same up to lines that no document left has align alike, and only the first of them is compared.
+  the same up to lines that no document left or no other holder has align alike, and only the first of them is compared: documents that
+  share nothing but a rule of dashes, twice in each, are one kind.
 
 A run that many documents hold is one of at most 1,000 with over a thousandth of all places, and joined by
 broadcast; an earlier document with over ``PAIRS`` pairs is dealt to several tasks. An empty table gives no rows.
@@ -226,11 +227,13 @@ def every_deletion(docs: DataFrame, text: str = "text", key: str = "doc_id", lea
     left = left_over(held.where("owner < k").select("k", "h", "run").distinct(), cut)
     if left.isEmpty():
         return cut
-    # holders of runs left, reduced to the lines that documents left have; -1 (no line's code) stands for any others between them
+    # holders of runs left, reduced to the lines that documents left and another holder have; -1 (no line's code) stands for any others between them
     later = materialize(once.join(left.select("k", "h").distinct(), ["k", "h"]).select("k", "h", F.col("lines").alias("later")))
-    known = materialize(later.select(F.explode("later").alias("line")).distinct())
     holders = materialize(held.join(left.select("run").distinct(), "run").select("k", "h", "run").distinct())
     wide = once.join(holders.select("k", "h").distinct(), ["k", "h"]).select("k", "h", F.size("lines").alias("n"), F.posexplode("lines").alias("at", "line"))
+    # both sides of a pair are holders, so a line that one holder alone has aligns with nothing
+    shared = wide.groupBy("line").agg(F.min(F.struct("k", "h")).alias("x"), F.max(F.struct("k", "h")).alias("y")).where("x < y").select("line")
+    known = materialize(later.select(F.explode("later").alias("line")).distinct().join(shared, "line"))
     kept = wide.join(known, "line").groupBy("k", "h", "n").agg(F.array_sort(F.collect_list(F.struct("at", "line"))).alias("x"))
     kept = materialize(kept)
     before = lambda i: F.when(i > 0, F.try_element_at("x", i.cast("int"))["at"]).otherwise(F.lit(-1))
