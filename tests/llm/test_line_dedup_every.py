@@ -96,3 +96,12 @@ def test_names_that_clash_and_a_long_text(spark):
     got = {r["doc_id"]: r for r in dedupe_lines(table, every=True).collect()}
     assert [got[k]["n_removed"] for k in (1, 2, 3, 4)] == [0, 1, 0, 60_000] and got[4]["text"] == "last" and got[4]["n_lines"] == 60_001
     assert all((r["k"], r["h"], r["places"]) == (1, 2, 3) for r in got.values())
+
+
+def test_rules_of_dashes_in_every_document(spark):
+    dash = "-" * 30
+    docs = {k: f"own line number {k} with enough text\n{dash}\nanother own line {k} with enough text\n{dash}\nthe last line of {k}" for k in range(30)}
+    docs |= {40: f"{dash}\nown beginning of document 40, long enough\n{dash}\nthe last line of 3", 41: f"x\n{dash}\nshared by 41 and 42, and long enough\n{dash}\ny", 42: f"z\n{dash}\nshared by 41 and 42, and long enough\n{dash}\nw"}
+    got = dedupe_lines(spark.createDataFrame(list(docs.items()), "doc_id long, text string"), every=True).collect()
+    want = brute(docs)
+    assert {r["doc_id"]: r["text"] for r in got} == want and want[42] != docs[42] and want[5] == docs[5]
