@@ -431,10 +431,10 @@ def _settings(root: str, **more) -> Settings:
 SELECT name AS filename, CASE WHEN s_suppkey % 10 = 0 THEN 'error' WHEN confidence < 0.95 THEN 'low_conf' WHEN sharp < 50000 THEN 'blurry' ELSE 'success' END AS outcome,
   CASE WHEN s_suppkey % 10 <> 0 THEN round(sharp, 2) END AS blur_score FROM score JOIN b USING (name)""")
 def q53_job_preprocess(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first job over image files: outcome and rounded sharpness of each."""
+    """The first job over image files: outcome and rounded sharpness of each, without the job's cap on their number."""
     root = _folder(spark)
     _supplier_images(spark, sf_dir, f"{root}/raw", F.col("s_suppkey") % 10 == 0)
-    marked, _ = jobs.preprocess(spark, _settings(root))
+    marked, _ = jobs.preprocess(spark, _settings(root, max_images=None))
     return marked.select("filename", "outcome", "blur_score")
 
 
