@@ -24,3 +24,9 @@ def suppliers(spark):
 def test_all_suppliers_are_preprocessed(spark, monkeypatch):
     monkeypatch.setattr(file_queries, "Settings", Capped)
     assert file_queries.q53_job_preprocess(spark, DATA).count() == suppliers(spark)
+
+
+def test_all_suppliers_are_in_the_funnel(spark, monkeypatch):
+    monkeypatch.setattr(file_queries, "Settings", Capped)
+    found = {r["filename"]: r for r in file_queries.q68_preprocess_records(spark, DATA).collect()}
+    assert int(found["summary"]["original"]) == suppliers(spark)
