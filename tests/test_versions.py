@@ -145,3 +145,14 @@ def test_totals_are_merged_without_reading_rows(spark, images, tmp_path):
     after = totals(spark, out)
     assert after[0] == (rows.count(), rows.where("saved").count(), rows.where("not saved").count()) and after[0] != before[0]
     assert after[2] == (rows.where("saved and gender = 0").count(), rows.where("saved and gender = 1").count())
+
+
+def test_files_do_not_grow_with_the_number_of_chunks(spark, tmp_path):
+    path = str(tmp_path / "t")
+    many = spark.range(3000).select(F.col("id").alias("chunk_id"), F.col("id").cast("string").alias("v"))
+    write_chunks(many, path)
+    write_chunk(many.where("chunk_id % 3 = 0").withColumn("v", F.lit("new")), path)
+    data = [os.path.join(d, f) for d, _, names in os.walk(os.path.join(path, "data")) for f in names if f.endswith(".parquet")]
+    assert len(data) < 100 and os.path.getsize(ChunkTable(spark, path).file(2)) < 2000
+    assert state(spark, path) == [(k, "new" if k % 3 == 0 else str(k)) for k in range(3000)]
+    assert state(spark, path, 1) == [(k, str(k)) for k in range(3000)]
