@@ -156,3 +156,19 @@ def test_files_do_not_grow_with_the_number_of_chunks(spark, tmp_path):
     assert len(data) < 100 and os.path.getsize(ChunkTable(spark, path).file(2)) < 2000
     assert state(spark, path) == [(k, "new" if k % 3 == 0 else str(k)) for k in range(3000)]
     assert state(spark, path, 1) == [(k, str(k)) for k in range(3000)]
+
+
+def test_vacuum_takes_lines_and_stopped_writes_with_it(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for v in "abc":
+        write_chunks(rows(spark, (1, v), (2, v)), path)
+
+    def end(before):
+        raise KeyboardInterrupt
+
+    with pytest.raises(KeyboardInterrupt):
+        write_chunk(rows(spark, (2, "x")), path, before_publish=end)
+    write_chunk(rows(spark, (2, "d")), path)
+    kept = lambda: [n for n in os.listdir(os.path.join(path, "versions")) if n.startswith("lines=")]
+    assert len(kept()) == 4 and ChunkTable(spark, path).vacuum(2) == 3 and len(kept()) == 2
+    assert state(spark, path) == [(1, "c"), (2, "d")] and state(spark, path, 3) == [(1, "c"), (2, "c")]
