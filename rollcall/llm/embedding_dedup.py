@@ -8,6 +8,8 @@ is missing is at most the product of the two suffix norms, and a pair of vectors
 sum and bound together can't reach the threshold. Two tiles whose first coordinates are further apart
 than sqrt(2 - 2 * threshold) never meet. Survivors get their full cosine in double precision.
 
+Tiles are written once, as files in the shared folder; a pair of tiles is a row with two names, so what is shuffled doesn't grow with the
+number of pairs. Pairs of vectors are looked at a bounded number at a time, also where all of two tiles are near copies of each other.
 Only counts of links and a spanning forest leave a pair of tiles, never all its links.
 
 Vectors that are null, empty, zero or hold null or non-finite components link with nothing: n_links 0 and
@@ -27,11 +29,14 @@ from pyspark.sql import functions as F
 
 from .common import materialize, prepare
 from .components import connected_components, forest
+from .shared_arrays import arrays_folder, forget, get, put
 
 #: Cosine that links, classes of one tile, dimensions of the first step (each step doubles them).
 THRESHOLD, TILE, FIRST_DIMS = 0.95, 4096, 16
 #: Tiles that one task cuts from its part of the order.
 TILES = 16
+#: Numbers that pairs of vectors looked at together hold on each side, pairs of tiles in a task.
+PAIR_CELLS, TASK_PAIRS = 1 << 22, 16
 #: Rounding allowed for when pairs are dropped early; the last test uses none.
 MARGIN = 1e-9
 
@@ -76,35 +81,49 @@ def principal_axes(units: DataFrame, d: int) -> np.ndarray:
     return axes[:, ::-1]
 
 
-def close(x: np.ndarray, y: np.ndarray, same: bool, threshold: float = THRESHOLD, first: int = FIRST_DIMS) -> tuple[np.ndarray, np.ndarray]:
-    """Rows (i of x, j of y; i < j if both are the same tile) with cosine at or above the threshold. Unit rows, principal axes."""
+def close_blocks(x: np.ndarray, y: np.ndarray, same: bool, threshold: float = THRESHOLD, first: int = FIRST_DIMS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows (i of x, j of y; i < j if both are the same tile) with cosine at or above the threshold, some at a time. Unit rows, principal axes."""
     d = x.shape[1]
-    found_i, found_j = [], []
-    head = min(first, d)
+    head, most = min(first, d), max(1, PAIR_CELLS // d)
     x0, y0 = x[:, :head].astype(np.float32), y[:, :head].astype(np.float32)
     tail = [np.sqrt(np.maximum(0, 1 - np.einsum("ij,ij->i", z[:, :head], z[:, :head]))).astype(np.float32) for z in (x, y)]
     # the suffix norms ride along as one more dimension: the product is then partial sum plus bound
     left, right = np.column_stack([x0, tail[0]]), np.column_stack([y0, tail[1]]).T.copy()
     for lo in range(0, len(x), 256):
-        i, j = np.nonzero(left[lo : lo + 256] @ right >= np.float32(threshold - 1e-5))
-        i += lo
+        maybe = left[lo : lo + 256] @ right >= np.float32(threshold - 1e-5)
+        whole = 8 * np.count_nonzero(maybe) > maybe.size
+        if whole:  # one product is cheaper than many pairs
+            maybe = x[lo : lo + 256] @ y.T >= threshold - MARGIN
+        all_i, all_j = np.nonzero(maybe)
+        all_i += lo
         if same:
-            i, j = i[i < j], j[i < j]
-        dims, partial = head, None
-        while len(i) and dims < d:
-            to = min(d, 2 * dims)
-            if partial is None:
-                partial = np.einsum("ij,ij->i", x[i, :dims], y[j, :dims])
-            partial = partial + np.einsum("ij,ij->i", x[i, dims:to], y[j, dims:to])
-            dims = to
-            if dims < d:
-                left_norm = np.sqrt(np.maximum(0, np.einsum("ij,ij->i", x[i, dims:], x[i, dims:])))
-                right_norm = np.sqrt(np.maximum(0, np.einsum("ij,ij->i", y[j, dims:], y[j, dims:])))
-                good = partial + left_norm * right_norm >= threshold - MARGIN
-                i, j, partial = i[good], j[good], partial[good]
-        found_i.append(i)
-        found_j.append(j)
-    return np.concatenate(found_i or [np.zeros(0, int)]), np.concatenate(found_j or [np.zeros(0, int)])
+            all_i, all_j = all_i[all_i < all_j], all_j[all_i < all_j]
+        for at in range(0, len(all_i), most):
+            i, j = all_i[at : at + most], all_j[at : at + most]
+            yield (i, j) if whole else _narrowed(x, y, i, j, head, threshold)
+
+
+def _narrowed(x: np.ndarray, y: np.ndarray, i: np.ndarray, j: np.ndarray, head: int, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs that sum and bound don't rule out, twice as many dimensions in each step."""
+    d, dims, partial = x.shape[1], head, None
+    while len(i) and dims < d:
+        to = min(d, 2 * dims)
+        if partial is None:
+            partial = np.einsum("ij,ij->i", x[i, :dims], y[j, :dims])
+        partial = partial + np.einsum("ij,ij->i", x[i, dims:to], y[j, dims:to])
+        dims = to
+        if dims < d:
+            left_norm = np.sqrt(np.maximum(0, np.einsum("ij,ij->i", x[i, dims:], x[i, dims:])))
+            right_norm = np.sqrt(np.maximum(0, np.einsum("ij,ij->i", y[j, dims:], y[j, dims:])))
+            good = partial + left_norm * right_norm >= threshold - MARGIN
+            i, j, partial = i[good], j[good], partial[good]
+    return i, j
+
+
+def close(x: np.ndarray, y: np.ndarray, same: bool, threshold: float = THRESHOLD, first: int = FIRST_DIMS) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs of ``close_blocks`` together."""
+    found = [*close_blocks(x, y, same, threshold, first)] or [(np.zeros(0, int), np.zeros(0, int))]
+    return np.concatenate([i for i, _ in found]), np.concatenate([j for _, j in found])
 
 
 def _rotated(raw: np.ndarray, axes: np.ndarray) -> np.ndarray:
@@ -112,28 +131,29 @@ def _rotated(raw: np.ndarray, axes: np.ndarray) -> np.ndarray:
     return raw @ axes / np.linalg.norm(raw, axis=1, keepdims=True)
 
 
-def _pair_links(table: pa.Table, axes: np.ndarray, kind: type, threshold: float) -> pa.Table:
-    """Links of one pair of tiles: (node, other, n): n links counted for node; other: a link of the forest, or null.
+def _pair_links(tiles: list[dict], axes: np.ndarray, threshold: float) -> pa.Table:
+    """Links of one pair of tiles, or of one tile: (node, other, n): n links counted for node; other: a link of the forest, or null.
 
-    Tiles travel as they were given (32 bits a component if the column has floats) and are rotated here.
+    Tiles lie as they were given (32 bits a component if the column has floats) and are rotated here.
     """
-    rows = {r["side"]: r for r in table.to_pylist()}
-    sides = sorted(rows)
-    ids = [np.frombuffer(rows[s]["ids"], np.int64) for s in sides]
-    many = [np.frombuffer(rows[s]["many"], np.int64) for s in sides]
-    raw = [np.frombuffer(rows[s]["raw"], kind).astype(np.float64).reshape(-1, len(axes)) for s in sides]
+    ids, many = [t["ids"] for t in tiles], [t["many"] for t in tiles]
+    raw = [t["raw"].astype(np.float64).reshape(-1, len(axes)) for t in tiles]
     units = [_rotated(x, axes) for x in raw]
-    same = len(sides) == 1
-    a, b = 0, len(sides) - 1
-    i, j = close(units[a], units[b], same, threshold)
-    if len(i):
-        p, q = raw[a][i], raw[b][j]
-        cosine = np.einsum("ij,ij->i", p, q) / np.sqrt(np.einsum("ij,ij->i", p, p) * np.einsum("ij,ij->i", q, q))
-        i, j = i[cosine >= threshold], j[cosine >= threshold]
+    same = len(tiles) == 1
+    a, b = 0, len(tiles) - 1
     base = 0 if same else len(ids[a])
     names = ids[a] if same else np.concatenate(ids)
-    n = np.bincount(i, many[b][j], len(names)) + np.bincount(j + base, many[a][i], len(names))
-    label = forest(len(names), iter([(i, j + base)]))
+    squares = [np.einsum("ij,ij->i", x, x) for x in raw]
+    n = np.zeros(len(names))
+
+    def links() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for i, j in close_blocks(units[a], units[b], same, threshold):
+            cosine = np.einsum("ij,ij->i", raw[a][i], raw[b][j]) / np.sqrt(squares[a][i] * squares[b][j])
+            i, j = i[cosine >= threshold], j[cosine >= threshold]
+            n[:] += np.bincount(i, many[b][j], len(names)) + np.bincount(j + base, many[a][i], len(names))
+            yield i, j + base
+
+    label = forest(len(names), links())
     full = np.flatnonzero(n)
     other = [int(names[label[k]]) if label[k] != k else None for k in full]
     return pa.table({"node": pa.array(names[full]), "other": pa.array(other, pa.int64()), "n": pa.array(n[full].astype(np.int64))})
@@ -142,6 +162,7 @@ def _pair_links(table: pa.Table, axes: np.ndarray, kind: type, threshold: float)
 def _links(classes: DataFrame, d: int, kind: type, threshold: float, tile: int) -> DataFrame:
     """(node, other, n) over classes (c, many, v) of vectors with d components that ``kind`` holds exactly."""
     axes = principal_axes(classes, d)
+    folder = arrays_folder(classes.sparkSession)
 
     def rotate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -150,16 +171,16 @@ def _links(classes: DataFrame, d: int, kind: type, threshold: float, tile: int)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(_rotated(raw, axes)[:, 0]), packed], names=["c", "many", "lead", "raw"])
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Tiles of at most ``tile`` rows, in the order in which they come."""
-        names = ["low", "high", "ids", "many", "raw"]
+        """Tiles of at most ``tile`` rows, in the order in which they come, as files."""
         held: list[pa.RecordBatch] = []
 
         def emit() -> pa.RecordBatch:
             table = pa.Table.from_batches(held)
             lead = table["lead"].to_numpy()
             held.clear()
-            body = [table[x].to_numpy().astype(np.int64).tobytes() for x in ("c", "many")]
-            return pa.RecordBatch.from_arrays([pa.array([x]) for x in (float(lead[0]), float(lead[-1]), *body, b"".join(table["raw"].to_pylist()))], names=names)
+            body = {name: table[x].to_numpy().astype(np.int64) for name, x in (("ids", "c"), ("many", "many"))}
+            file = put(folder, body | {"raw": np.frombuffer(b"".join(table["raw"].to_pylist()), kind)})
+            return pa.RecordBatch.from_arrays([pa.array([x]) for x in (float(lead[0]), float(lead[-1]), file)], names=["low", "high", "file"])
 
         for batch in batches:
             at = 0
@@ -175,24 +196,30 @@ def _links(classes: DataFrame, d: int, kind: type, threshold: float, tile: int)
     turned = materialize(classes.select("c", "many", "v").mapInArrow(rotate, "c long, many long, lead double, raw binary"))
     parts = max(1, -(-turned.count() // (tile * TILES)))
     ordered = turned.repartitionByRange(parts, "lead", "c").sortWithinPartitions("lead", "c")
-    tiles = ordered.mapInArrow(pack, "low double, high double, ids binary, many binary, raw binary")
+    tiles = ordered.mapInArrow(pack, "low double, high double, file string")
     # tiles are numbered in the order of their first coordinates, by a table of one small row for each
     tiles = materialize(tiles.withColumn("name", F.monotonically_increasing_id()))
     reach = float(np.sqrt(max(0.0, 2 - 2 * threshold))) + MARGIN
     place = Window.orderBy("low", "high", "name")
-    numbered = tiles.select("name", "low", "high").withColumn("p", F.row_number().over(place))
+    numbered = tiles.withColumn("p", F.row_number().over(place))
     # the last tile that starts within reach of a tile's end: how many starts there are up to that point
-    points = numbered.select(F.col("low").alias("x"), F.lit(1).alias("start"), F.lit(None).cast("int").alias("p"), F.lit(None).cast("long").alias("name"))
-    points = points.unionAll(numbered.select((F.col("high") + reach).alias("x"), F.lit(0), "p", "name"))
+    points = numbered.select(F.col("low").alias("x"), F.lit(1).alias("start"), F.lit(None).cast("int").alias("p"), F.lit(None).cast("string").alias("file"))
+    points = points.unionAll(numbered.select((F.col("high") + reach).alias("x"), F.lit(0), "p", "file"))
     upto = F.sum("start").over(Window.orderBy("x", F.col("start").desc()).rowsBetween(Window.unboundedPreceding, 0))
-    spans = materialize(points.withColumn("last", upto.cast("int")).where("name is not null").select("name", "p", "last"))
+    spans = materialize(points.withColumn("last", upto.cast("int")).where("file is not null").select("file", "p", "last"))
     # a tile meets the tiles before it that reach it: from the first whose last is no less than its number
-    pairs = spans.select("p", F.explode(F.sequence("p", F.greatest("p", "last"))).alias("q"))
-    body = ["ids", "many", "raw"]
-    named = tiles.join(spans.select("name", "p"), "name").select("p", *body)
-    left = named.join(pairs, "p").select("p", "q", F.lit(0).alias("side"), *body)
-    right = named.withColumnRenamed("p", "q").join(pairs.where("p < q"), "q").select("p", "q", F.lit(1).alias("side"), *body)
-    return left.unionAll(right).groupBy("p", "q").applyInArrow(lambda t: _pair_links(t, axes, kind, threshold), "node long, other long, n long")
+    pairs = spans.select("p", F.col("file").alias("one"), F.explode(F.sequence("p", F.greatest("p", "last"))).alias("q"))
+    pairs = materialize(pairs.join(spans.select(F.col("p").alias("q"), F.col("file").alias("two")), "q").select("p", "q", "one", "two"))
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for one, two in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+                names = [one] if one == two else [one, two]
+                yield from _pair_links([get(x) for x in names], axes, threshold).to_batches()
+                for x in names:
+                    forget(x)
+
+    return pairs.repartition(max(1, -(-pairs.count() // TASK_PAIRS))).mapInArrow(compare, "node long, other long, n long")
 
 
 def embedding_components(vectors: DataFrame, vector: str = "embedding", key: str = "vec_id", threshold: float = THRESHOLD, tile: int = TILE) -> DataFrame:

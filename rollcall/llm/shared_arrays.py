@@ -74,6 +74,11 @@ def get(uri: str) -> dict[str, np.ndarray]:
     return _open[uri]
 
 
+def forget(uri: str) -> None:
+    """Let go of a file's arrays."""
+    _open.pop(uri, None)
+
+
 class Shards:
     """Files of arrays with sorted keys in array ``key``, each file's keys between those of its neighbours."""
 

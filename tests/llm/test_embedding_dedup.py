@@ -64,3 +64,19 @@ def test_equal_first_coordinates_fill_several_tiles(spark):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     got = sorted(tuple(r) for r in embedding_components(df, tile=16).collect())
     assert got == [(k, 39, 0, k == 0) for k in range(40)]
+
+
+def test_tiles_of_near_copies_are_compared_in_bounded_pieces(monkeypatch):
+    """Two tiles all of whose 360,000 pairs link: no piece holds more than the given number of pairs."""
+    from rollcall.llm import embedding_dedup as module
+
+    rng = np.random.default_rng(8)
+    base = rng.normal(size=64)
+    tiles = [{"ids": np.arange(600) + 600 * k, "many": np.ones(600, np.int64), "raw": np.float32(base + rng.normal(scale=0.05, size=(600, 64))).ravel()} for k in range(2)]
+    monkeypatch.setattr(module, "PAIR_CELLS", 64 * 1000)
+    seen = []
+    whole = module.close_blocks
+    monkeypatch.setattr(module, "close_blocks", lambda *a: (seen.append(len(b[0])) or b for b in whole(*a)))
+    found = module._pair_links(tiles, np.eye(64), 0.95).to_pylist()
+    assert max(seen) <= 1000 and sum(seen) >= 360_000
+    assert len(found) == 1200 and all(r["n"] == 600 for r in found) and sum(r["other"] is None for r in found) == 1
