@@ -134,12 +134,14 @@ def plan_generation(pool: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]
     return settle(plan.drop("style_idx")), seeds
 
 
-def extract(spark: SparkSession, paths: DataFrame, root: str, out: str, s: Settings, preset: str = "extract") -> tuple[DataFrame, DataFrame, DataFrame]:
+def extract(spark: SparkSession, paths: DataFrame, root: str, out: str, s: Settings, preset: str = "extract", order: tuple[str, ...] = ("path",)) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(attributes, chunk manifest, summary) of the images ``paths`` (below ``root``), written chunk by chunk to ``out``.
 
+    Chunks follow the columns ``order``; names with numbers of different lengths don't sort as the numbers do.
     Images that fail are written too, with saved false: a rerun replaces every chunk, also one that holds nothing else.
     """
-    names = settle(assign_chunks(filter_images(paths, preset).select("path"), s.chunk_size, "path"))
+    chosen = filter_images(paths, preset).select("path", *(c for c in order if c != "path"))
+    names = settle(assign_chunks(chosen, s.chunk_size, *order).select("path", "position", "chunk_id"))
     scored = settle(names.join(_scored(spark, names.select("path"), s, root), "path", "left"))
     marked = split_valid(scored, F.col("readable"), F.col("embedding").isNotNull())
     rows = cast_attributes(with_attr_defaults(marked).withColumn("age_group", age_group(F.col("age"))))
@@ -185,8 +187,8 @@ def run(spark: SparkSession, s: Settings) -> dict[str, DataFrame]:
         write_summary(summary, f"{s.out}/generation_summary")
     if on["extract"]:
         # files stay where they are: an accepted image is known by its candidate's path
-        accepted = _required(lambda: read_manifest(spark, f"{s.out}/identity_manifest"), "extract", "generate").select(F.col("candidate_path").alias("path"))
-        made["attributes"], made["chunks"], summary = extract(spark, accepted, f"{s.out}/_candidates", f"{s.out}/attributes", s)
+        accepted = _required(lambda: read_manifest(spark, f"{s.out}/identity_manifest"), "extract", "generate").select(F.col("candidate_path").alias("path"), "identity_id", "trial")
+        made["attributes"], made["chunks"], summary = extract(spark, accepted, f"{s.out}/_candidates", f"{s.out}/attributes", s, order=("identity_id", "trial"))
         write_summary(summary, f"{s.out}/extraction_summary")
     if on["build"]:
         manifest = _required(lambda: read_manifest(spark, f"{s.out}/identity_manifest"), "build", "generate").select("image_path", "candidate_path", "cluster_id")
